@@ -90,23 +90,19 @@ def curate(silver: DataFrame, with_images: bool = True) -> DataFrame:
 
 def latest_per_key(curated: DataFrame, key: str = "GTIN") -> DataFrame:
     """One row per key: newest StartAvailabilityDateTime, then newest ingest,
-    then newest LastUpdatedDateTime, then Id (total order, D1).
+    then newest LastUpdatedDateTime, then Id, then every other column
+    (a total order, D1). Rows with a NULL key collapse into one row, as the
+    source system does (D7).
 
-    Rows with a NULL key collapse into one row (as the source system does);
-    they are split off first so they never form a single hot partition.
+    Spark plans this as a partial top-1 per key inside each map task
+    (WindowGroupLimit) before the shuffle, so a hot key -- NULL included --
+    ships at most one row per map partition.
     """
-    order = [F.col("StartAvailabilityDateTime").desc_nulls_last(),
-             F.col("UpdatedAt").desc_nulls_last(),
-             F.col("LastUpdatedDateTime").desc_nulls_last(),
-             F.col("Id").asc_nulls_last()]
-    keyed = curated.where(F.col(key).isNotNull())
+    first = ["StartAvailabilityDateTime", "UpdatedAt", "LastUpdatedDateTime"]
+    rest = ["Id"] + [c for c in curated.columns if c not in first and c not in (key, "Id")]
+    order = [F.col(c).desc_nulls_last() for c in first] + [F.col(c).asc_nulls_last() for c in rest]
     w = Window.partitionBy(key).orderBy(*order)
-    best = keyed.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    # NULL-key rows: a global top-1, which Spark plans as a per-partition
-    # top-1 followed by a merge of one row per partition (no hot key).
-    nulls = curated.where(F.col(key).isNull()).orderBy(*order, *[
-        F.col(c).asc_nulls_last() for c in curated.columns if c not in (key,)]).limit(1)
-    return best.unionByName(nulls)
+    return curated.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def segment_code(doc: Column) -> Column:

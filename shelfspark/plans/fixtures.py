@@ -234,7 +234,7 @@ def key_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(hn & (F.col("page") % 3 == 1), tok).alias("NextofSet"),
         F.when(hn & (F.col("page") % 3 == 2), tok).alias("NextOfSet"))
     return (pages.join(nxt, "page", "left")
-            .select("page", F.to_json(env).alias("envelope")))
+            .select(F.col("page").alias("page_no"), F.to_json(env).alias("envelope")))
 
 
 def category_source(spark: SparkSession, sf_dir: str) -> DataFrame:

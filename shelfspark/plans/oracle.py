@@ -119,11 +119,12 @@ _COLS = ", ".join(n for n, _ in CURATED_FIELDS)
 CTES["exp_curated"] = f"""
   SELECT {_COLS} FROM exp_base UNION ALL SELECT {_COLS} FROM exp_case
   UNION ALL SELECT {_COLS} FROM exp_bad"""
+_FIRST3 = ["StartAvailabilityDateTime", "UpdatedAt", "LastUpdatedDateTime"]
+_REST = ["Id"] + [n for n, _ in CURATED_FIELDS if n not in _FIRST3 and n not in ("GTIN", "Id")]
+_LATEST_ORDER = ", ".join([f"{c} DESC NULLS LAST" for c in _FIRST3] + [f"{c} ASC NULLS LAST" for c in _REST])
 CTES["exp_latest"] = f"""
-  SELECT {_COLS} FROM exp_curated WHERE GTIN IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY GTIN ORDER BY StartAvailabilityDateTime DESC NULLS LAST,
-      UpdatedAt DESC NULLS LAST, LastUpdatedDateTime DESC NULLS LAST, Id ASC NULLS LAST) = 1
-  UNION ALL (SELECT {_COLS} FROM exp_curated WHERE GTIN IS NULL LIMIT 1)"""
+  SELECT {_COLS} FROM exp_curated
+  QUALIFY row_number() OVER (PARTITION BY GTIN ORDER BY {_LATEST_ORDER}) = 1"""
 
 # ---- hierarchy
 CTES["exp_hier"] = f"""
@@ -247,9 +248,8 @@ _META_FIELDS = [("ean", "base"), ("family", _s("GpcFamilyCode")), ("class", _s("
                 ("brand", _s("BrandName")), ("level2", _s("PRODUCT_HIERARCHY_LEVEL_2")),
                 ("level3", _s("PRODUCT_HIERARCHY_LEVEL_3")), ("level4", _s("PRODUCT_HIERARCHY_LEVEL_4")),
                 ("product", _s("TradeItemDescription_fi"))]
-_META_TEXT = ("array_to_string(list_sort(list_filter([" + ", ".join(
-    f"CASE WHEN {v} <> '' THEN '{k}=' || {v} END" for k, v in _META_FIELDS)
-    + "], x -> x IS NOT NULL)), '|')")
+_META_TEXT = ("concat_ws('|', " + ", ".join(
+    f"CASE WHEN {v} <> '' THEN '{k}=' || {v} END" for k, v in sorted(_META_FIELDS)) + ")")
 _META_N = "(" + " + ".join(f"CASE WHEN {v} <> '' THEN 1 ELSE 0 END" for _, v in _META_FIELDS) + ")"
 CTES["exp_manifest0"] = f"""
   SELECT GTIN AS gtin, {_s('PrimaryImageUrl')} AS url, {_BASE} AS base, *

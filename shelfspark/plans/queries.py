@@ -87,7 +87,8 @@ def q_ingest_keys_changes(spark, d):
 
 def q_next_offset(spark, d):
     p = fx.key_pages(spark, d)
-    return pages.parse_pages(p).select("page", pages.next_offset().alias("next_offset"))
+    return pages.parse_pages(p).select(F.col("page_no").alias("page"),
+                                       pages.next_offset().alias("next_offset"))
 
 
 def q_id_batches(spark, d):

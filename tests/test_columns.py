@@ -1,0 +1,80 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from shelfspark.functions import columns as C
+
+
+def one(spark, col, data, schema):
+    return [r[0] for r in spark.createDataFrame(data, schema).select(col).collect()]
+
+
+def test_strip_leading_zeros(spark):
+    data = [("00123",), ("000",), ("",), (None,), ("0a0",), ("120",)]
+    assert one(spark, C.strip_leading_zeros("x"), data, "x string") == ["123", None, None, None, "a0", "120"]
+
+
+def test_truthy_coalesce(spark):
+    data = [("", "b"), (None, "b"), ("a", "b"), ("", "")]
+    assert one(spark, C.truthy_coalesce("a", "b"), data, "a string, b string") == ["b", "b", "a", None]
+
+
+LOC = "array<struct<LanguageCode: string, Value: string>>"
+
+
+def test_localized_pick_cases(spark):
+    s = f"p {LOC}, f {LOC}"
+    data = [
+        ([("fi", "A"), ("en", "B")], None),          # fi present
+        ([("en", "B"), ("fi", "A")], None),          # fi second
+        ([("fi", None), ("en", "B")], [("sv", "S")]),  # fi with NULL value -> fallback list
+        ([("fi", ""), ("en", "B")], [("en", "E")]),  # fi blank -> fallback list
+        ([], [("en", "E")]),                          # empty list
+        ([("en", "B")], None),                        # no fi -> first
+        (None, None),
+    ]
+    assert one(spark, C.localized_pick("p", "f"), data, s) == ["A", "A", "S", "E", "E", "B", None]
+
+
+def test_us_week_numbering(spark):
+    data = [(dt.date(2025, 1, 5),), (dt.date(2024, 12, 30),), (dt.date(2025, 1, 1),),
+            (dt.date(2025, 1, 4),), (dt.date(2023, 12, 31),)]
+    # Jan-1 is week 1; weeks start on Sunday (2025-01-05 is a Sunday)
+    assert one(spark, C.us_week_of_year("d"), data, "d date") == [2, 53, 1, 1, 53]
+
+
+def test_image_score_and_suffix(spark):
+    data = [("https://x/a_C1C1.jpg",), ("https://x/a_c1n1.PNG",), ("https://x/a.jpg?x=1",),
+            ("noext",), ("https://x/a_ZZZZ.gif",), ("https://x/a_D1NE.tiff",), (None,)]
+    df = spark.createDataFrame(data, "u string").select(
+        C.url_suffix_code("u").alias("s"), C.url_extension("u").alias("e"), C.image_score("u").alias("p"))
+    got = [tuple(r) for r in df.collect()]
+    assert got == [("C1C1", "jpg", 130), ("C1N1", "png", 123), ("NONE", "jpg?x=1", 0),
+                   ("NONE", None, 0), ("ZZZZ", "gif", 2), ("D1NE", "tiff", 89), ("NONE", None, 0)]
+
+
+def test_every_suffix_and_extension(spark):
+    urls = [(f"https://x/p_{k}.{e}",) for k in C.SUFFIX_POINTS for e in C.EXTENSION_POINTS]
+    got = one(spark, C.image_score("u"), urls, "u string")
+    exp = [C.SUFFIX_POINTS[k] + C.EXTENSION_POINTS[e] for k in C.SUFFIX_POINTS for e in C.EXTENSION_POINTS]
+    assert got == exp
+
+
+def test_normalise_name(spark):
+    data = [("Tuote  ryhmä",), ("A–B",), ("  X   Y ",), (None,), ("a­b",)]
+    assert one(spark, C.normalise_name("n"), data, "n string") == ["tuote ryhmä", "a-b", "x y", "", "a-b"]
+
+
+def test_safe_long(spark):
+    data = [("12",), ("12.0",), ("x",), (None,), ("7.5",)]
+    assert one(spark, C.safe_long("s"), data, "s string") == [12, 12, None, None, 7]
+
+
+def test_upper_trim_equals_null_safe(spark):
+    data = [("  own oy ",), ("OWN OY",), (None,), ("other",)]
+    assert one(spark, C.upper_trim_equals("p", "Own Oy"), data, "p string") == [True, True, False, False]
+
+
+def test_path_extension(spark):
+    data = [("https://h/a/b.JPEG?x=1",), ("https://h/a/b",), ("https://h/a.tif",)]
+    assert one(spark, C.path_extension("u"), data, "u string") == [".jpeg", None, ".tif"]
