@@ -40,7 +40,7 @@ def upsert_latest(previous: DataFrame, arrived: DataFrame) -> DataFrame:
     # NULL-key rows (malformed documents) collapse to one row, as in a full run
     nulls = cu.latest_per_key(previous.where(F.col("GTIN").isNull())
                               .unionByName(new.where(F.col("GTIN").isNull())))
-    return untouched.unionByName(merged).unionByName(nulls)
+    return untouched.unionByName(merged).unionByName(nulls).select(*previous.columns)
 
 
 def start_changes_stream(spark: SparkSession, landing_path: str, store: TableStore,
