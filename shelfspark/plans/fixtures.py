@@ -142,34 +142,43 @@ def case_children(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def case_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One packaging (case) document per order line; children are the
-    distinct parts of that line with their summed quantity, sorted by GTIN."""
+    distinct parts of that line with their summed quantity, sorted by GTIN.
+
+    Field types are real (numbers, booleans) so ``to_json`` writes the JSON
+    literals directly; only the total quantity changes type between rows
+    (number or decimal text), which is a CASE over two struct variants."""
     c = R.CASE_DOC
     grouped = (case_children(spark, sf_dir)
                .groupBy("l_orderkey", "l_linenumber")
                .agg(F.array_sort(F.collect_list(F.struct(
                    F.col("child_gtin").alias("Gtin"),
-                   F.concat(F.lit("N:"), F.col("qty").cast("string"))
-                    .alias("QuantityOfNextLowerLevelTradeItem")))).alias("children"),
+                   F.col("qty").alias("QuantityOfNextLowerLevelTradeItem")))).alias("children"),
                     F.sum("qty").alias("total")))
-    struct_sql = f"""named_struct(
-      'CatalogueItemInfo', named_struct('Id', {c['ci_id']}, 'LastUpdatedDateTime', {c['ci_lu']}),
-      'TradeItem', named_struct(
-          'Gtin', {c['gtin']},
-          'IsTradeItemADespatchUnit', CASE WHEN {c['despatch']} THEN 'B:true' ELSE 'B:false' END,
-          'TradeItemUnitDescriptorCode', named_struct('Value', {c['unit']}),
-          'DeliveryPurchasingInformationModule', named_struct('DeliveryPurchasingInformation',
-              named_struct('StartAvailabilityDateTime', {c['start']})),
-          'TradeItemMeasurementsModule', named_struct('TradeItemMeasurements', named_struct(
-              'Depth', named_struct('Value', 'N:' || {c['depth']}),
-              'Width', named_struct('Value', 'N:' || {c['width']}),
-              'Height', named_struct('Value', 'N:' || {c['height']}),
-              'TradeItemWeight', named_struct('GrossWeight', named_struct('Value', 'N:' || {c['weight']})))),
-          'NextLowerLevelTradeItemInformation', named_struct(
-              'TotalQuantityOfNextLowerLevelTradeItem', CASE {c['total_mode']}
-                  WHEN 'text' THEN CAST(total AS STRING) || '.0'
-                  WHEN 'number' THEN 'N:' || CAST(total AS STRING) END,
-              'ChildTradeItem', children)))"""
-    return grouped.select(F.expr(c["ci_id"]).alias("Id"), _json(struct_sql).alias("raw_json"),
+
+    def doc(total_sql: str) -> str:
+        return f"""to_json(named_struct(
+          'CatalogueItemInfo', named_struct('Id', {c['ci_id']}, 'LastUpdatedDateTime', {c['ci_lu']}),
+          'TradeItem', named_struct(
+              'Gtin', {c['gtin']},
+              'IsTradeItemADespatchUnit', {c['despatch']},
+              'TradeItemUnitDescriptorCode', named_struct('Value', {c['unit']}),
+              'DeliveryPurchasingInformationModule', named_struct('DeliveryPurchasingInformation',
+                  named_struct('StartAvailabilityDateTime', {c['start']})),
+              'TradeItemMeasurementsModule', named_struct('TradeItemMeasurements', named_struct(
+                  'Depth', named_struct('Value', CAST({c['depth']} AS BIGINT)),
+                  'Width', named_struct('Value', CAST({c['width']} AS BIGINT)),
+                  'Height', named_struct('Value', CAST({c['height']} AS BIGINT)),
+                  'TradeItemWeight', named_struct('GrossWeight', named_struct('Value',
+                      CAST({c['weight']} AS BIGINT))))),
+              'NextLowerLevelTradeItemInformation', named_struct(
+                  'TotalQuantityOfNextLowerLevelTradeItem', {total_sql},
+                  'ChildTradeItem', children))))"""
+
+    raw = F.expr(f"""CASE {c['total_mode']}
+        WHEN 'text' THEN {doc("CAST(total AS STRING) || '.0'")}
+        WHEN 'number' THEN {doc("total")}
+        ELSE {doc("CAST(NULL AS BIGINT)")} END""")
+    return grouped.select(F.expr(c["ci_id"]).alias("Id"), raw.alias("raw_json"),
                           F.expr(R.INGEST_V1).alias("ingest_ts"))
 
 

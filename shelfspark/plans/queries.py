@@ -18,9 +18,9 @@ from ..operators import hierarchy as hi
 from ..operators import packaging as pk
 from ..operators import profile as pr
 from ..operators import publish as pb
-from ..schemas import CASE_COLUMNS, CURATED_COLUMNS
+from ..schemas import CASE_COLUMNS
 from ..sources import jdbc, pages
-from ..sources.tables import TableStore, union_merge
+from ..sources.tables import TableStore
 from ..streaming import changes as ch
 from . import fixtures as fx
 from . import rules as R
@@ -188,10 +188,14 @@ def q_updated_gtins(spark, d):
 
 
 def q_changes_upsert(spark, d):
+    """Changes run: the curated snapshot of everything ingested before the run
+    is a stored table; the items that arrived in the run are merged into it."""
     s = silver(spark, d)
-    previous = cu.latest_per_key(cu.curate(s.where(F.col("ingest_ts") < F.lit(R.RUN_START))))
+    store = TableStore(spark, _fresh_root(spark, "curated"))
+    store.write(cu.latest_per_key(cu.curate(s.where(F.col("ingest_ts") < F.lit(R.RUN_START)))),
+                "curated")
     arrived = s.where(F.col("ingest_ts") >= F.lit(R.RUN_START))
-    return ch.upsert_latest(previous, arrived)
+    return ch.upsert_latest(store.read("curated"), arrived)
 
 
 # ---------------------------------------------------------------- assets
