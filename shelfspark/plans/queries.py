@@ -72,8 +72,8 @@ def publishable(spark, d):
     return pb.publishable(gold(spark, d))
 
 
-def manifest(spark, d):
-    return pb.manifest(publishable(spark, d), folder="images/")
+def manifest(spark, d, winners_only=False):
+    return pb.manifest(publishable(spark, d), folder="images/", winners_only=winners_only)
 
 
 # ---------------------------------------------------------------- sources / sinks
@@ -378,14 +378,14 @@ def _previous_manifest(spark, d, current):
 
 
 def q_manifest_diff(spark, d):
-    cur = manifest(spark, d).where("is_winner").select(
+    cur = manifest(spark, d, winners_only=True).select(
         "target", "url", "gtin", pb.metadata_text("metadata").alias("meta"))
     prev = _previous_manifest(spark, d, cur)
     return pb.manifest_diff(prev, cur.select("target", "url", "meta"))
 
 
 def q_publish_outcomes(spark, d):
-    return pb.outcome_counts(pb.publish(manifest(spark, d)))
+    return pb.outcome_counts(pb.publish(manifest(spark, d, winners_only=True)))
 
 
 # ---------------------------------------------------------------- profile / probes

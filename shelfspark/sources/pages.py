@@ -86,22 +86,28 @@ def id_batches(ids: DataFrame, batch_size: int = 1000, n_buckets: int = 64) -> D
                     .cast("bigint").alias("batch_no")))
 
 
-Fetcher = Callable[[list[str]], list[dict]]
+Fetcher = Callable[[list[str]], list]
+
+
+def silver_id(raw_json="raw_json"):
+    """Silver row id of a raw item: CatalogueItemInfo.Id, else TradeItem.Id,
+    else TradeItem.Gtin (truthy order; no root GTIN fallback, D12)."""
+    d = F.from_json(F.col(raw_json) if isinstance(raw_json, str) else raw_json,
+                    "CatalogueItemInfo struct<Id: string>, TradeItem struct<Id: string, Gtin: string>")
+    return truthy_coalesce(d["CatalogueItemInfo"]["Id"], d["TradeItem"]["Id"], d["TradeItem"]["Gtin"])
 
 
 def fetch_batches(batches: DataFrame, fetch: Fetcher, ingest_ts: str) -> DataFrame:
-    """Call ``fetch(ids) -> [{"Id", "raw_json"}]`` once per batch on the
-    executors; batches are grouped by ``batch_no`` (at most 1000 ids each)."""
+    """Call ``fetch(ids) -> [item, ...]`` once per batch on the executors
+    (batches are grouped by ``batch_no``, at most 1000 ids each). Items may be
+    dicts or JSON text; each becomes one silver row (Id, raw_json, ingest_ts)
+    with the Id derived from the document itself."""
     import json
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         items = fetch(sorted(pdf["Id"].tolist()))
-        return pd.DataFrame({
-            "Id": [it.get("Id") for it in items],
-            "raw_json": [it["raw_json"] if isinstance(it.get("raw_json"), str)
-                         else json.dumps(it.get("raw_json"), ensure_ascii=False) for it in items],
-            "ingest_ts": [ingest_ts] * len(items)}, columns=["Id", "raw_json", "ingest_ts"])
-
-    return batches.groupBy("batch_no").applyInPandas(
-        run, "Id string, raw_json string, ingest_ts string")
+        texts = [it if isinstance(it, str) else json.dumps(it, ensure_ascii=False) for it in items]
+        return pd.DataFrame({"raw_json": texts}, columns=["raw_json"])
 
+    raw = batches.groupBy("batch_no").applyInPandas(run, "raw_json string")
+    return raw.select(silver_id().alias("Id"), "raw_json", F.lit(ingest_ts).alias("ingest_ts"))

@@ -61,8 +61,9 @@ def test_fetch_batches(spark):
     b = PG.id_batches(ids, batch_size=2, n_buckets=4)
 
     def fetch(batch):
-        return [{"Id": i, "raw_json": {"TradeItem": {"Gtin": i.upper()}}} for i in batch]
+        return [{"CatalogueItemInfo": {"Id": "" if i == "a" else i}, "TradeItem": {"Gtin": i.upper()}}
+                for i in batch]
 
     out = PG.fetch_batches(b, fetch, "2024-01-01")
     assert sorted((r["Id"], json.loads(r["raw_json"])["TradeItem"]["Gtin"]) for r in out.collect()) == \
-        [("a", "A"), ("b", "B"), ("c", "C")]
+        [("A", "A"), ("b", "B"), ("c", "C")]
