@@ -5,7 +5,6 @@ import json
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from shelfspark.operators import curate as cu
 from shelfspark.operators import hierarchy as H

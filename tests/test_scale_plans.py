@@ -10,7 +10,6 @@ from shelfspark.operators import hierarchy as H
 from shelfspark.operators import packaging as P
 from shelfspark.plans import fixtures as fx
 from shelfspark.plans import queries as Q
-from shelfspark.plans import rules as R
 
 
 def plan(df):
