@@ -32,7 +32,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2))
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=parts)
     out = {}
     for name in names:
         df = QUERIES[name](spark, sf_dir)

@@ -19,6 +19,7 @@ from ..operators import packaging as pk
 from ..operators import profile as pr
 from ..operators import publish as pb
 from ..schemas import CASE_COLUMNS
+from ..session import scratch_path
 from ..sources import jdbc, pages
 from ..sources.tables import TableStore
 from ..streaming import changes as ch
@@ -126,7 +127,7 @@ def q_topn_projection(spark, d):
 
 
 def _fresh_root(spark, name):
-    from ..session import scratch_path
+    """A new table-store root under the cluster's shared checkpoint folder."""
     return scratch_path(spark, name)
 
 
