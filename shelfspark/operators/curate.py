@@ -88,7 +88,7 @@ def curate(silver: DataFrame, with_images: bool = True) -> DataFrame:
     return parsed.select(*[cols[n].alias(n) for n in CURATED_COLUMNS])
 
 
-def latest_per_key(curated: DataFrame, key: str = "GTIN") -> DataFrame:
+def latest_per_key(curated: DataFrame, key: str = "GTIN", drop_null_keys: bool = False) -> DataFrame:
     """One row per key: newest StartAvailabilityDateTime, then newest ingest,
     then newest LastUpdatedDateTime, then Id, then every other column
     (a total order, D1). Rows with a NULL key collapse into one row, as the
@@ -96,8 +96,11 @@ def latest_per_key(curated: DataFrame, key: str = "GTIN") -> DataFrame:
 
     Spark plans this as a partial top-1 per key inside each map task
     (WindowGroupLimit) before the shuffle, so a hot key -- NULL included --
-    ships at most one row per map partition.
+    ships at most one row per map partition. ``drop_null_keys`` drops the
+    keyless rows instead of collapsing them.
     """
+    if drop_null_keys:
+        curated = curated.where(F.col(key).isNotNull())
     first = ["StartAvailabilityDateTime", "UpdatedAt", "LastUpdatedDateTime"]
     rest = ["Id"] + [c for c in curated.columns if c not in first and c not in (key, "Id")]
     order = [F.col(c).desc_nulls_last() for c in first] + [F.col(c).asc_nulls_last() for c in rest]

@@ -99,3 +99,10 @@ def test_quarantine_reasons(spark):
     got = {r["Id"]: r["reason"] for r in cu.quarantine(s).collect()}
     assert got == {"a": "null_document", "b": "malformed_json", "c": "not_an_object",
                    "d": "type_mismatch"}
+
+
+def test_latest_drop_null_keys(spark):
+    data = [("a", "{bad", "t"), ("b", json.dumps({"TradeItem": {"Gtin": "g"}}), "t")]
+    s = spark.createDataFrame(data, "Id string, raw_json string, ingest_ts string")
+    assert cu.latest_per_key(cu.curate(s)).count() == 2
+    assert [r["GTIN"] for r in cu.latest_per_key(cu.curate(s), drop_null_keys=True).collect()] == ["g"]
