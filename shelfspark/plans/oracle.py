@@ -394,6 +394,7 @@ Q["segment_skips"] = f"""
   ) s GROUP BY ingest_ts, outcome"""
 Q["updated_gtins"] = f"SELECT DISTINCT {P['gtin']} AS GTIN FROM part WHERE {R.HAS_V2}"
 Q["changes_upsert"] = Q["latest_per_key"]
+Q["changes_stream"] = Q["latest_per_key"]
 
 Q["asset_walk"] = with_(["exp_img"], f"""
   SELECT lpad(CAST(k AS STRING), 14, '0') AS GTIN, ord, url, filename, media_id FROM exp_img""")

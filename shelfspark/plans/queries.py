@@ -199,6 +199,23 @@ def q_changes_upsert(spark, d):
     return ch.upsert_latest(store.read("curated"), arrived)
 
 
+def q_changes_stream(spark, d):
+    """Structured Streaming form of the changes run: silver rows land as JSON
+    files; an availableNow stream merges each trigger's files into the
+    curated table. First the rows ingested before the run land and are
+    merged, then the rows of the run; the second trigger starts from the
+    stream checkpoint, so it only sees the new files."""
+    s = silver(spark, d)
+    root = _fresh_root(spark, "stream")
+    landing, store = f"{root}/landing", TableStore(spark, f"{root}/tables")
+    for part in (s.where(F.col("ingest_ts") < F.lit(R.RUN_START)),
+                 s.where(F.col("ingest_ts") >= F.lit(R.RUN_START))):
+        part.write.mode("append").json(landing)
+        ch.start_changes_stream(spark, landing, store, "curated", f"{root}/checkpoint") \
+            .awaitTermination()
+    return store.read("curated")
+
+
 # ---------------------------------------------------------------- assets
 def _walk(spark, d):
     docs = base_v1(spark, d).select(F.expr(R.PART["gtin"].replace("p_partkey", "k")).alias("GTIN"),
@@ -453,6 +470,7 @@ QUERIES: dict[str, Query] = {
     "segment_skips": q_segment_skips,
     "updated_gtins": q_updated_gtins,
     "changes_upsert": q_changes_upsert,
+    "changes_stream": q_changes_stream,
     # assets
     "asset_walk": q_asset_walk,
     "image_score": q_image_score,
