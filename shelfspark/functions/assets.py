@@ -28,14 +28,15 @@ CANDIDATE_TYPE = ArrayType(StructType([
 URL_KEY_RX = "(?i)\"(" + "|".join(URL_KEYS) + ")\"\\s*:"
 
 
-def _first_str(node: dict, lowered: dict, keys, allow_int: bool = False):
-    for k in keys:
-        if k in lowered:
-            v = node[lowered[k]]
-            if allow_int and isinstance(v, (str, int)) and str(v).strip():
-                return str(v).strip()
-            if isinstance(v, str) and v.strip():
-                return v.strip()
+def _pick(values: dict, keys, allow_int: bool = False):
+    """First usable value among ``keys`` (lower-case names): a non-blank
+    string, stripped; with ``allow_int`` an integer (as text) too."""
+    for name in keys:
+        v = values.get(name)
+        ok_type = isinstance(v, str) or (allow_int and isinstance(v, int))
+        text = str(v).strip() if ok_type else ""
+        if text:
+            return text
     return None
 
 
@@ -48,19 +49,24 @@ def walk_document(text):
     except (ValueError, TypeError):
         return []
     out = []
-    stack = [doc]
-    while stack:
-        x = stack.pop()
-        if isinstance(x, dict):
-            lowered = {k.lower(): k for k in x.keys()}
-            url = _first_str(x, lowered, URL_KEYS)
-            if url:
-                out.append({"ord": len(out), "url": url,
-                            "filename": _first_str(x, lowered, FILENAME_KEYS),
-                            "media_id": _first_str(x, lowered, MEDIA_ID_KEYS, allow_int=True)})
-            stack.extend(reversed(list(x.values())))
-        elif isinstance(x, list):
-            stack.extend(reversed(x))
+    pending = [doc]
+    while pending:
+        node = pending.pop()
+        if isinstance(node, list):
+            pending.extend(node[::-1])
+            continue
+        if not isinstance(node, dict):
+            continue
+        # keys compared case-insensitively; of two spellings the later wins
+        by_lower = {}
+        for k, v in node.items():
+            by_lower[k.lower()] = v
+        url = _pick(by_lower, URL_KEYS)
+        if url:
+            out.append({"ord": len(out), "url": url,
+                        "filename": _pick(by_lower, FILENAME_KEYS),
+                        "media_id": _pick(by_lower, MEDIA_ID_KEYS, allow_int=True)})
+        pending.extend(list(node.values())[::-1])
     return out
 
 
