@@ -106,3 +106,13 @@ def test_latest_drop_null_keys(spark):
     s = spark.createDataFrame(data, "Id string, raw_json string, ingest_ts string")
     assert cu.latest_per_key(cu.curate(s)).count() == 2
     assert [r["GTIN"] for r in cu.latest_per_key(cu.curate(s), drop_null_keys=True).collect()] == ["g"]
+
+
+def test_localized_single_object_is_not_a_list(spark):
+    # D17: a single object where a list is expected gives no value (as in the
+    # source system, which only reads lists); the fallback list is then used
+    doc = {"TradeItem": {"TradeItemDescriptionModule": {"TradeItemDescriptionInformation": {
+        "TradeItemDescription": {"LanguageCode": "fi", "Value": "Yksi"},
+        "DescriptionShort": [{"LanguageCode": "en", "Value": "Short"}]}}}}
+    r = curate_docs(spark, [doc]).collect()[0]
+    assert r["TradeItemDescription_fi"] == "Short"
