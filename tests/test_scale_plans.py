@@ -70,3 +70,25 @@ def test_weekly_sales_prunes_columns(spark):
 def test_no_row_at_a_time_python(spark):
     for name in ["curate_full", "category_cascade", "case_dimensions", "publish_manifest"]:
         assert "BatchEvalPython" not in plan(Q.QUERIES[name](spark, SF_SMALL))
+
+
+def test_curation_runs_once_per_query(spark, monkeypatch):
+    """Queries that consume the curated rows twice (self joins) still parse and
+    walk every document once: the shared shuffle stages are reused."""
+    import pandas as pd
+
+    import shelfspark.functions.assets as A
+    acc = spark.sparkContext.accumulator(0)
+    walk = A.walk_document
+
+    @F.pandas_udf(A.CANDIDATE_TYPE)
+    def counting(texts: pd.Series) -> pd.Series:
+        acc.add(len(texts))
+        return texts.map(walk)
+
+    monkeypatch.setattr(A, "_walk_udf", counting)
+    n_docs = fx.silver(spark, SF_SMALL).where("raw_json IS NOT NULL").count()
+    for name in ["case_dimensions", "publish_manifest", "coverage_metrics"]:
+        acc.value = 0
+        Q.QUERIES[name](spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+        assert acc.value == n_docs, name
