@@ -1,6 +1,7 @@
-"""Print the operators Spark chose for headline queries (after adaptive
-execution ran them): joins, exchanges, window limits, Python evaluation, and
-each scan's pushed filters / read schema.
+"""Print the operators Spark chose for headline queries (physical plans from
+static estimates; adaptive execution may refine joins at run time): joins,
+exchanges, window limits, Python evaluation, and each scan's pushed filters /
+read schema.
 
 usage: python scripts/plan_report.py [sf_dir] [name ...] > docs/PLANS.md
 """
@@ -30,7 +31,7 @@ def main():
                              "case_dimensions", "publish_manifest", "recent_sales_lookup",
                              "id_batches", "changes_upsert"]
     spark = get_spark("local[8]", 16)
-    print(f"# Physical plans after execution ({sf})\n")
+    print(f"# Physical plans ({sf})\n")
     for n in names:
         df = QUERIES[n](spark, sf)
         df.write.format("noop").mode("overwrite").save()
