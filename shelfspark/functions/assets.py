@@ -72,12 +72,8 @@ def walk_document(text):
 
 @F.pandas_udf(CANDIDATE_TYPE)
 def _walk_udf(texts: pd.Series) -> pd.Series:
-    # rows the JVM-side prefilter ruled out arrive as NULL: no Python call for them
-    out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-    present = texts.notna()
-    if present.any():
-        out[present] = texts[present].map(walk_document)
-    return out
+    # rows the JVM-side prefilter ruled out arrive as NULL and map to NULL
+    return texts.map(walk_document)
 
 
 def image_candidates(raw_json) -> Column:
