@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfspark.llm import langid
+from shelfspark.llm import langid, simhash_dups
 
 QUERIES = {
     "op1_language_id": langid.query,
+    "op9_simhash_near_dedup": simhash_dups.query,
 }
 
 ORACLE: dict[str, str] = {}
