@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from shelfspark.llm import langid, simhash_dups
+from shelfspark.llm import langid, line_dedup, simhash_dups
 
 QUERIES = {
     "op1_language_id": langid.query,
+    "op2_line_dedup": line_dedup.query,
     "op9_simhash_near_dedup": simhash_dups.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": line_dedup.SQL,
+}
