@@ -1,0 +1,119 @@
+import random
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from shelfspark.llm import decontam as D
+
+SF = "/root/testdata/sf0.001"
+
+
+def bag(words, k):
+    return Counter(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
+
+
+def best_similarity(doc, item):
+    """Over every window of the item's size."""
+    w, x = doc.lower().split(), item.lower().split()
+    if not x:
+        return 0.0
+    k = min(5, len(x))
+    b, top = bag(x, k), 0.0
+    for i in range(max(1, len(w) - len(x) + 1)):
+        a = bag(w[i:i + len(x)], k)
+        inter = sum((a & b).values())
+        top = max(top, inter / max(1, sum((a | b).values())))
+    return top
+
+
+def brute(docs, items):
+    out = {}
+    for i, t in docs.items():
+        for j, x in items.items():
+            s = best_similarity(t or "", x or "")
+            if s >= 0.8 - 1e-9:
+                out[i, j] = s
+    return out
+
+
+def got(df):
+    return {(r["doc_id"], r["item_id"]): r["similarity"] for r in df.collect()}
+
+
+def bench(spark, items):
+    return spark.createDataFrame(list(items.items()), "item_id long, text string")
+
+
+def same(a, b):
+    return a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_edited_passages_equal_brute_force(spark, make_docs):
+    rng = random.Random(5)
+    vocab = [f"w{i}" for i in range(60)]
+    items = {j: " ".join(rng.choice(vocab) for _ in range(rng.choice([3, 7, 20, 40, 80]))) for j in range(12)}
+    docs = {}
+    for i in range(150):
+        w = items[rng.randrange(12)].split()
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            at = rng.randrange(len(w))
+            w[at:at + rng.choice([0, 1])] = [rng.choice(vocab)]
+        if rng.random() < 0.2:
+            cut = rng.randrange(len(w))
+            w = w[cut:] + w[:cut]
+        pad = [rng.choice(vocab) for _ in range(rng.choice([0, 5, 50]))]
+        docs[i] = " ".join([*pad, *w, *pad[::-1]])
+    df = D.contaminated(make_docs(list(docs.items())), bench(spark, items))
+    want = brute(docs, items)
+    assert len(want) > 50
+    assert same(got(df), want)
+
+
+def test_query_equals_brute_force(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    # windows without any five-word shingle of an item have similarity 0: brute force skips such pairs
+    sh = {j: set(bag(x.lower().split(), min(5, len(x.split())))) for j, x in items.items()}
+    want = {}
+    for i, t in docs.items():
+        mine = set(bag(t.lower().split(), 5))
+        want |= brute({i: t}, {j: x for j, x in items.items() if sh[j] & mine})
+    assert want
+    assert same(got(D.query(spark, SF)), want)
+
+
+def test_block_index_covers_the_radius():
+    rng = random.Random(1)
+    blocks, r = D._blocks(), D.RADIUS // D.BLOCKS
+    assert sum(b for _, b in blocks) == 64
+    for _ in range(300):
+        d = sum(1 << b for b in rng.sample(range(64), D.RADIUS))
+        assert any((d >> at & ((1 << bits) - 1)).bit_count() <= r for at, bits in blocks)
+
+
+def test_odd_rows(spark, make_docs):
+    item = " ".join(f"t{i}" for i in range(30))
+    items = bench(spark, {1: item, 2: None, 3: "", 4: item, 5: "tiny item"}).union(
+        spark.createDataFrame([(None, " ".join(f"u{i}" for i in range(12)))], "item_id long, text string"))
+    docs = make_docs([(1, None), (2, " "), (3, item.upper()), (3, item.upper()), (4, "x " * 30_000 + item + " y" * 9),
+                      (5, "some tiny\nitem here"), (None, "a " + item), (6, "clean text of other words"),
+                      (7, " ".join(f"u{i}" for i in range(12)))])
+    docs = docs.withColumn("h", F.lit(1)).withColumn("words", F.lit(2)).withColumn("item", F.lit(3))
+    out = D.contaminated(docs, items)
+    have = sorted((r["doc_id"] or 0, r["item_id"] or 0, r["similarity"]) for r in out.collect())
+    assert have == [(0, 1, 1.0), (0, 4, 1.0), (3, 1, 1.0), (3, 4, 1.0), (4, 1, 1.0), (4, 4, 1.0), (5, 5, 1.0), (7, 0, 1.0)]
+    assert D.contaminated(docs.where("false"), items).count() == 0
+    assert D.contaminated(docs, items.where("false")).count() == 0
+
+
+def test_stage_keeps_clean_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = D.stage(spark, docs, SF)
+    bad = {r["doc_id"] for r in D.query(spark, SF).collect()}
+    assert out.columns == docs.columns
+    assert {r["doc_id"] for r in out.collect()} == {r["doc_id"] for r in docs.collect()} - bad
+
+
+def test_plan_is_native(spark):
+    plan = D.query(spark, SF)._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian"))
