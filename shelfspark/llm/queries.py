@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from shelfspark.llm import decontam, langid, line_dedup, simhash_dups
+from shelfspark.llm import bpe, decontam, langid, line_dedup, simhash_dups
 
 QUERIES = {
     "op1_language_id": langid.query,
     "op2_line_dedup": line_dedup.query,
     "op3_benchmark_decontamination": decontam.query,
+    "op4_bpe_round_trip": bpe.query,
     "op9_simhash_near_dedup": simhash_dups.query,
 }
 
