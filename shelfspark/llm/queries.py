@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from shelfspark.llm import bpe, decontam, langid, line_dedup, simhash_dups
+from shelfspark.llm import bpe, decontam, langid, line_dedup, simhash_dups, topk
 
 QUERIES = {
     "op1_language_id": langid.query,
     "op2_line_dedup": line_dedup.query,
     "op3_benchmark_decontamination": decontam.query,
     "op4_bpe_round_trip": bpe.query,
+    "op7_exact_top_k": topk.query,
     "op9_simhash_near_dedup": simhash_dups.query,
 }
 
 ORACLE: dict[str, str] = {
     "op2_line_dedup": line_dedup.SQL,
+    "op7_exact_top_k": topk.SQL,
 }
