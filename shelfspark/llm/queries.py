@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from shelfspark.llm import bpe, decontam, langid, line_dedup, simhash_dups, topk
+from shelfspark.llm import bpe, decontam, kd_shards, langid, line_dedup, simhash_dups, topk
 
 QUERIES = {
     "op1_language_id": langid.query,
     "op2_line_dedup": line_dedup.query,
     "op3_benchmark_decontamination": decontam.query,
     "op4_bpe_round_trip": bpe.query,
+    "op5_kd_sharding": kd_shards.query,
     "op7_exact_top_k": topk.query,
     "op9_simhash_near_dedup": simhash_dups.query,
 }
