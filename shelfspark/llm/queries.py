@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfspark.llm import bpe, decontam, kd_shards, langid, line_dedup, simhash_dups, topk
+from shelfspark.llm import bpe, decontam, kd_shards, langid, line_dedup, simhash_dups, tool_chat, topk
 
 QUERIES = {
     "op1_language_id": langid.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_kd_sharding": kd_shards.query,
     "op7_exact_top_k": topk.query,
     "op9_simhash_near_dedup": simhash_dups.query,
+    "op10_tool_call_chat": tool_chat.query,
 }
 
 ORACLE: dict[str, str] = {
