@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfspark.llm import bpe, decontam, kd_shards, langid, line_dedup, simhash_dups, tool_chat, topk
+from shelfspark.llm import bpe, decontam, kd_shards, kneser_ney, langid, line_dedup, simhash_dups, tool_chat, topk
 
 QUERIES = {
     "op1_language_id": langid.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_bpe_round_trip": bpe.query,
     "op5_kd_sharding": kd_shards.query,
     "op7_exact_top_k": topk.query,
+    "op8_kneser_ney": kneser_ney.query,
     "op9_simhash_near_dedup": simhash_dups.query,
     "op10_tool_call_chat": tool_chat.query,
 }
