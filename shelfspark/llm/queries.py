@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfspark.llm import bpe, decontam, kd_shards, kneser_ney, langid, line_dedup, simhash_dups, tool_chat, topk
+from shelfspark.llm import bpe, decontam, kd_shards, kneser_ney, langid, line_dedup, simhash_dups, suffix_dedup, tool_chat, topk
 
 QUERIES = {
     "op1_language_id": langid.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_benchmark_decontamination": decontam.query,
     "op4_bpe_round_trip": bpe.query,
     "op5_kd_sharding": kd_shards.query,
+    "op6_suffix_array_dedup": suffix_dedup.query,
     "op7_exact_top_k": topk.query,
     "op8_kneser_ney": kneser_ney.query,
     "op9_simhash_near_dedup": simhash_dups.query,
