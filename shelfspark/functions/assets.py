@@ -14,14 +14,18 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from .columns import (FILENAME_KEYS, MEDIA_ID_KEYS, URL_KEYS, col_, image_score,
                       is_image_url)
 
 CANDIDATE_TYPE = ArrayType(StructType([
     StructField("ord", IntegerType()), StructField("url", StringType()),
-    StructField("filename", StringType()), StructField("media_id", StringType())]))
+    StructField("filename", StringType()), StructField("media_id", StringType()),
+    StructField("first", BooleanType())]))
+
+#: Nesting that the walk's JSON reader is sure to take; deeper documents may have no candidates and are quarantined.
+MAX_WALK_DEPTH = 8_000
 
 # Cheap text pre-filter: a document can only hold a candidate if one of the
 # URL key names occurs in it as a quoted key.
@@ -41,14 +45,14 @@ def _pick(values: dict, keys, allow_int: bool = False):
 
 
 def walk_document(text):
-    """Pre-order list of (ord, url, filename, media_id) for one document."""
+    """Pre-order list of (ord, url, filename, media_id, first) for one document; first: no earlier one has its url."""
     if text is None:
         return None
     try:
         doc = json.loads(text)
-    except (ValueError, TypeError):
+    except (ValueError, TypeError, RecursionError):
         return []
-    out = []
+    out, seen = [], set()
     pending = [doc]
     while pending:
         node = pending.pop()
@@ -65,7 +69,9 @@ def walk_document(text):
         if url:
             out.append({"ord": len(out), "url": url,
                         "filename": _pick(by_lower, FILENAME_KEYS),
-                        "media_id": _pick(by_lower, MEDIA_ID_KEYS, allow_int=True)})
+                        "media_id": _pick(by_lower, MEDIA_ID_KEYS, allow_int=True),
+                        "first": url not in seen})
+            seen.add(url)
         pending.extend(list(node.values())[::-1])
     return out
 
@@ -86,9 +92,7 @@ def image_candidates(raw_json) -> Column:
 
 def dedup_first_url(cands) -> Column:
     """Keep the first occurrence of each URL with its own metadata."""
-    c = col_(cands)
-    return F.filter(c, lambda x: F.array_position(F.transform(c, lambda y: y["url"]), x["url"])
-                    == x["ord"] + F.lit(1))
+    return F.filter(col_(cands), lambda x: x["first"])
 
 
 def scored(cands) -> Column:

@@ -2,116 +2,159 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import assets
-from ..functions.columns import localized_pick, truthy_coalesce
-from ..schemas import CURATED_COLUMNS, RAW_ITEM_DDL
+from ..functions.columns import localized_elements, localized_pick, truthy_coalesce
+from ..schemas import CURATED_COLUMNS, DOCUMENT_FIELDS, document_ddl
+
+#: Limits of the JSON reader, well beyond its defaults (1,000 levels, 20 million characters).
+MAX_DEPTH = 100_000
+LIMITS = {"maxNestingDepth": str(MAX_DEPTH), "maxStringLen": str(2**31 - 1)}
+_CORRUPT = {**LIMITS, "columnNameOfCorruptRecord": "_corrupt_record"}
+
+IMAGE_COLUMNS = ["PrimaryImageUrl", "PrimaryImageFileName", "PrimaryImageMediaItemId", "SecondaryImageUrl"]
+#: The instants that order the versions of a key, newest first.
+VERSION_ORDER = ["StartAvailabilityDateTime", "UpdatedAt", "LastUpdatedDateTime"]
+#: Hidden column: 128-bit digest of the document, the last tie-break between versions.
+DOC_DIGEST = "_doc_digest"
+
+_DESC = "TradeItem.TradeItemDescriptionModule.TradeItemDescriptionInformation."
+_GPC = "TradeItem.GdsnTradeItemClassification."
+_MEAS = "TradeItem.TradeItemMeasurementsModule.TradeItemMeasurements."
+_NEXT = "TradeItem.NextLowerLevelTradeItemInformation."
+
+# Curated column -> the document fields it is made of, tried in order.
+SOURCES: dict[str, list[str]] = {
+    "StartAvailabilityDateTime": [
+        "TradeItem.DeliveryPurchasingInformationModule.DeliveryPurchasingInformation.StartAvailabilityDateTime"],
+    "BrandName": [_DESC + "BrandNameInformation.BrandName"],
+    "TradeItemDescription_fi": [_DESC + "TradeItemDescription", _DESC + "DescriptionShort"],
+    "GpcCategoryCode": [_GPC + "GpcCategoryCode"],
+    "GpcCategoryName": [_GPC + "GpcCategoryName"],
+    "GpcSegmentCode": [_GPC + "GpcSegmentCode"],
+    "GpcFamilyCode": [_GPC + "GpcFamilyCode"],
+    "GpcClassCode": [_GPC + "GpcClassCode"],
+    "Depth_mm": [_MEAS + "Depth.Value"],
+    "Width_mm": [_MEAS + "Width.Value"],
+    "Height_mm": [_MEAS + "Height.Value"],
+    "GrossWeight_g": [_MEAS + "TradeItemWeight.GrossWeight.Value"],
+    "TradeItemUnitDescriptor": ["TradeItem.TradeItemUnitDescriptorCode.Value"],
+    "InfoProviderName": ["TradeItem.InformationProviderOfTradeItem.PartyName", "TradeItem.InformationProvider.Name"],
+    "GTIN": ["TradeItem.Gtin", "GTIN"],
+    "Id": ["CatalogueItemInfo.Id", "TradeItem.Id", "TradeItem.Gtin", "GTIN"],
+    "LastUpdatedDateTime": ["CatalogueItemInfo.LastUpdatedDateTime", "LastUpdatedDateTime",
+                            "TradeItem.TradeItemSynchronisationDates.LastChangeDateTime"],
+    "Deleted": ["CatalogueItemInfo.Deleted", "Deleted"],
+    "IsConsumerUnit": ["TradeItem.IsTradeItemAConsumerUnit"],
+    "IsDespatchUnit": ["TradeItem.IsTradeItemADespatchUnit"],
+    "IsOrderableUnit": ["TradeItem.IsTradeItemAnOrderableUnit"],
+    "IsInvoiceUnit": ["TradeItem.IsTradeItemAnInvoiceUnit"],
+    "TotalQuantityOfNextLowerLevelTradeItem": [_NEXT + "TotalQuantityOfNextLowerLevelTradeItem"],
+    "ChildTradeItemJson": [_NEXT + "ChildTradeItem"],
+}
+
+
+def parse_fields(raw_json, paths: Iterable[str], corrupt: bool = False) -> Column:
+    """One typed parse of the fields at ``paths`` only, beyond the reader's default limits."""
+    raw = F.col(raw_json) if isinstance(raw_json, str) else raw_json
+    ddl = document_ddl(paths)
+    return F.from_json(raw, f"{ddl}, _corrupt_record string" if corrupt else ddl, _CORRUPT if corrupt else LIMITS)
 
-_CORRUPT = {"columnNameOfCorruptRecord": "_corrupt_record"}
 
+def field(doc: str, path: str) -> Column:
+    return F.col(f"{doc}.{path}")
 
-def parse_document(raw_json) -> Column:
-    """One typed parse per row; Catalyst prunes the fields nobody reads."""
-    raw = F.col(raw_json) if isinstance(raw_json, str) else raw_json
-    return F.from_json(raw, RAW_ITEM_DDL, _CORRUPT)
 
-
-def _deleted(raw: Column, d: Column) -> Column:
+def _deleted(raw: Column, doc: str) -> Column:
     """CatalogueItemInfo.Deleted if present (even if not a boolean, which then
-    yields NULL), else the root Deleted. The text probe only runs for the
-    rare rows where the typed CI value is NULL but a root value exists."""
-    ci = d["CatalogueItemInfo"]["Deleted"]
-    root = d["Deleted"]
-    ci_present = F.get_json_object(raw, "$.CatalogueItemInfo.Deleted").isNotNull()
-    return F.coalesce(ci, F.when(root.isNotNull() & ~ci_present, root))
+    yields NULL), else the root Deleted. Whether it is present is asked of the
+    text only for the rare rows where its typed value is NULL but a root one exists."""
+    nested, root = (field(doc, p) for p in SOURCES["Deleted"])
+    shown = F.from_json(raw, "CatalogueItemInfo struct<Deleted: string>", LIMITS)["CatalogueItemInfo"]["Deleted"]
+    return F.coalesce(nested, F.when(root.isNotNull() & shown.isNull(), root))
+
 
+def _column(name: str, doc: str) -> Column:
+    fields = [field(doc, p) for p in SOURCES[name]]
+    if name == "Deleted":
+        return _deleted(F.col("raw_json"), doc)
+    if name == "TradeItemDescription_fi":
+        return localized_pick(*[localized_elements(f) for f in fields])
+    return truthy_coalesce(*fields) if len(fields) > 1 else fields[0]
 
-def curate(silver: DataFrame, with_images: bool = True) -> DataFrame:
+
+def curate(silver: DataFrame, with_images: bool = True, columns: Iterable[str] | None = None,
+           digest: bool = False) -> DataFrame:
     """Silver (Id, raw_json, ingest_ts) -> curated rows (one per non-NULL raw_json).
 
-    Malformed JSON gives an all-NULL row that keeps ``UpdatedAt``.
+    ``columns`` names the curated columns that are wanted: only their fields
+    are parsed, and documents are walked for images only if an image column is
+    among them. Malformed JSON gives an all-NULL row that keeps ``UpdatedAt``.
+    ``digest`` adds the document's digest for :func:`latest_per_key`.
     """
+    wanted = [c for c in CURATED_COLUMNS if columns is None or c in set(columns)]
+    parsed_cols = [c for c in wanted if c in SOURCES]
     src = silver.where(F.col("raw_json").isNotNull()).select("raw_json", "ingest_ts")
-    d = parse_document(F.col("raw_json"))
-    parsed = src.select(F.col("raw_json"), F.col("ingest_ts"), d.alias("d"))
-    ti = F.col("d.TradeItem")
-    ci = F.col("d.CatalogueItemInfo")
-    desc = ti["TradeItemDescriptionModule"]["TradeItemDescriptionInformation"]
-    gpc = ti["GdsnTradeItemClassification"]
-    meas = ti["TradeItemMeasurementsModule"]["TradeItemMeasurements"]
-    nlli = ti["NextLowerLevelTradeItemInformation"]
-    gtin = truthy_coalesce(ti["Gtin"], F.col("d.GTIN"))
-
-    cols = {
-        "StartAvailabilityDateTime": ti["DeliveryPurchasingInformationModule"][
-            "DeliveryPurchasingInformation"]["StartAvailabilityDateTime"],
-        "BrandName": desc["BrandNameInformation"]["BrandName"],
-        "TradeItemDescription_fi": localized_pick(desc["TradeItemDescription"],
-                                                  desc["DescriptionShort"]),
-        "GpcCategoryCode": gpc["GpcCategoryCode"],
-        "GpcCategoryName": gpc["GpcCategoryName"],
-        "GpcSegmentCode": gpc["GpcSegmentCode"],
-        "GpcFamilyCode": gpc["GpcFamilyCode"],
-        "GpcClassCode": gpc["GpcClassCode"],
-        "Depth_mm": meas["Depth"]["Value"],
-        "Width_mm": meas["Width"]["Value"],
-        "Height_mm": meas["Height"]["Value"],
-        "GrossWeight_g": meas["TradeItemWeight"]["GrossWeight"]["Value"],
-        "TradeItemUnitDescriptor": ti["TradeItemUnitDescriptorCode"]["Value"],
-        "InfoProviderName": truthy_coalesce(ti["InformationProviderOfTradeItem"]["PartyName"],
-                                            ti["InformationProvider"]["Name"]),
-        "GTIN": gtin,
-        "Id": truthy_coalesce(ci["Id"], ti["Id"], gtin),
-        "LastUpdatedDateTime": truthy_coalesce(
-            ci["LastUpdatedDateTime"], F.col("d.LastUpdatedDateTime"),
-            ti["TradeItemSynchronisationDates"]["LastChangeDateTime"]),
-        "Deleted": _deleted(F.col("raw_json"), F.col("d")),
-        "IsConsumerUnit": ti["IsTradeItemAConsumerUnit"],
-        "IsDespatchUnit": ti["IsTradeItemADespatchUnit"],
-        "IsOrderableUnit": ti["IsTradeItemAnOrderableUnit"],
-        "IsInvoiceUnit": ti["IsTradeItemAnInvoiceUnit"],
-        "TotalQuantityOfNextLowerLevelTradeItem": nlli["TotalQuantityOfNextLowerLevelTradeItem"],
-        "ChildTradeItemJson": nlli["ChildTradeItem"],
-        "UpdatedAt": F.col("ingest_ts"),
-    }
-    if with_images:
+    paths = {p for c in parsed_cols for p in SOURCES[c]}
+    if paths:
+        src = src.withColumn("d", parse_fields("raw_json", paths))
+    cols = {c: _column(c, "d") for c in parsed_cols}
+    cols["UpdatedAt"] = F.col("ingest_ts")
+    images = [c for c in IMAGE_COLUMNS if c in wanted]
+    if images and with_images:
         # the walk's output is a column of its own: higher-order functions
         # may not wrap a Python UDF call
-        parsed = parsed.withColumn("_cands", assets.image_candidates(F.col("raw_json")))
+        src = src.withColumn("_cands", assets.image_candidates(F.col("raw_json")))
         cols.update(assets.top2(assets.ranked(F.col("_cands"))))
     else:
-        for n in ("PrimaryImageUrl", "PrimaryImageFileName", "PrimaryImageMediaItemId",
-                  "SecondaryImageUrl"):
-            cols[n] = F.lit(None).cast("string")
-    return parsed.select(*[cols[n].alias(n) for n in CURATED_COLUMNS])
+        cols.update({c: F.lit(None).cast("string") for c in images})
+    out = [cols[n].alias(n) for n in wanted]
+    if digest:
+        out.append(F.md5("raw_json").alias(DOC_DIGEST))
+    return src.select(*out)
 
 
 def latest_per_key(curated: DataFrame, key: str = "GTIN", drop_null_keys: bool = False) -> DataFrame:
     """One row per key: newest StartAvailabilityDateTime, then newest ingest,
-    then newest LastUpdatedDateTime, then Id, then every other column
-    (a total order, D1). Rows with a NULL key collapse into one row, as the
-    source system does (D7).
+    then newest LastUpdatedDateTime, then Id, then the document's digest: equal
+    digests are equal documents, so the order is total (D1). A frame without
+    digests is ordered by its other columns instead. Rows with a NULL key
+    collapse into one row, as the source system does (D7).
 
     Spark plans this as a partial top-1 per key inside each map task
     (WindowGroupLimit) before the shuffle, so a hot key -- NULL included --
     ships at most one row per map partition. ``drop_null_keys`` drops the
-    keyless rows instead of collapsing them.
+    keyless rows instead of collapsing them. The digest stays, if it came.
     """
     if drop_null_keys:
         curated = curated.where(F.col(key).isNotNull())
-    first = ["StartAvailabilityDateTime", "UpdatedAt", "LastUpdatedDateTime"]
-    rest = ["Id"] + [c for c in curated.columns if c not in first and c not in (key, "Id")]
-    order = [F.col(c).desc_nulls_last() for c in first] + [F.col(c).asc_nulls_last() for c in rest]
+    rest = ["Id", *([DOC_DIGEST] if DOC_DIGEST in curated.columns else
+                    [c for c in curated.columns if c not in (*VERSION_ORDER, key, "Id")])]
+    order = [F.col(c).desc_nulls_last() for c in VERSION_ORDER] + [F.col(c).asc_nulls_last() for c in rest]
     w = Window.partitionBy(key).orderBy(*order)
     return curated.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def segment_code(doc: Column) -> Column:
-    """Nested classification segment, else the root one (truthy fallback)."""
-    return truthy_coalesce(doc["TradeItem"]["GdsnTradeItemClassification"]["GpcSegmentCode"],
-                           doc["GpcSegmentCode"])
+def latest_curated(silver: DataFrame, columns: Iterable[str] | None = None, keep_digest: bool = False) -> DataFrame:
+    """Curate and keep the latest version of each key, reading no more of the documents than
+    the wanted columns and the version order need."""
+    wanted = [c for c in CURATED_COLUMNS if columns is None or c in set(columns)]
+    need = {*wanted, "GTIN", "Id", *VERSION_ORDER}
+    rows = latest_per_key(curate(silver, columns=need, digest=True))
+    return rows.select(*wanted, *([DOC_DIGEST] if keep_digest else []))
+
+
+SEGMENT_PATHS = [_GPC + "GpcSegmentCode", "GpcSegmentCode"]
+
+
+def with_segment(silver: DataFrame, name: str = "_segment") -> DataFrame:
+    """Adds the nested classification segment, else the root one (truthy fallback): parsed once, as a column."""
+    doc = silver.withColumn("_doc", parse_fields("raw_json", SEGMENT_PATHS))
+    return doc.withColumn(name, truthy_coalesce(*[field("_doc", p) for p in SEGMENT_PATHS])).drop("_doc")
 
 
 def segment_filter(silver: DataFrame, wanted: str | None) -> DataFrame:
@@ -119,33 +162,41 @@ def segment_filter(silver: DataFrame, wanted: str | None) -> DataFrame:
     Missing segment never matches."""
     if wanted is None:
         return silver
-    seg = segment_code(parse_document(F.col("raw_json")))
-    return silver.where(F.coalesce(seg == F.lit(str(wanted)), F.lit(False)))
+    return with_segment(silver).where(F.col("_segment") == F.lit(str(wanted))).select(*silver.columns)
 
 
 def segment_outcomes(silver: DataFrame, wanted: str | None, batch_col: str) -> DataFrame:
     """Counts of written / skipped items per batch for the segment filter."""
-    seg = segment_code(parse_document(F.col("raw_json")))
-    keep = F.lit(True) if wanted is None else F.coalesce(seg == F.lit(str(wanted)), F.lit(False))
-    return (silver.select(F.col(batch_col).alias("batch"),
-                          F.when(keep, "written").otherwise("skipped").alias("outcome"))
+    keep = F.lit(True) if wanted is None else F.coalesce(F.col("_segment") == F.lit(str(wanted)), F.lit(False))
+    return (with_segment(silver).select(F.col(batch_col).alias("batch"),
+                                        F.when(keep, "written").otherwise("skipped").alias("outcome"))
             .groupBy("batch", "outcome").agg(F.count(F.lit(1)).alias("n")))
 
 
 def quarantine(silver: DataFrame) -> DataFrame:
     """Rows that cannot be curated cleanly, with a reason (F2, D10).
 
-    ``null_document``: raw_json is NULL; ``malformed_json``: not JSON at all;
+    ``null_document``: raw_json is NULL; ``too_deep``: nested beyond what curation or the
+    image walk reads; ``malformed_json``: not JSON at all;
     ``not_an_object``: JSON whose root is not an object; ``type_mismatch``:
     a field had an unexpected type (that field becomes NULL).
     """
-    d = parse_document(F.col("raw_json"))
-    corrupt = d["_corrupt_record"]
-    first = F.substring(F.ltrim(F.col("raw_json")), 1, 1)
-    reason = (F.when(F.col("raw_json").isNull(), "null_document")
-              .when(corrupt.isNull(), F.lit(None))
-              .when(F.try_parse_json(F.col("raw_json")).isNull(), "malformed_json")
+    raw = F.col("raw_json")
+    src = silver.select("Id", "ingest_ts", "raw_json", parse_fields(raw, DOCUMENT_FIELDS, corrupt=True)["_corrupt_record"]
+                        .alias("corrupt"))
+    # brackets say how deep a text can be at most; the exact test runs only where they allow it
+    brackets = F.length(raw) - F.length(F.translate(raw, "[{", ""))
+    walked = F.from_json(raw, "_any string, _corrupt_record string",
+                         {**_CORRUPT, "maxNestingDepth": str(assets.MAX_WALK_DEPTH)})["_corrupt_record"]
+    endless = F.from_json(raw, "_any string, _corrupt_record string", {**_CORRUPT, "maxNestingDepth": str(2**31 - 1)})[
+        "_corrupt_record"]
+    first = F.substring(F.ltrim(raw), 1, 1)
+    deep = F.when(brackets > assets.MAX_WALK_DEPTH, walked.isNotNull() & endless.isNull()).otherwise(F.lit(False))
+    reason = (F.when(raw.isNull(), "null_document")
+              .when(deep, "too_deep")
+              .when(F.col("corrupt").isNull(), F.lit(None))
+              .when(F.try_parse_json(raw).isNull(), "malformed_json")
               .when(first != F.lit("{"), "not_an_object")
               .otherwise("type_mismatch"))
-    return (silver.select("Id", "ingest_ts", reason.alias("reason"))
+    return (src.select("Id", "ingest_ts", reason.alias("reason"))
             .where(F.col("reason").isNotNull()))

@@ -6,17 +6,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import trim_unicode
+from .curate import field, parse_fields
 
-CODE_PATH = "$.TradeItem.GdsnTradeItemClassification.GpcCategoryCode"
-NAME_PATH = "$.TradeItem.GdsnTradeItemClassification.GpcCategoryName"
+CODE_PATH = "TradeItem.GdsnTradeItemClassification.GpcCategoryCode"
+NAME_PATH = "TradeItem.GdsnTradeItemClassification.GpcCategoryName"
 NORDIC_RX = "[åäöÅÄÖ]"
 
 
 def category_name_counts(silver: DataFrame) -> DataFrame:
-    """(code, name, n) from the raw text; a partial aggregate before the
+    """(code, name, n), both fields from one small parse; a partial aggregate before the
     shuffle, so a popular code never ships one row per item."""
-    src = silver.select(F.get_json_object("raw_json", CODE_PATH).alias("GpcCategoryCode"),
-                        F.get_json_object("raw_json", NAME_PATH).alias("GpcCategoryName"))
+    src = (silver.select(parse_fields("raw_json", [CODE_PATH, NAME_PATH]).alias("d"))
+           .select(field("d", CODE_PATH).alias("GpcCategoryCode"), field("d", NAME_PATH).alias("GpcCategoryName")))
     return (src.where(F.col("GpcCategoryCode").isNotNull())
             .groupBy("GpcCategoryCode", "GpcCategoryName").agg(F.count(F.lit(1)).alias("n")))
 
@@ -40,19 +41,19 @@ def category_names(silver: DataFrame) -> DataFrame:
         "GpcCategoryCode", "SelectedName", "DistinctNames")
 
 
-def category_name_conflicts(profile: DataFrame) -> DataFrame:
-    """Number of codes and number of codes with more than one distinct name."""
-    return profile.agg(F.count(F.lit(1)).alias("n_codes"),
-                       F.count_if(F.size("DistinctNames") > 1).alias("n_codes_multi_name"))
+def category_name_conflicts(silver: DataFrame) -> DataFrame:
+    """Number of codes and number of codes with more than one distinct name: only counted, no list is built."""
+    per_code = category_name_counts(silver).groupBy("GpcCategoryCode").agg(F.count("GpcCategoryName").alias("names"))
+    return per_code.agg(F.count(F.lit(1)).alias("n_codes"), F.count_if(F.col("names") > 1).alias("n_codes_multi_name"))
 
 
 def deleted_counts(curated: DataFrame) -> DataFrame:
     return curated.groupBy("Deleted").agg(F.count(F.lit(1)).alias("n"))
 
 
-def json_isin(silver: DataFrame, keys: DataFrame, path: str = "$.TradeItem.Gtin") -> DataFrame:
+def json_isin(silver: DataFrame, keys: DataFrame, path: str = "TradeItem.Gtin") -> DataFrame:
     """Raw items whose JSON path value is one of ``keys.GTIN`` (semi join)."""
-    df = silver.select("Id", F.get_json_object("raw_json", path).alias("GTIN"))
+    df = silver.select("Id", parse_fields("raw_json", [path]).alias("d")).select("Id", field("d", path).alias("GTIN"))
     return df.join(keys.select("GTIN").distinct(), "GTIN", "left_semi")
 
 

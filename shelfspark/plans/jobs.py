@@ -112,7 +112,7 @@ def _append_run_metrics(spark: SparkSession, store: TableStore, kind: str, run_t
 def category_profile(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Best name per category code and the conflict summary."""
     p = pr.category_names(silver).orderBy("GpcCategoryCode")
-    return p, pr.category_name_conflicts(p)
+    return p, pr.category_name_conflicts(silver)
 
 
 def probes(curated: DataFrame, silver: DataFrame, bronze: DataFrame, keys: DataFrame) -> dict:

@@ -237,7 +237,7 @@ def _s(c: str) -> str:
 
 
 _PATH_EXT = ("CASE " + " ".join(
-    f"WHEN ends_with(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)), "
+    f"WHEN ends_with(lower(regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), ';[^/]*$', '')), "
     f"'{e}') THEN '{e}'" for e in [".jpg", ".jpeg", ".png", ".webp", ".gif", ".bmp", ".tif", ".tiff"])
     + " END")
 _BASE = (f"CASE WHEN {_s('GTIN_NO_LEADING_ZEROS')} <> '' THEN {_s('GTIN_NO_LEADING_ZEROS')} "
@@ -297,9 +297,9 @@ def _content_type_sql() -> str:
             f"WHEN {ext} = 'bmp' THEN 'application/octet-stream' WHEN {ext} = 'gif' THEN '' END")
 
 
-_DISPLAY = ("CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN replace(p_name, ' ', ' ') "
+_DISPLAY = ("CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN replace(p_name, ' ', chr(160)) "
             "WHEN 2 THEN '  ' || upper(p_name) || ' ' ELSE replace(p_name, ' ', ' – ') END")
-_NORM = ("lower(trim(regexp_replace(translate(coalesce(display, ''), ' ‐‑‒–—−­', ' -------'), "
+_NORM = ("lower(trim(regexp_replace(translate(coalesce(display, ''), chr(160) || '‐‑‒–—−­', ' -------'), "
          "'\\s+', ' ', 'g')))")
 
 _CAT = """
@@ -351,9 +351,9 @@ Q["id_batches"] = with_(["exp_bronze"], """
   FROM (SELECT DISTINCT Id, (('0x' || substr(md5(Id), 1, 8))::BIGINT) % 64 AS bucket FROM exp_bronze) t""")
 Q["bronze_snapshot"] = with_(["exp_bronze"], f"SELECT Id, '{R.RUN_START}' AS load_time FROM exp_bronze")
 Q["distinct_keys"] = with_(["exp_bronze"], "SELECT DISTINCT Id FROM exp_bronze")
-Q["silver_append"] = (f"SELECT {R.SILVER_ID_BASE} AS Id, {R.INGEST_V1} AS ingest_ts, "
-                      f"CAST(NULL AS VARCHAR) AS batch FROM part UNION ALL "
-                      f"SELECT {R.SILVER_ID_BASE}, {R.INGEST_V2}, 'changes' FROM part WHERE {R.HAS_V2}")
+Q["silver_append"] = (f"SELECT Id, {R.INGEST_V1} AS ingest_ts, CAST(NULL AS VARCHAR) AS batch FROM "
+                      f"({_SILVER_IDS.replace(f'UNION ALL SELECT {R.SILVER_ID_BASE} FROM part WHERE {R.HAS_V2}', '')}) s "
+                      f"UNION ALL SELECT {R.SILVER_ID_BASE}, {R.INGEST_V2}, 'changes' FROM part WHERE {R.HAS_V2}")
 Q["snapshot_read"] = with_(["exp_hier"], """
   SELECT GTIN, L2 AS PRODUCT_HIERARCHY_LEVEL_2, L3 AS PRODUCT_HIERARCHY_LEVEL_3,
          L4 AS PRODUCT_HIERARCHY_LEVEL_4 FROM exp_hier""")
@@ -361,15 +361,12 @@ Q["topn_projection"] = with_(["exp_hier"], """
   SELECT GTIN, L2 AS PRODUCT_HIERARCHY_LEVEL_2 FROM exp_hier
   ORDER BY GTIN DESC NULLS LAST, L2 ASC NULLS FIRST LIMIT 100""")
 
-_B = R.EXPECTED_BASE
-Q["json_path_get"] = (f"SELECT {P['gtin']} AS GTIN, {_B['Depth_mm']} AS Depth_mm, "
-                      f"coalesce({_B['Depth_mm']}, 'n/a') AS depth_or_default FROM part")
-Q["localized_pick"] = f"SELECT {P['gtin']} AS GTIN, {_B['TradeItemDescription_fi']} AS TradeItemDescription_fi FROM part"
-Q["key_fallback"] = (f"SELECT {P['gtin']} AS GTIN, {_B['Id']} AS Id, {_B['InfoProviderName']} AS InfoProviderName, "
-                     f"{_B['LastUpdatedDateTime']} AS LastUpdatedDateTime FROM part")
-Q["strict_boolean"] = ("SELECT " + P["gtin"] + " AS GTIN, " + ", ".join(
-    f"{_B[c]} AS {c}" for c in ["Deleted", "IsConsumerUnit", "IsDespatchUnit", "IsOrderableUnit",
-                               "IsInvoiceUnit"]) + " FROM part")
+Q["json_path_get"] = with_(["exp_curated"], """
+  SELECT GTIN, Depth_mm, coalesce(Depth_mm, 'n/a') AS depth_or_default FROM exp_curated""")
+Q["localized_pick"] = with_(["exp_curated"], "SELECT GTIN, TradeItemDescription_fi FROM exp_curated")
+Q["key_fallback"] = with_(["exp_curated"], "SELECT GTIN, Id, InfoProviderName, LastUpdatedDateTime FROM exp_curated")
+Q["strict_boolean"] = with_(["exp_curated"], """
+  SELECT GTIN, Deleted, IsConsumerUnit, IsDespatchUnit, IsOrderableUnit, IsInvoiceUnit FROM exp_curated""")
 Q["strip_zeros"] = """
   SELECT k, raw, NULLIF(ltrim(raw, '0'), '') AS stripped FROM (
     SELECT p_partkey AS k, CASE p_partkey % 10 WHEN 0 THEN lpad(CAST(p_partkey AS STRING), 14, '0')
@@ -397,16 +394,18 @@ Q["changes_upsert"] = Q["latest_per_key"]
 Q["changes_stream"] = Q["latest_per_key"]
 
 Q["asset_walk"] = with_(["exp_img"], f"""
-  SELECT lpad(CAST(k AS STRING), 14, '0') AS GTIN, ord, url, filename, media_id FROM exp_img""")
+  SELECT {P['gtin']} AS GTIN, ord, url, filename, media_id FROM exp_img JOIN part ON p_partkey = k
+  UNION ALL
+  SELECT {P['gtin']}, ord, url, filename, media_id FROM exp_img JOIN part ON p_partkey = k WHERE {R.HAS_V2}""")
 Q["image_score"] = with_(["exp_img"], f"""
   SELECT url, CASE WHEN regexp_extract(url, '_([A-Za-z0-9]{{4}})\\.', 1) = '' THEN 'NONE'
                    ELSE upper(regexp_extract(url, '_([A-Za-z0-9]{{4}})\\.', 1)) END AS suffix_code,
          {EXT_SQL_RAW} AS extension, {SUFFIX_SQL} + {EXT_SQL} AS score,
          coalesce({EXT_SQL_RAW} IN ({', '.join(repr(e) for e in EXTENSION_POINTS)}), false) AS is_image
   FROM (SELECT DISTINCT url FROM exp_img) t""")
-Q["image_rank"] = with_(["exp_img_top"], f"""
-  SELECT {P['gtin']} AS GTIN, i.PrimaryImageUrl, i.PrimaryImageFileName, i.PrimaryImageMediaItemId,
-         i.SecondaryImageUrl FROM part LEFT JOIN exp_img_top i ON i.k = part.p_partkey""")
+Q["image_rank"] = with_(["exp_curated"], """
+  SELECT GTIN, PrimaryImageUrl, PrimaryImageFileName, PrimaryImageMediaItemId, SecondaryImageUrl
+  FROM exp_curated""")
 
 _LV = "L2 AS PRODUCT_HIERARCHY_LEVEL_2, L3 AS PRODUCT_HIERARCHY_LEVEL_3, L4 AS PRODUCT_HIERARCHY_LEVEL_4"
 Q["category_exclusions"] = with_(["exp_hier"], f"SELECT GTIN, {_LV} FROM exp_hier WHERE {_excl()}")
@@ -459,7 +458,7 @@ Q["publish_manifest"] = with_(["exp_manifest_w"], """
 Q["publish_metadata"] = with_(["exp_manifest"], "SELECT gtin, n_fields, metadata_text FROM exp_manifest")
 Q["resolve_extension"] = with_(["exp_pub"], f"""
   SELECT gtin, url, content_type, coalesce({_ct_case()},
-      CASE {" ".join(f"WHEN ends_with(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)), '{e}') THEN '{e}'" for e in [".jpg", ".jpeg", ".png", ".webp", ".gif", ".bmp", ".tif", ".tiff"])} END,
+      CASE {" ".join(f"WHEN ends_with(lower(regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), ';[^/]*$', '')), '{e}') THEN '{e}'" for e in [".jpg", ".jpeg", ".png", ".webp", ".gif", ".bmp", ".tif", ".tiff"])} END,
       '.jpg') AS ext
   FROM (SELECT GTIN AS gtin, PrimaryImageUrl AS url, {_content_type_sql().replace('url', 'PrimaryImageUrl')}
         AS content_type FROM exp_pub) t""")

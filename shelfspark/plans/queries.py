@@ -35,24 +35,20 @@ def silver(spark, d):
     return fx.silver(spark, d)
 
 
-def base_v1(spark, d):
-    return fx.base_documents(spark, d).where("version = 1")
-
-
 def curated(spark, d):
     return cu.curate(silver(spark, d))
 
 
-def latest(spark, d):
-    return cu.latest_per_key(curated(spark, d))
+def latest(spark, d, columns=None):
+    return cu.latest_curated(silver(spark, d), columns)
 
 
 def recent(spark, d):
     return hi.recent_sales_lookup(fx.hierarchy(spark, d), fx.weekly_sales(spark, d), R.AS_OF)
 
 
-def gold(spark, d, keep_known=False, base=None):
-    return hi.category_cascade(base if base is not None else latest(spark, d),
+def gold(spark, d, keep_known=False, base=None, columns=None):
+    return hi.category_cascade(base if base is not None else latest(spark, d, columns),
                                fx.hierarchy(spark, d), recent(spark, d), R.EXCLUSION_RULES,
                                R.OWN_PROVIDER, R.PLACEHOLDER, keep_known=keep_known)
 
@@ -108,10 +104,10 @@ def q_distinct_keys(spark, d):
 
 def q_silver_append(spark, d):
     store = TableStore(spark, _fresh_root(spark, "silver"))
-    docs = fx.base_documents(spark, d)
-    store.write(docs.where("version = 1").select("Id", "raw_json", "ingest_ts"), "silver")
-    store.write(docs.where("version = 2").select("Id", "raw_json", "ingest_ts")
-                .withColumn("batch", F.lit("changes")), "silver", mode="append")
+    docs = silver(spark, d)
+    store.write(docs.where(F.col("ingest_ts") < F.lit(R.RUN_START)), "silver")
+    store.write(docs.where(F.col("ingest_ts") >= F.lit(R.RUN_START)).withColumn("batch", F.lit("changes")),
+                "silver", mode="append")
     return store.read("silver").select("Id", "ingest_ts", "batch")
 
 
@@ -132,26 +128,23 @@ def _fresh_root(spark, name):
 
 
 # ---------------------------------------------------------------- projections
-def _base_curated(spark, d):
-    return cu.curate(base_v1(spark, d), with_images=False)
-
-
 def q_json_path_get(spark, d):
-    c = _base_curated(spark, d)
+    c = cu.curate(silver(spark, d), columns=["GTIN", "Depth_mm"])
     return c.select("GTIN", "Depth_mm", F.coalesce("Depth_mm", F.lit("n/a")).alias("depth_or_default"))
 
 
 def q_localized_pick(spark, d):
-    return _base_curated(spark, d).select("GTIN", "TradeItemDescription_fi")
+    return cu.curate(silver(spark, d), columns=["GTIN", "TradeItemDescription_fi"]).select("GTIN", "TradeItemDescription_fi")
 
 
 def q_key_fallback(spark, d):
-    return _base_curated(spark, d).select("GTIN", "Id", "InfoProviderName", "LastUpdatedDateTime")
+    wanted = ["GTIN", "Id", "InfoProviderName", "LastUpdatedDateTime"]
+    return cu.curate(silver(spark, d), columns=wanted).select(*wanted)
 
 
 def q_strict_boolean(spark, d):
-    return _base_curated(spark, d).select("GTIN", "Deleted", "IsConsumerUnit", "IsDespatchUnit",
-                                          "IsOrderableUnit", "IsInvoiceUnit")
+    wanted = ["GTIN", "Deleted", "IsConsumerUnit", "IsDespatchUnit", "IsOrderableUnit", "IsInvoiceUnit"]
+    return cu.curate(silver(spark, d), columns=wanted).select(*wanted)
 
 
 def q_strip_zeros(spark, d):
@@ -218,9 +211,11 @@ def q_changes_stream(spark, d):
 
 # ---------------------------------------------------------------- assets
 def _walk(spark, d):
-    docs = base_v1(spark, d).select(F.expr(R.PART["gtin"].replace("p_partkey", "k")).alias("GTIN"),
-                                    "raw_json")
-    return docs.withColumn("cands", assets.image_candidates("raw_json"))
+    docs = silver(spark, d).where("raw_json IS NOT NULL")
+    paths = cu.SOURCES["GTIN"]
+    gtin = F.coalesce(*[F.nullif(cu.field("d", p), F.lit("")) for p in paths])
+    return (docs.withColumn("d", cu.parse_fields("raw_json", paths)).select(gtin.alias("GTIN"), "raw_json")
+            .withColumn("cands", assets.image_candidates("raw_json")))
 
 
 def q_asset_walk(spark, d):
@@ -262,61 +257,69 @@ def q_prefix_join(spark, d):
 
 def q_known_flag(spark, d):
     lookup = hi.key_lookup(fx.hierarchy(spark, d), recent(spark, d), R.EXCLUSION_RULES)
-    return hi.known_flag(latest(spark, d).select("GTIN"), lookup)
+    return hi.known_flag(latest(spark, d, ["GTIN"]), lookup)
 
 
 def q_tier0_join(spark, d):
     r = hi.apply_exclusions(hi.dedup_by_key(recent(spark, d), "EAN"), R.EXCLUSION_RULES)
-    c = latest(spark, d).select("GTIN").withColumn("GTIN_NO_LEADING_ZEROS", strip_leading_zeros("GTIN"))
+    c = latest(spark, d, ["GTIN"]).withColumn("GTIN_NO_LEADING_ZEROS", strip_leading_zeros("GTIN"))
     return (c.join(r, c["GTIN_NO_LEADING_ZEROS"] == r["EAN"], "left")
             .select("GTIN", F.col(L2).alias("L2_recent"), F.col(L3).alias("L3_recent"),
                     F.col(L4).alias("L4_recent")))
 
 
+# what the cascade reads of a curated row, and what tells rows without a key apart
+_CASCADE_IN = ["GTIN", "Id", "InfoProviderName", "UpdatedAt", "LastUpdatedDateTime"]
+
+
 def q_category_cascade(spark, d):
-    return gold(spark, d).select("GTIN", "Id", "GTIN_NO_LEADING_ZEROS", L2, L3, L4, "CATEGORY_SOURCE")
+    return gold(spark, d, columns=_CASCADE_IN).select("GTIN", "Id", "GTIN_NO_LEADING_ZEROS", L2, L3, L4, "CATEGORY_SOURCE")
 
 
 def q_own_placeholder(spark, d):
-    g = gold(spark, d, keep_known=True)
+    g = gold(spark, d, keep_known=True, columns=_CASCADE_IN)
     return g.where(upper_trim_equals("InfoProviderName", R.OWN_PROVIDER)).select(
         "GTIN", "InfoProviderName", "CATEGORY_KNOWN", "CATEGORY_SOURCE", L2)
 
 
 def q_coverage_metrics(spark, d):
-    return hi.coverage_metrics(gold(spark, d, keep_known=True), R.OWN_PROVIDER)
+    return hi.coverage_metrics(gold(spark, d, keep_known=True, columns=_CASCADE_IN), R.OWN_PROVIDER)
 
 
 # ---------------------------------------------------------------- packaging
+_CASE_IN = ["GTIN", "Id", "UpdatedAt", "LastUpdatedDateTime", "TradeItemUnitDescriptor", "IsDespatchUnit", "Depth_mm",
+            "Width_mm", "Height_mm", "GrossWeight_g", "TotalQuantityOfNextLowerLevelTradeItem", "ChildTradeItemJson"]
+
+
 def q_unit_split(spark, d):
-    base, other = pk.unit_split(latest(spark, d))
+    base, other = pk.unit_split(latest(spark, d, ["TradeItemUnitDescriptor"]))
     return (base.select(F.lit("base").alias("unit_class"))
             .unionByName(other.select(F.lit("other").alias("unit_class")))
             .groupBy("unit_class").agg(F.count(F.lit(1)).alias("n")))
 
 
 def q_case_edges(spark, d):
-    return pk.case_edges(latest(spark, d))
+    return pk.case_edges(latest(spark, d, _CASE_IN))
 
 
 def q_case_pick(spark, d):
-    return pk.case_pick(pk.case_edges(latest(spark, d)))
+    return pk.case_pick(pk.case_edges(latest(spark, d, _CASE_IN)))
 
 
 _CASE_OUT = ["GTIN", "TradeItemUnitDescriptor", *CASE_COLUMNS]
 
 
 def q_case_dimensions(spark, d):
-    return pk.case_dimensions(latest(spark, d)).select(*_CASE_OUT)
+    return pk.case_dimensions(latest(spark, d, _CASE_IN)).select(*_CASE_OUT)
 
 
 def q_case_idempotent(spark, d):
-    once = pk.case_dimensions(latest(spark, d))
+    once = pk.case_dimensions(latest(spark, d, _CASE_IN))
     return pk.case_dimensions(once).select(*_CASE_OUT)
 
 
 def q_case_metrics(spark, d):
-    return pk.case_metrics(pk.case_dimensions(latest(spark, d)))
+    return pk.case_metrics(pk.case_dimensions(latest(spark, d, _CASE_IN)))
 
 
 # ---------------------------------------------------------------- publishing
@@ -363,7 +366,7 @@ def q_resolve_extension(spark, d):
 
 def _display_names(spark, d):
     disp = F.expr("""CASE p_partkey % 4 WHEN 0 THEN p_name
-        WHEN 1 THEN replace(p_name, ' ', ' ')
+        WHEN 1 THEN replace(p_name, ' ', '\u00a0')
         WHEN 2 THEN '  ' || upper(p_name) || ' '
         ELSE replace(p_name, ' ', ' – ') END""")
     return fx.table(spark, d, "part").select(F.col("p_partkey").alias("k"), disp.alias("display"))
@@ -414,11 +417,11 @@ def q_category_names(spark, d):
 
 
 def q_category_name_conflicts(spark, d):
-    return pr.category_name_conflicts(pr.category_names(silver(spark, d)))
+    return pr.category_name_conflicts(silver(spark, d))
 
 
 def q_deleted_counts(spark, d):
-    return pr.deleted_counts(latest(spark, d))
+    return pr.deleted_counts(latest(spark, d, ["Deleted"]))
 
 
 def q_json_isin(spark, d):
@@ -433,17 +436,20 @@ def q_missing_keys(spark, d):
 
 
 def q_run_summary(spark, d):
-    """One row of run metrics, every count from one aggregate per table."""
-    lat = latest(spark, d)
-    g = pk.case_dimensions(gold(spark, d, base=lat))
-    keys = bronze(spark, d).agg(F.count_distinct("Id").alias("n_keys"))
-    sil = silver(spark, d).agg(F.count(F.lit(1)).alias("n_silver"))
-    gm = g.agg(F.count(F.lit(1)).alias("n_gold"),
-               F.count_if(F.col("CATEGORY_SOURCE").isNotNull()).alias("n_categorised"),
-               F.count_if(F.col("Case_GTIN").isNotNull()).alias("n_with_case_dims"))
-    one = F.lit(1).alias("_j")
-    return (keys.select("*", one).join(sil.select("*", one), "_j")
-            .join(gm.select("*", one), "_j").drop("_j"))
+    """One row of run metrics: the counts of each table are rows of one union, added up by one aggregate."""
+    g = pk.case_dimensions(gold(spark, d, columns=sorted({*_CASCADE_IN, *_CASE_IN})))
+    names = ["n_keys", "n_silver", "n_gold", "n_categorised", "n_with_case_dims"]
+
+    def counts(df, **of):
+        got = df.agg(*[v.alias(k) for k, v in of.items()])
+        return got.select(*[F.col(n) if n in of else F.lit(0).cast("bigint").alias(n) for n in names])
+
+    one = F.count(F.lit(1))
+    rows = (counts(bronze(spark, d).select("Id").distinct(), n_keys=one)
+            .unionByName(counts(silver(spark, d), n_silver=one))
+            .unionByName(counts(g, n_gold=one, n_categorised=F.count_if(F.col("CATEGORY_SOURCE").isNotNull()),
+                                n_with_case_dims=F.count_if(F.col("Case_GTIN").isNotNull()))))
+    return rows.agg(*[F.sum(n).alias(n) for n in names])
 
 
 QUERIES: dict[str, Query] = {

@@ -32,8 +32,10 @@ EXT_SLOTS = list(EXTENSION_POINTS) + ["bmp"]
 GTIN = f"lpad({s(K)}, 14, '0')"
 START = (f"CASE WHEN {K} % 53 = 0 THEN NULL ELSE '2020-' || lpad({s(f'{K} % 12 + 1')}, 2, '0') "
          f"|| '-' || lpad({s(f'{K} % 28 + 1')}, 2, '0') || 'T00:00:00' END")
-U1 = (f"'https://img.example.com/p/' || {s(K)} || '_' || {pick(f'{K} % 16', SUFFIX_SLOTS)} "
-      f"|| '.' || {pick(f'{K} % 8', EXT_SLOTS)}")
+# some addresses hold characters and parameters that strict URL readers refuse
+U1 = (f"CASE WHEN {K} % 59 = 0 THEN 'https://img.example.com/p/a b[' || {s(K)} || ']_C1C1.png;v=2' "
+      f"ELSE 'https://img.example.com/p/' || {s(K)} || '_' || {pick(f'{K} % 16', SUFFIX_SLOTS)} "
+      f"|| '.' || {pick(f'{K} % 8', EXT_SLOTS)} END")
 U2 = (f"'https://img.example.com/q/' || {s(K)} || CASE WHEN {K} % 8 = 2 THEN '' ELSE '_' || "
       f"{pick(f'({K} * 7) % 16', SUFFIX_SLOTS)} END || '.' || {pick(f'({K} * 3) % 8', EXT_SLOTS)} "
       f"|| CASE WHEN {K} % 8 = 6 THEN '?x=1' ELSE '' END")
@@ -161,7 +163,9 @@ HIER = {
 }
 
 # Sales group id of a part: the id part of its level-4 text.
-SALES_GROUP = s(f"1000 + p_size * 10 + {K} % 3")
+# For some parts the id itself holds ' - ', as ids may.
+SALES_GROUP = (f"CASE WHEN {K} % 7 = 0 THEN {s(f'1000 + p_size * 10 + {K} % 3')} || ' - Line ' || {s(f'{K} % 3')} "
+               f"ELSE {s(f'1000 + p_size * 10 + {K} % 3')} END")
 
 # Exclusion rules (level_2, level_3 or NULL for the whole level 2).
 EXCLUSION_RULES = [

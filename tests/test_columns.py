@@ -77,3 +77,9 @@ def test_upper_trim_equals_null_safe(spark):
 def test_path_extension(spark):
     data = [("https://h/a/b.JPEG?x=1",), ("https://h/a/b",), ("https://h/a.tif",)]
     assert one(spark, C.path_extension("u"), data, "u string") == [".jpeg", None, ".tif"]
+
+
+def test_path_extension_of_odd_urls(spark):
+    data = [("https://h/a b.png",), ("https://h/a[1].png",), ("https://h/c.png;v=2",), ("https://h/d.gif?x=.png",),
+            ("https://h/e#f.png",), ("no url.png",), (None,), ("https://h/p;q.png/r",)]
+    assert one(spark, C.path_extension("u"), data, "u string") == [".png", ".png", ".png", ".gif", None, None, None, None]

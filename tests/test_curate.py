@@ -116,3 +116,36 @@ def test_localized_single_object_is_not_a_list(spark):
         "DescriptionShort": [{"LanguageCode": "en", "Value": "Short"}]}}}}
     r = curate_docs(spark, [doc]).collect()[0]
     assert r["TradeItemDescription_fi"] == "Short"
+
+
+def test_documents_beyond_the_readers_default_limits(spark):
+    import json
+    deep = json.dumps({"TradeItem": {"Gtin": "1"}})[:-1] + ', "x": ' + "[" * 1500 + "]" * 1500 + "}"
+    long = json.dumps({"TradeItem": {"Gtin": "2", "TradeItemUnitDescriptorCode": {"Value": "v" * 25_000_000}}})
+    lost = json.dumps({"TradeItem": {"Gtin": "3"}})[:-1] + ', "url": "http://x/y.png", "x": ' + "[" * 30_000 + "]" * 30_000 + "}"
+    silver = spark.createDataFrame([("a", deep, "t"), ("b", long, "t"), ("c", lost, "t"), ("d", "[" * 30_000, "t")],
+                                   "Id string, raw_json string, ingest_ts string")
+    rows = cu.curate(silver).select("GTIN", "PrimaryImageUrl").collect()
+    assert sorted(r["GTIN"] or "" for r in rows) == ["", "1", "2", "3"]
+    assert {r["Id"]: r["reason"] for r in cu.quarantine(silver).collect()} == {"c": "too_deep", "d": "malformed_json"}
+    from shelfspark.streaming.changes import touched_keys
+    assert {r["GTIN"] for r in touched_keys(silver).collect()} == {"1", "2", "3"}
+
+
+def test_one_odd_list_element_voids_no_other(spark):
+    import json
+    doc = {"TradeItem": {"Gtin": "1", "TradeItemDescriptionModule": {"TradeItemDescriptionInformation": {
+        "TradeItemDescription": ["odd", 7, {"LanguageCode": "fi", "Value": "nimi"}]}}}}
+    silver = spark.createDataFrame([("a", json.dumps(doc), "t")], "Id string, raw_json string, ingest_ts string")
+    assert cu.curate(silver).head()["TradeItemDescription_fi"] == "nimi"
+
+
+def test_equal_versions_are_picked_by_the_documents_digest(spark):
+    import hashlib
+    import json
+    docs = [json.dumps({"TradeItem": {"Gtin": "1", "GdsnTradeItemClassification": {"GpcCategoryName": n}}}) for n in "abcdef"]
+    silver = spark.createDataFrame([("x", d, "t") for d in docs], "Id string, raw_json string, ingest_ts string")
+    best = min(docs, key=lambda d: hashlib.md5(d.encode()).hexdigest())
+    want = json.loads(best)["TradeItem"]["GdsnTradeItemClassification"]["GpcCategoryName"]
+    for parts in (1, 5):
+        assert cu.latest_curated(silver.repartition(parts)).head()["GpcCategoryName"] == want

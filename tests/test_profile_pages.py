@@ -26,7 +26,7 @@ def test_category_name_choice(spark):
     assert got["C"] == (None, ["", " "])
     assert got["D"][0] == "mjölk"
     assert got["E"][0] == "short"
-    c = PR.category_name_conflicts(p).collect()[0]
+    c = PR.category_name_conflicts(silver_codes(spark, pairs)).collect()[0]
     assert (c["n_codes"], c["n_codes_multi_name"]) == (5, 5)
 
 

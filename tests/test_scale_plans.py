@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -88,7 +89,31 @@ def test_curation_runs_once_per_query(spark, monkeypatch):
 
     monkeypatch.setattr(A, "_walk_udf", counting)
     n_docs = fx.silver(spark, SF_SMALL).where("raw_json IS NOT NULL").count()
-    for name in ["case_dimensions", "publish_manifest", "coverage_metrics"]:
+    # only the manifest shows image columns: the others walk no document at all
+    for name, walked in {"case_dimensions": 0, "publish_manifest": n_docs, "coverage_metrics": 0}.items():
         acc.value = 0
         Q.QUERIES[name](spark, SF_SMALL).write.format("noop").mode("overwrite").save()
-        assert acc.value == n_docs, name
+        assert acc.value == walked, name
+
+
+NO_IMAGES = ["deleted_counts", "unit_split", "known_flag", "tier0_join", "case_edges", "case_pick", "case_metrics",
+             "case_dimensions", "case_idempotent", "category_cascade", "own_placeholder", "coverage_metrics", "run_summary"]
+
+
+@pytest.mark.parametrize("name", NO_IMAGES)
+def test_no_walk_and_pruned_parse_without_image_columns(spark, name):
+    p = Q.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" not in p and "_walk" not in p
+    assert "BrandNameInformation" not in p and "GpcFamilyCode" not in p
+
+
+def test_segment_is_parsed_once(spark):
+    p = Q.QUERIES["segment_filter"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("from_json(") == 1 and "BrandName" not in p
+
+
+def test_year_bound_reaches_the_sales_scan(spark, tmp_path):
+    fx.weekly_sales(spark, SF_SMALL).write.parquet(str(tmp_path / "sales"))
+    sales = spark.read.parquet(str(tmp_path / "sales"))
+    p = plan(H.recent_sales_lookup(fx.hierarchy(spark, SF_SMALL), sales, "2001-08-01"))
+    assert "GreaterThanOrEqual(year,2001)" in p
