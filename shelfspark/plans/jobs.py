@@ -15,6 +15,8 @@ from ..operators import curate as cu
 from ..operators import hierarchy as hi
 from ..operators import packaging as pk
 from ..operators import profile as pr
+from ..operators import publish as pb
+from ..sources import pages
 from ..sources.tables import TableStore
 from ..streaming import changes as ch
 
@@ -47,19 +49,15 @@ def _observed_write(store: TableStore, df: DataFrame, name: str, metrics: dict,
 
 def enrich(store: TableStore, curated: DataFrame, hierarchy: DataFrame, weekly_sales: DataFrame,
            cfg: CategoryConfig, result: RunResult) -> None:
-    """curated -> gold (categories) -> gold with case dimensions (in place)."""
+    """curated -> gold: categories and case dimensions in one plan, written once."""
     recent = hi.recent_sales_lookup(hierarchy, weekly_sales, cfg.as_of, cfg.months)
-    gold = hi.category_cascade(curated, hierarchy, recent, cfg.rules, cfg.own_provider,
-                               cfg.placeholder)
+    gold = pk.case_dimensions(hi.category_cascade(curated, hierarchy, recent, cfg.rules, cfg.own_provider,
+                                                  cfg.placeholder))
     result.tables["gold"] = _observed_write(
         store, gold, "gold", result.metrics, "gold",
         {"categorised": F.count_if(F.col("CATEGORY_SOURCE").isNotNull()),
-         "placeholder": F.count_if(F.col("CATEGORY_SOURCE") == F.lit(hi.SOURCE_PLACEHOLDER))})
-    # in-place enrichment: read the committed version, write a new one
-    with_cases = pk.case_dimensions(store.read("gold"))
-    result.tables["gold"] = _observed_write(
-        store, with_cases, "gold", result.metrics, "gold_cases",
-        {"with_case_dims": F.count_if(F.col("Case_GTIN").isNotNull())})
+         "placeholder": F.count_if(F.col("CATEGORY_SOURCE") == F.lit(hi.SOURCE_PLACEHOLDER)),
+         "with_case_dims": F.count_if(F.col("Case_GTIN").isNotNull())})
 
 
 def full_refresh(spark: SparkSession, store: TableStore, silver: DataFrame, hierarchy: DataFrame,
@@ -85,10 +83,13 @@ def changes_refresh(spark: SparkSession, store: TableStore, arrived: DataFrame,
     gold. Returns the touched GTINs as a DataFrame (for the publish job)."""
     t0 = time.time()
     res = RunResult()
-    src = cu.segment_filter(arrived, segment)
-    if src.isEmpty():
+    filtered = cu.segment_filter(arrived, segment)
+    # computed once: what the source gave is stored first, and read back from there
+    old = store.version("silver")
+    part = store.write(filtered, "silver", mode="append", skip_if_empty=True)
+    if not part or (old is not None and part in old.parts):
         return res, spark.createDataFrame([], "GTIN string")
-    store.write(src, "silver", mode="append")
+    src = store.read_part("silver", part, filtered.schema)
     touched = ch.touched_keys(src)
     merged = (ch.upsert_latest(store.read("curated"), src) if store.exists("curated")
               else cu.latest_per_key(cu.curate(src)))
@@ -109,6 +110,67 @@ def _append_run_metrics(spark: SparkSession, store: TableStore, kind: str, run_t
     store.write(df, "run_metrics", mode="append")
 
 
+def landed_silver(spark: SparkSession, store: TableStore, envelopes: DataFrame, fetch: pages.Fetcher, ingest_ts: str,
+                  batch_size: int = 1000) -> DataFrame:
+    """Landed key pages -> bronze keys -> request batches -> fetched items, stored as silver and read back."""
+    keys = pages.page_keys(pages.parse_pages(envelopes).select("page"))
+    store.write(pages.bronze(keys, ingest_ts), "bronze", skip_if_empty=True)
+    batches = pages.id_batches(store.read("bronze"), batch_size)
+    store.write(pages.fetch_batches(batches, fetch, ingest_ts), "silver")
+    return store.read("silver")
+
+
+MANIFEST_COLUMNS = "target string, url string, gtin string, meta string"
+
+
+def manifest_step(store: TableStore, gold: DataFrame, touched: DataFrame | None, res: RunResult,
+                  folder: str = "images/") -> None:
+    """Gold -> manifest winners -> plan against the stored manifest; both are stored.
+
+    ``touched`` restricts the run to these GTINs: other targets keep their rows, and none are
+    planned for removal. Nothing is sent anywhere: the plan is a table.
+    """
+    rows = pb.publishable(gold)
+    if touched is not None:
+        rows = pb.restrict_to_keys(rows, touched)
+    now = pb.manifest(rows, folder=folder, winners_only=True).select(
+        "target", "url", "gtin", pb.metadata_text("metadata").alias("meta"))
+    now = now.where(F.col("target").isNotNull())
+    part = store.write(now, "manifest_run")
+    now = store.read_part("manifest_run", part, now.schema)
+    had = store.exists("manifest")
+    old = store.read("manifest") if had else store.spark.createDataFrame([], MANIFEST_COLUMNS)
+    if touched is not None:
+        known = old.join(now.select("target"), "target", "left_semi")
+        rest = old.join(now.select("target"), "target", "left_anti")
+    else:
+        known, rest = old, old.limit(0)
+    plan = pb.manifest_diff(known.select("target", "url", "meta"), now.select("target", "url", "meta"))
+    res.tables["manifest_plan"] = _observed_write(
+        store, plan, "manifest_plan", res.metrics, "plan",
+        {a: F.count_if(F.col("action") == F.lit(a)) for a in ("add", "update", "keep", "remove")})
+    res.tables["manifest"] = _observed_write(store, rest.unionByName(now), "manifest", res.metrics, "manifest")
+
+
+def changes_with_manifest(spark: SparkSession, store: TableStore, arrived: DataFrame, hierarchy: DataFrame,
+                          weekly_sales: DataFrame, cfg: CategoryConfig, run_ts: str | None = None) -> RunResult:
+    """Changes refresh, then the manifest of the touched keys. No arrived item: nothing is done at all."""
+    res, touched = changes_refresh(spark, store, arrived, hierarchy, weekly_sales, cfg, run_ts=run_ts)
+    if res.tables:
+        manifest_step(store, store.read("gold"), touched, res)
+        _append_run_metrics(spark, store, "changes_manifest", run_ts, res)
+    return res
+
+
+def full_with_manifest(spark: SparkSession, store: TableStore, silver: DataFrame, hierarchy: DataFrame,
+                       weekly_sales: DataFrame, cfg: CategoryConfig, run_ts: str | None = None) -> RunResult:
+    """Full refresh, then the manifest and its plan, then one row of run metrics."""
+    res = full_refresh(spark, store, silver, hierarchy, weekly_sales, cfg, run_ts=run_ts)
+    manifest_step(store, store.read("gold"), None, res)
+    _append_run_metrics(spark, store, "full_manifest", run_ts, res)
+    return res
+
+
 def category_profile(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Best name per category code and the conflict summary."""
     p = pr.category_names(silver).orderBy("GpcCategoryCode")

@@ -42,13 +42,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (local tests) do we pick a folder of our own and register it, so
+    and the master is local (tests) do we pick a folder of our own and register it, so
     ``DataFrame.checkpoint()`` and staged tables land in one place.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = os.path.join(tempfile.gettempdir(), "shelfspark-checkpoints")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -51,14 +51,13 @@ def start_changes_stream(spark: SparkSession, landing_path: str, store: TableSto
     src = spark.readStream.schema(SILVER_SCHEMA).format(fmt).load(landing_path)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        # any failure to read the table, but that there is none, stops the batch
         if store.exists(table):
             out = upsert_latest(store.read(table), batch)
         else:
             out = cu.latest_per_key(cu.curate(batch))
-        # staged version + pointer move: the previous version stays readable
-        store.write(out, table)
+        # a new version: the previous one stays readable, a replayed batch is known by its tag
+        store.write(out, table, tag=f"{checkpoint}#{batch_id}")
 
     return (src.writeStream.foreachBatch(merge)
             .option("checkpointLocation", checkpoint)

@@ -58,3 +58,25 @@ def test_changes_stream_available_now(spark):
         f.write(json.dumps({"Id": "i9", "raw_json": _doc("a", "2021", "a2"), "ingest_ts": "t2"}) + "\n")
     CH.start_changes_stream(spark, landing, st, "curated", ck).awaitTermination()
     assert {r["GTIN"]: r["BrandName"] for r in st.read("curated").collect()} == {"a": "a2", "b": "b1"}
+
+
+def test_unreadable_pointer_is_an_error_and_failed_append_is_invisible(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    root = tempfile.mkdtemp(prefix="shelf-pointer-")
+    st = TableStore(spark, root)
+    st.write(spark.range(50).toDF("x"), "t")
+    with pytest.raises(Exception):  # noqa: B017 - whatever the engine raises
+        st.write(spark.range(9).select(F.raise_error(F.lit("no")).cast("bigint").alias("x")), "t", mode="append")
+    assert st.read("t").count() == 50
+    st.write(spark.range(3).toDF("x"), "t", mode="append", tag="b#1")
+    st.write(spark.range(3).toDF("x"), "t", mode="append", tag="b#1")
+    assert st.read("t").count() == 53
+    last = max((d for d in os.listdir(f"{root}/t") if d.startswith("_p-")), key=lambda d: int(d[3:]))
+    for f in os.listdir(f"{root}/t/{last}"):
+        if f.startswith("part"):
+            with open(f"{root}/t/{last}/{f}", "w") as out:
+                out.write("{damaged")
+    with pytest.raises(Exception):  # noqa: B017
+        st.exists("t")
+    assert not TableStore(spark, root).exists("another")
