@@ -27,17 +27,22 @@ from shelfspark.llm.common import cut
 MIN_DOCS, LEAD, SAME, MIN_TOKENS = 3, 3, 0.7, 3
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, pos, masked, n): the masked form of each line that has enough tokens, and its tokens' number."""
-    raw = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("th"),
-                                                F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    flat = F.trim(F.regexp_replace("line", "[\\x20\\x09-\\x0D]+", " "))
-    norm = raw.select("doc_id", "th", "pos", flat.alias("flat"))
+def _lines(docs: DataFrame, min_tokens: int) -> DataFrame:
+    """(doc_id, th, pos, masked, n): the masked form of each line that has enough tokens, and its tokens' number.
+
+    White space is evened out in the whole text, before it is cut into lines: filters on lines
+    then test plain column values, and no pattern is matched twice.
+    """
+    odd = "[\\x09\\x0B-\\x0D]|\\x20\\x20"
+    even = F.when(F.col("text").rlike(odd), F.regexp_replace("text", "[\\x20\\x09\\x0B-\\x0D]+", " ")).otherwise(F.col("text"))
+    raw = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("th"), even.alias("even"))
+    flat = (raw.select("doc_id", "th", F.posexplode(F.split("even", "\n")).alias("pos", "line"))
+            .select("doc_id", "th", "pos", F.trim("line").alias("flat")))
+    n = F.length("flat") - F.length(F.replace("flat", F.lit(" "), F.lit(""))) + 1
     masked = F.when(F.col("flat").rlike("[0-9]"),
                     F.regexp_replace("flat", "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", "<*>")).otherwise(F.col("flat"))
-    n = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
-    return (norm.select("doc_id", "th", "pos", masked.alias("masked")).where("masked <> ''")
-            .withColumn("n", n))
+    return (flat.where(F.col("flat") != "").where(n >= min_tokens)
+            .select("doc_id", "th", "pos", masked.alias("masked"), n.alias("n")))
 
 
 def _keyed(lines: DataFrame, lead: int) -> DataFrame:
@@ -49,7 +54,7 @@ def _keyed(lines: DataFrame, lead: int) -> DataFrame:
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = LEAD, same: float = SAME,
                   min_tokens: int = MIN_TOKENS) -> DataFrame:
     """(doc_id, th, pos) of the lines that go; th: the hash of the document's text."""
-    rows = _keyed(_lines(docs).where(F.col("n") >= min_tokens), lead)
+    rows = _keyed(_lines(docs, min_tokens), lead)
     at = cut(rows.select("doc_id", "th", "pos", "leaf", "form"), "lines")
     dk = F.when(F.col("doc_id").isNull(), F.col("th")).otherwise(F.xxhash64("doc_id"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "pos")
@@ -64,7 +69,8 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = LEAD, s
     leaves = leaves.where((F.col("d") >= min_docs) & (F.col("k") > 1) & (F.col("least") < min_docs)).select("leaf")
     open_forms = cut(forms.join(leaves, "leaf", "left_semi"), "open-forms")
     keys = open_forms.select("leaf", "form", "docs", F.col("first.th").alias("th"), F.col("first.pos").alias("pos"))
-    shown = rows.select("leaf", "form", "th", "pos", "masked", "n").join(keys, ["leaf", "form", "th", "pos"])
+    # one plan at every size: the lines' texts are shuffled, never met by a broadcast side that grows
+    shown = rows.select("leaf", "form", "th", "pos", "masked", "n").join(keys.hint("merge"), ["leaf", "form", "th", "pos"])
     tokens = (shown.select("leaf", "form", "docs", "n", F.posexplode(F.split("masked", " ")).alias("p", "token"))
               .where(F.col("p") >= lead).select("leaf", "form", "docs", "n", "p", F.xxhash64("token").alias("tok"))
               .dropDuplicates(["leaf", "form", "p"]))
@@ -93,7 +99,7 @@ def dedup_lines(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text``, and n_lines and n_dropped."""
     gone = dropped_lines(docs, **how).groupBy("doc_id", "th").agg(F.collect_set("pos").alias("gone")).alias("g")
     d = docs.drop("n_lines", "n_dropped").withColumn("_th", F.xxhash64("text")).alias("d")
-    both = d.join(gone, F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d._th") == F.col("g.th")), "left")
+    both = d.join(gone.hint("merge"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d._th") == F.col("g.th")), "left")
     lines = F.split("d.text", "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("g.gone"))
     text = F.when(F.col("g.gone").isNull(), F.col("d.text")).otherwise(
