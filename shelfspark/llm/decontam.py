@@ -73,12 +73,12 @@ def _near(bits: int, radius: int) -> list[int]:
 
 def _block_values(near: bool):
     """Structs (block, value) of column fp; near: with all values up to RADIUS // BLOCKS bits off."""
-    out = []
-    for i, (at, bits) in enumerate(_blocks()):
+    def of(block: int, at: int, bits: int):
         v = F.shiftrightunsigned("fp", at).bitwiseAND((1 << bits) - 1).cast("int")
-        for mask in _near(bits, RADIUS // BLOCKS) if near else [0]:
-            out.append(F.struct(F.lit(i).alias("block"), v.bitwiseXOR(F.lit(mask)).alias("value")))
-    return F.array(*out)
+        masks = F.lit(_near(bits, RADIUS // BLOCKS) if near else [0])
+        return F.transform(masks, lambda m: F.struct(F.lit(block).alias("block"), v.bitwiseXOR(m).alias("value")))
+
+    return F.concat(*[of(i, at, bits) for i, (at, bits) in enumerate(_blocks())])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -112,9 +112,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     windows = places.select("doc_id", "th", "m", "k", "nw", F.explode(F.concat(starts, tail)).alias("start")).distinct()
     windows = cut(windows, "windows")
     by_doc = windows.groupBy("doc_id", "th").agg(F.collect_list(F.struct("m", "k", "nw", "start")).alias("ws")).alias("w")
-    t = text.alias("t")
+    # one plan at every size: the texts (not yet split) are shuffled once to the documents with windows
+    t = docs.select("doc_id", F.xxhash64("text").alias("th"), "text").alias("t")
     on = F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.th") == F.col("w.th"))
-    per = t.join(by_doc, on).select("t.doc_id", "t.th", "t.words", "w.ws").dropDuplicates(["doc_id", "th"])
+    per = t.join(by_doc.hint("merge"), on).select("t.doc_id", "t.th", "t.text", "w.ws")
+    per = _words(per, "doc_id", "th", "ws").dropDuplicates(["doc_id", "th"])
     hs = F.lit(None).cast("array<bigint>")
     per = per.select("doc_id", "th", "words", F.explode("ws").alias("w")).select(
         "doc_id", "th", "w.*", F.expr("slice(words, w.start + 1, w.nw + w.k - 1)").alias("part"))
@@ -158,4 +160,4 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     bad = cut(bad, "contaminated").alias("b")
     d = docs.withColumn("_th", F.xxhash64("text")).alias("d")
     on = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("d._th") == F.col("b.th"))
-    return d.join(bad, on, "left_anti").select(*docs.columns)
+    return d.join(bad.hint("merge"), on, "left_anti").select(*docs.columns)
