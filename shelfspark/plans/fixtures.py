@@ -219,10 +219,6 @@ def weekly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.expr(R.SALES_GROUP).alias("group_id"), "year", "week"))
 
 
-def exclusion_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(R.EXCLUSION_RULES, "level_2 string, level_3 string")
-
-
 def key_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key-listing page envelopes as JSON text, one row per page (<= 90 ids),
     as a paged REST listing would land them. Offsets use the three spellings."""
@@ -244,8 +240,3 @@ def key_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(hn & (F.col("page") % 3 == 2), tok).alias("NextOfSet"))
     return (pages.join(nxt, "page", "left")
             .select(F.col("page").alias("page_no"), F.to_json(env).alias("envelope")))
-
-
-def category_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver restricted to base documents (category codes live there)."""
-    return base_documents(spark, sf_dir).select("Id", "raw_json", "ingest_ts")
