@@ -36,7 +36,7 @@ from shelfspark.llm.common import cut, text_batches, texts_of
 from shelfspark.llm.induced_sort import repeated_places
 from shelfspark.llm.kneser_ney import mapped, model_folder, save
 
-LENGTH, GRAM, SHARD_BYTES = 200, 32, 6 << 20
+LENGTH, GRAM, SHARD_BYTES = 200, 32, 3 << 20
 _PLACE = np.uint64((1 << 31) - 1)
 _BASE = np.uint64(0xD1342543DE82EF95)
 _powers: dict[str, np.ndarray] = {}
@@ -82,7 +82,8 @@ def fragments(data: np.ndarray, sizes: np.ndarray, length: int = LENGTH):
     new = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1))))
     first, starts = at[new], np.diff(new, append=len(at))
     stop = first + starts - 1 + length
-    return first, starts, hashes[place[new]], _mix((sums[stop] - sums[first]) * down[first] + starts.astype(np.uint64))
+    # least hashes crowd at the low end: mixed again, they spread evenly over ranges
+    return first, starts, _mix(~hashes[place[new]]), _mix((sums[stop] - sums[first]) * down[first] + starts.astype(np.uint64))
 
 
 def _batch(b: pa.RecordBatch):
