@@ -138,13 +138,14 @@ def classes(rows: DataFrame, max_bits: int = 2, bucket: int = BUCKET) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, th, fp, component_id): component_id is the smallest doc_id that can be reached."""
+    """(doc_id, th, fp, root, component_id): root, the smallest fingerprint, tells components apart;
+    component_id is the smallest doc_id that can be reached."""
     rows = cut(fingerprint_documents(docs, size), "simhash-rows")
     low = rows.groupBy("fp").agg(F.min("doc_id").alias("low"))
     member = cut(low.join(classes(low, max_bits, bucket), "fp"), "simhash-classes")
     least = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = member.join(least, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select("doc_id", "th", "fp", "component_id")
+    by_fp = member.join(least, "root").select("fp", "root", "component_id")
+    return rows.join(by_fp, "fp").select("doc_id", "th", "fp", "root", "component_id")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -153,10 +154,9 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str, size: int = 3, max_bits: int = 2) -> DataFrame:
-    """Pipeline stage: the row of the smallest doc_id of each component stays (rows without one: one of them)."""
+    """Pipeline stage: the row of the smallest doc_id of each component stays (no row with one: the least text hash)."""
     found = near_duplicates(docs, size, max_bits)
-    best = found.groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("k"), F.count("*").alias("n"))
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("k"))
     best = cut(best.select("k.doc_id", "k.th"), "simhash-kept").alias("k")
     d = docs.withColumn("_th", F.xxhash64("text")).alias("d")
     kept = d.join(best, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d._th") == F.col("k.th")), "left_semi")

@@ -90,3 +90,11 @@ def test_stage_keeps_one_row_of_each_group(spark, make_docs):
     out = S.stage(spark, docs, "")
     assert out.columns == docs.columns
     assert sorted((r["doc_id"] or 0) for r in out.collect()) == [0, 2, 6]
+
+
+def test_stage_keeps_unlike_texts_without_ids_and_of_one_id(spark, make_docs):
+    unlike = ["alpha beta gamma delta", "one two three four five", "rain falls on the old roof", "ships sail past the far cape"]
+    docs = make_docs([(None, t) for t in unlike] + [(None, unlike[0]), (1, "green trees stand in rows"), (1, "he reads a long book"),
+                      (2, "he reads a long book")])
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in S.stage(spark, docs, "").collect())
+    assert got == sorted([(0, t) for t in unlike] + [(1, "green trees stand in rows"), (1, "he reads a long book")])
