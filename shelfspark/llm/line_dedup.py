@@ -8,8 +8,13 @@ that at least ``SAME`` of the line's tokens stay. What results is the line's tem
 that occur in ``MIN_DOCS`` documents recur: all their lines are dropped but the first in the
 corpus (smallest doc_id, then line number), so that no text is lost altogether.
 
+That is the rule of the registered query, whose SQL fixes it. The pipeline's stage does more
+(``whole``): variable fields are told by the relative counts of a line's tokens (``_relative``), not by
+a fixed number of documents, and lines that recur as they are belong to templates too.
+
 Only hashes of lines are grouped; a leaf, template or line that many documents share is combined
-before the shuffle, and nothing is gathered but the dropped line numbers of one document.
+before the shuffle, and nothing is gathered but the dropped line numbers of one document and, with
+``whole``, the token counts of one line.
 
 Defined results: null text stays null and has no lines; blank lines and lines of fewer than
 ``MIN_TOKENS`` tokens stay; a text whose lines all go becomes the empty text; rows with one doc_id
@@ -25,6 +30,8 @@ from pyspark.sql import functions as F
 from shelfspark.llm.common import cut
 
 MIN_DOCS, LEAD, SAME, MIN_TOKENS = 3, 3, 0.7, 3
+#: With ``whole``: a constant stands in at least so many times the documents of any variable field of its line.
+GAP = 2
 
 
 def _lines(docs: DataFrame, min_tokens: int) -> DataFrame:
@@ -51,9 +58,29 @@ def _keyed(lines: DataFrame, lead: int) -> DataFrame:
                         F.xxhash64("masked").alias("form"))
 
 
+def _relative(tokens: DataFrame, min_docs: int, same: float) -> DataFrame:
+    """(leaf, form, wild, sig) of the line forms with variable fields, told by the counts of a line's own tokens.
+
+    A line's tokens are put in order of the documents ``d`` that have them at their place in the
+    leaf (null: too few to recur). The rarest are variable fields, up to the last step at which the next token has
+    ``GAP`` times as many documents, or the first that can recur, provided that ``same`` of the
+    tokens stay. Constants are shared by all lines of a template, so all find the same step at
+    every size of the corpus. What is gathered is one line's tokens.
+    """
+    ds = F.array_sort(F.collect_list(F.struct(F.coalesce("d", F.lit(1)).alias("d"), F.xxhash64("p", "tok").alias("h"))))
+    lines = tokens.groupBy("leaf", "form").agg(F.max("n").alias("n"), F.max("all").alias("all"), ds.alias("ds"))
+    wild = F.expr(f"""aggregate(sequence(1, size(ds)), 0, (found, i) -> CASE
+        WHEN n - i < {same} * n THEN found
+        WHEN coalesce(get(ds, i).d, all) >= {GAP} * get(ds, i - 1).d AND coalesce(get(ds, i).d, all) >= {min_docs} THEN i
+        WHEN get(ds, i - 1).d < {min_docs} AND coalesce(get(ds, i).d, all) >= {min_docs} THEN i
+        ELSE found END)""")
+    return lines.withColumn("wild", wild).where("wild > 0").select(
+        "leaf", "form", F.col("wild").cast("long").alias("wild"), F.expr("xxhash64(slice(ds, wild + 1, size(ds)))").alias("sig"))
+
+
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = LEAD, same: float = SAME,
-                  min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """(doc_id, th, pos) of the lines that go; th: the hash of the document's text."""
+                  min_tokens: int = MIN_TOKENS, whole: bool = False) -> DataFrame:
+    """(doc_id, th, pos) of the lines that go (some twice); th: the hash of the document's text."""
     rows = _keyed(_lines(docs, min_tokens), lead)
     at = cut(rows.select("doc_id", "th", "pos", "leaf", "form"), "lines")
     dk = F.when(F.col("doc_id").isNull(), F.col("th")).otherwise(F.xxhash64("doc_id"))
@@ -66,22 +93,25 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = LEAD, s
     # leaves whose other forms may share a template: generalise their variable fields
     leaves = forms.groupBy("leaf").agg(F.sum("docs").alias("d"), F.count("*").alias("k"),
                                        F.min("docs").alias("least"))
-    leaves = leaves.where((F.col("d") >= min_docs) & (F.col("k") > 1) & (F.col("least") < min_docs)).select("leaf")
-    open_forms = cut(forms.join(leaves, "leaf", "left_semi"), "open-forms")
-    keys = open_forms.select("leaf", "form", "docs", F.col("first.th").alias("th"), F.col("first.pos").alias("pos"))
+    open_leaf = (F.col("d") >= min_docs) & (F.col("k") > 1)
+    leaves = leaves.where(open_leaf if whole else open_leaf & (F.col("least") < min_docs)).select("leaf", F.col("d").alias("all"))
+    open_forms = cut(forms.join(leaves, "leaf"), "open-forms")
+    keys = open_forms.select("leaf", "form", "docs", "all", F.col("first.th").alias("th"), F.col("first.pos").alias("pos"))
     # one plan at every size: the lines' texts are shuffled, never met by a broadcast side that grows
     shown = rows.select("leaf", "form", "th", "pos", "masked", "n").join(keys.hint("merge"), ["leaf", "form", "th", "pos"])
-    tokens = (shown.select("leaf", "form", "docs", "n", F.posexplode(F.split("masked", " ")).alias("p", "token"))
-              .where(F.col("p") >= lead).select("leaf", "form", "docs", "n", "p", F.xxhash64("token").alias("tok"))
+    tokens = (shown.select("leaf", "form", "docs", "all", "n", F.posexplode(F.split("masked", " ")).alias("p", "token"))
+              .where(F.col("p") >= lead).select("leaf", "form", "docs", "all", "n", "p", F.xxhash64("token").alias("tok"))
               .dropDuplicates(["leaf", "form", "p"]))
     tokens = cut(tokens, "line-tokens")
-    constant = (tokens.groupBy("leaf", "p", "tok").agg(F.sum("docs").alias("d")).where(F.col("d") >= min_docs)
-                .drop("d"))
-    kept = tokens.where(F.col("docs") < min_docs).join(constant.withColumn("stays", F.lit(1)), ["leaf", "p", "tok"], "left")
-    shape = kept.groupBy("leaf", "form").agg(
-        F.max("n").alias("n"), F.sum(F.when(F.col("stays").isNull(), 1).otherwise(0)).alias("wild"),
-        F.sum(F.when(F.col("stays").isNotNull(), F.xxhash64("p", "tok").cast("decimal(38,0)"))).alias("sig"))
-    shape = shape.where((F.col("wild") > 0) & (F.col("n") - F.col("wild") >= same * F.col("n"))).drop("n")
+    constant = tokens.groupBy("leaf", "p", "tok").agg(F.sum("docs").alias("d")).where(F.col("d") >= min_docs)
+    if whole:
+        shape = _relative(tokens.join(constant, ["leaf", "p", "tok"], "left"), min_docs, same)
+    else:
+        kept = tokens.where(F.col("docs") < min_docs).join(constant.drop("d").withColumn("stays", F.lit(1)), ["leaf", "p", "tok"], "left")
+        shape = kept.groupBy("leaf", "form").agg(
+            F.max("n").alias("n"), F.sum(F.when(F.col("stays").isNull(), 1).otherwise(0)).alias("wild"),
+            F.sum(F.when(F.col("stays").isNotNull(), F.xxhash64("p", "tok").cast("decimal(38,0)"))).alias("sig"))
+        shape = shape.where((F.col("wild") > 0) & (F.col("n") - F.col("wild") >= same * F.col("n"))).drop("n")
     member = cut(open_forms.select("leaf", "form").join(shape, ["leaf", "form"]), "line-templates")
     template = ["leaf", "wild", "sig"]
     by_tdoc = (at.join(member, ["leaf", "form"])
@@ -116,7 +146,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: all documents, less their recurring lines; n_chars follows the text."""
-    out = dedup_lines(docs)
+    out = dedup_lines(docs, whole=True)
     return out.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`")
                         for c in docs.columns])
 

@@ -79,3 +79,19 @@ def test_random_small_corpora_equal_sql(spark, make_docs, seed, tmp_path):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
     got = sorted(tuple(r) for r in L.dedup_lines(docs.select("doc_id", "text")).collect())
     assert got == sorted(con.execute(L.SQL).fetchall())
+
+
+def two_fields(n):
+    """One template with two fields of recurring letter-only values, in ``n`` documents."""
+    a, b = ([f"{w}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(30)] for w in ("user", "town"))
+    return [f"the daily report for user {a[i % 30]} from {b[i // 30 % 30]} is ready" for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [5, 900, 100_000])
+def test_stage_finds_recurring_field_values_at_every_size(spark, make_docs, n):
+    docs = make_docs(two_fields(900 if n > 900 else n)).select("doc_id", "text", "n_chars")
+    if n > 900:
+        docs = spark.range(n).select((F.col("id") % 900).alias("doc_id"), "id").join(docs, "doc_id").select(
+            F.col("id").alias("doc_id"), "text", "n_chars")
+    left = L.stage(spark, docs, "").where("text <> ''").collect()
+    assert [(r["doc_id"], r["text"]) for r in left] == [(0, two_fields(1)[0])]
