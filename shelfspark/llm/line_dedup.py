@@ -10,14 +10,16 @@ corpus (smallest doc_id, then line number), so that no text is lost altogether.
 
 That is the rule of the registered query, whose SQL fixes it. The pipeline's stage does more
 (``whole``): variable fields are told by the relative counts of a line's tokens (``_relative``), not by
-a fixed number of documents, and lines that recur as they are belong to templates too.
+a fixed number of documents, and lines that recur as they are belong to templates too; lines of
+fewer than ``MIN_TOKENS`` tokens take part as they are, digits included, as a token masked in them would
+leave less than ``SAME``.
 
 Only hashes of lines are grouped; a leaf, template or line that many documents share is combined
 before the shuffle, and nothing is gathered but the dropped line numbers of one document and, with
 ``whole``, the token counts of one line.
 
-Defined results: null text stays null and has no lines; blank lines and lines of fewer than
-``MIN_TOKENS`` tokens stay; a text whose lines all go becomes the empty text; rows with one doc_id
+Defined results: null text stays null and has no lines; blank lines and, in
+the query, lines of fewer than ``MIN_TOKENS`` tokens stay; a text whose lines all go becomes the empty text; rows with one doc_id
 count as one document, rows without a doc_id as one for each text; repeated rows are treated
 alike; an empty table gives no rows; extra columns are carried through by the stage.
 """
@@ -46,7 +48,7 @@ def _lines(docs: DataFrame, min_tokens: int) -> DataFrame:
     flat = (raw.select("doc_id", "th", F.posexplode(F.split("even", "\n")).alias("pos", "line"))
             .select("doc_id", "th", "pos", F.trim("line").alias("flat")))
     n = F.length("flat") - F.length(F.replace("flat", F.lit(" "), F.lit(""))) + 1
-    masked = F.when(F.col("flat").rlike("[0-9]"),
+    masked = F.when(F.col("flat").rlike("[0-9]") & (n >= MIN_TOKENS),
                     F.regexp_replace("flat", "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", "<*>")).otherwise(F.col("flat"))
     return (flat.where(F.col("flat") != "").where(n >= min_tokens)
             .select("doc_id", "th", "pos", masked.alias("masked"), n.alias("n")))
@@ -81,7 +83,7 @@ def _relative(tokens: DataFrame, min_docs: int, same: float) -> DataFrame:
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = LEAD, same: float = SAME,
                   min_tokens: int = MIN_TOKENS, whole: bool = False) -> DataFrame:
     """(doc_id, th, pos) of the lines that go (some twice); th: the hash of the document's text."""
-    rows = _keyed(_lines(docs, min_tokens), lead)
+    rows = _keyed(_lines(docs, 1 if whole else min_tokens), lead)
     at = cut(rows.select("doc_id", "th", "pos", "leaf", "form"), "lines")
     dk = F.when(F.col("doc_id").isNull(), F.col("th")).otherwise(F.xxhash64("doc_id"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "pos")

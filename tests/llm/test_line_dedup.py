@@ -95,3 +95,10 @@ def test_stage_finds_recurring_field_values_at_every_size(spark, make_docs, n):
             F.col("id").alias("doc_id"), "text", "n_chars")
     left = L.stage(spark, docs, "").where("text <> ''").collect()
     assert [(r["doc_id"], r["text"]) for r in left] == [(0, two_fields(1)[0])]
+
+
+def test_stage_takes_lines_of_one_and_two_tokens(spark, make_docs):
+    script = "这是一行没有空格的文字每个页面都有它"
+    docs = make_docs([f"And ornd.\n{script}\nown{w}\npage {i}\n{i}" for i, w in enumerate(["ab", "cd", "ef", "gh"])])
+    got = texts(L.stage(spark, docs, ""))
+    assert got == {0: f"And ornd.\n{script}\nownab\npage 0\n0", 1: "owncd\npage 1\n1", 2: "ownef\npage 2\n2", 3: "owngh\npage 3\n3"}
