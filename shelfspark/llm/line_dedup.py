@@ -12,7 +12,8 @@ That is the rule of the registered query, whose SQL fixes it. The pipeline's sta
 (``whole``): variable fields are told by the relative counts of a line's tokens (``_relative``), not by
 a fixed number of documents, and lines that recur as they are belong to templates too; lines of
 fewer than ``MIN_TOKENS`` tokens take part as they are, digits included, as a token masked in them would
-leave less than ``SAME``.
+leave less than ``SAME``; and equal lines of over ``LONG_WORDS`` words or ``LONG_BYTES`` bytes go from the second
+document on.
 
 Only hashes of lines are grouped; a leaf, template or line that many documents share is combined
 before the shuffle, and nothing is gathered but the dropped line numbers of one document and, with
@@ -34,10 +35,13 @@ from shelfspark.llm.common import cut
 MIN_DOCS, LEAD, SAME, MIN_TOKENS = 3, 3, 0.7, 3
 #: With ``whole``: a constant stands in at least so many times the documents of any variable field of its line.
 GAP = 2
+#: With ``whole``: equal lines of more words, or more bytes in UTF-8, go from their second document on.
+LONG_WORDS, LONG_BYTES = 50, 300
 
 
 def _lines(docs: DataFrame, min_tokens: int) -> DataFrame:
-    """(doc_id, th, pos, masked, n): the masked form of each line that has enough tokens, and its tokens' number.
+    """(doc_id, th, pos, masked, n, exact): the masked form of each line that has enough tokens, its tokens'
+    number and, of a long line, the hash of it as it is.
 
     White space is evened out in the whole text, before it is cut into lines: filters on lines
     then test plain column values, and no pattern is matched twice.
@@ -50,8 +54,9 @@ def _lines(docs: DataFrame, min_tokens: int) -> DataFrame:
     n = F.length("flat") - F.length(F.replace("flat", F.lit(" "), F.lit(""))) + 1
     masked = F.when(F.col("flat").rlike("[0-9]") & (n >= MIN_TOKENS),
                     F.regexp_replace("flat", "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", "<*>")).otherwise(F.col("flat"))
+    exact = F.when((n > LONG_WORDS) | (F.octet_length("flat") > LONG_BYTES), F.xxhash64("flat"))
     return (flat.where(F.col("flat") != "").where(n >= min_tokens)
-            .select("doc_id", "th", "pos", masked.alias("masked"), n.alias("n")))
+            .select("doc_id", "th", "pos", masked.alias("masked"), n.alias("n"), exact.alias("exact")))
 
 
 def _keyed(lines: DataFrame, lead: int) -> DataFrame:
@@ -84,7 +89,7 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = LEAD, s
                   min_tokens: int = MIN_TOKENS, whole: bool = False) -> DataFrame:
     """(doc_id, th, pos) of the lines that go (some twice); th: the hash of the document's text."""
     rows = _keyed(_lines(docs, 1 if whole else min_tokens), lead)
-    at = cut(rows.select("doc_id", "th", "pos", "leaf", "form"), "lines")
+    at = cut(rows.select("doc_id", "th", "pos", "leaf", "form", *["exact"] * whole), "lines")
     dk = F.when(F.col("doc_id").isNull(), F.col("th")).otherwise(F.xxhash64("doc_id"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "pos")
     by_doc = at.groupBy("leaf", "form", dk.alias("dk")).agg(F.min(place).alias("first"))
@@ -96,13 +101,15 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = LEAD, s
     leaves = forms.groupBy("leaf").agg(F.sum("docs").alias("d"), F.count("*").alias("k"),
                                        F.min("docs").alias("least"))
     open_leaf = (F.col("d") >= min_docs) & (F.col("k") > 1)
-    leaves = leaves.where(open_leaf if whole else open_leaf & (F.col("least") < min_docs)).select("leaf", F.col("d").alias("all"))
+    leaves = leaves.where(open_leaf if whole else open_leaf & (F.col("least") < min_docs)).select(
+        "leaf", *[F.col("d").alias("all")] * whole)
+    more = ["all"] * whole
     open_forms = cut(forms.join(leaves, "leaf"), "open-forms")
-    keys = open_forms.select("leaf", "form", "docs", "all", F.col("first.th").alias("th"), F.col("first.pos").alias("pos"))
+    keys = open_forms.select("leaf", "form", "docs", *more, F.col("first.th").alias("th"), F.col("first.pos").alias("pos"))
     # one plan at every size: the lines' texts are shuffled, never met by a broadcast side that grows
     shown = rows.select("leaf", "form", "th", "pos", "masked", "n").join(keys.hint("merge"), ["leaf", "form", "th", "pos"])
-    tokens = (shown.select("leaf", "form", "docs", "all", "n", F.posexplode(F.split("masked", " ")).alias("p", "token"))
-              .where(F.col("p") >= lead).select("leaf", "form", "docs", "all", "n", "p", F.xxhash64("token").alias("tok"))
+    tokens = (shown.select("leaf", "form", "docs", *more, "n", F.posexplode(F.split("masked", " ")).alias("p", "token"))
+              .where(F.col("p") >= lead).select("leaf", "form", "docs", *more, "n", "p", F.xxhash64("token").alias("tok"))
               .dropDuplicates(["leaf", "form", "p"]))
     tokens = cut(tokens, "line-tokens")
     constant = tokens.groupBy("leaf", "p", "tok").agg(F.sum("docs").alias("d")).where(F.col("d") >= min_docs)
@@ -124,7 +131,13 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, lead: int = LEAD, s
                .join(recur.where(F.col("docs") >= min_docs), template).select("leaf", "form", "first"))
 
     gone = at.join(settled.select("leaf", "form", "first").union(general), ["leaf", "form"])
-    return gone.where(~place.eqNullSafe(F.col("first"))).select("doc_id", "th", "pos")
+    gone = gone.where(~place.eqNullSafe(F.col("first"))).select("doc_id", "th", "pos")
+    if whole:   # a long line needs no third document; its first one is also the first of its form or template, or goes with it
+        long = at.where("exact is not null")
+        twice = (long.groupBy("exact", dk.alias("dk")).agg(F.min(place).alias("first"))
+                 .groupBy("exact").agg(F.count("*").alias("docs"), F.min("first").alias("first")).where("docs > 1"))
+        gone = gone.union(long.join(twice, "exact").where(~place.eqNullSafe(F.col("first"))).select("doc_id", "th", "pos"))
+    return gone
 
 
 def dedup_lines(docs: DataFrame, **how) -> DataFrame:

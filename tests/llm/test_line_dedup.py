@@ -102,3 +102,13 @@ def test_stage_takes_lines_of_one_and_two_tokens(spark, make_docs):
     docs = make_docs([f"And ornd.\n{script}\nown{w}\npage {i}\n{i}" for i, w in enumerate(["ab", "cd", "ef", "gh"])])
     got = texts(L.stage(spark, docs, ""))
     assert got == {0: f"And ornd.\n{script}\nownab\npage 0\n0", 1: "owncd\npage 1\n1", 2: "ownef\npage 2\n2", 3: "owngh\npage 3\n3"}
+
+
+def test_stage_takes_long_lines_from_the_second_document_on(spark, make_docs):
+    long = " ".join(f"word{c}{d}" for c in "abcdefgh" for d in "1234567")
+    script = "没有空格的很长的一行" * 12
+    other = long.replace("worda1", "worda9")    # the same form, not the same line
+    docs = make_docs([f"xa\n{long}\na short line of two", f"yb\n{long}\na short line of two\n{script}", f"zc\n{script}"])
+    assert texts(L.stage(spark, docs, "")) == {0: f"xa\n{long}\na short line of two", 1: f"yb\na short line of two\n{script}", 2: "zc"}
+    docs = make_docs([long, other, "nothing else"])
+    assert texts(L.stage(spark, docs, "")) == texts(docs)
