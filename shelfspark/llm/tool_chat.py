@@ -21,7 +21,10 @@ invalid_arguments, ok. Results: bad_result (no id), orphan_result, duplicate_res
 Defined results: rows without conv_id make one conversation; null turns sort first; null texts or
 roles are left out of the line; equal calls or results (repeated rows too) after the first are
 duplicates; ties in turn go by place in the text, then by row; empty tables give no rows; extra
-columns are not read. JSON that Spark cannot parse is plain text.
+columns are not read. JSON that Spark cannot parse is plain text; its reader's default limits on
+strings (20 million characters) and depth (1,000 levels) are lifted, but arguments that nest deeper
+than 1,000 levels inside a call cannot be copied out of it, so that text stays plain. Arguments that
+no variant can hold stand in the line as their raw text.
 """
 
 from __future__ import annotations
@@ -32,21 +35,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm.common import cut, rank_within
+from shelfspark.operators.curate import LIMITS
 
 #: JSON types by the names of a value's kind.
 KINDS = {"string": "^STRING$", "integer": "^BIGINT$", "number": "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$",
          "boolean": "^BOOLEAN$", "object": "^OBJECT<", "array": "^ARRAY<"}
 CALLS = ("content string, tool_calls array<struct<id: string, name: string, arguments: string, after: array<string>>>")
 RESULT = "tool_call_id string, content string"
+#: Variants are built and shown level by level on the task's stack, so their depth keeps the reader's default limit.
+VARIANT = {"maxStringLen": LIMITS["maxStringLen"]}
 #: The tools of the registered query.
 TOOLS = {"lookup": {"properties": {"query": "string", "turn": "integer"}, "required": ["query", "turn"]},
          "rewrite": {"properties": {"query": "string", "turn": "integer", "style": "string"},
                      "required": ["query", "style"]}}
 
 
+def _variant(json) -> F.Column:
+    """A variant of a JSON column, also with strings beyond the reader's default limit; null: none can hold it."""
+    return F.coalesce(F.try_parse_json(json), F.from_json(json, "variant", VARIANT))
+
+
 def argument_errors(tools: dict) -> F.Column:
     """The schema errors of columns (name, arguments), sorted."""
-    value = F.try_parse_json("arguments")
+    value = _variant("arguments")
     kind = F.schema_of_variant(value)
     out = F.array(F.lit("unknown_tool"))
     for tool, schema in sorted(tools.items()):
@@ -106,11 +117,11 @@ def format_tool_chats(messages: DataFrame, tools: dict) -> DataFrame:
                         F.monotonically_increasing_id().alias("rid"))
     m = cut(m.withColumn("turn0", F.coalesce("turn", F.lit(-(1 << 62)))), "messages")
     keep = ["ck", "turn", "turn0", "rid"]
-    spoken = m.withColumn("j", F.when(F.col("role") == "assistant", F.from_json("text", CALLS)))
+    spoken = m.withColumn("j", F.when(F.col("role") == "assistant", F.from_json("text", CALLS, LIMITS)))
     has_calls = F.col("j.tool_calls").isNotNull()
-    results = (m.where("role = 'tool'").withColumn("j", F.from_json("text", RESULT)).where("j.tool_call_id is not null")
+    results = (m.where("role = 'tool'").withColumn("j", F.from_json("text", RESULT, LIMITS)).where("j.tool_call_id is not null")
                .select(*keep, F.col("j.tool_call_id").alias("id"), F.col("j.content").alias("content")))
-    bad_result = (m.where("role = 'tool'").withColumn("j", F.from_json("text", RESULT))
+    bad_result = (m.where("role = 'tool'").withColumn("j", F.from_json("text", RESULT, LIMITS))
                   .where("j.tool_call_id is null").select(*keep, "text"))
     calls = cut(spoken.where(has_calls).select(*keep, F.posexplode("j.tool_calls").alias("i", "c")).select(
         *keep, "i", "c.id", "c.name", "c.arguments", F.array_sort(F.array_distinct(F.coalesce(
@@ -144,10 +155,11 @@ def format_tool_chats(messages: DataFrame, tools: dict) -> DataFrame:
     spare = spare.withColumns({"answered": F.lit(None).cast("long"), "content": F.lit(None).cast("string"), "level": F.lit(0),
                                "due": F.col("turn0"), "errors": argument_errors(tools)})
     cols = [*keep, "i", "id", "name", "arguments", "after", "content", "level", "due", "errors", "status"]
-    call_json = F.to_json(F.struct(
-        "after", F.coalesce(F.try_parse_json("arguments"), F.try_parse_json(F.to_json(F.struct(F.col("arguments").alias("text")))))
-        .alias("arguments"), "errors", "id", F.lit("call").alias("kind"), "level", "name", F.col("content").alias("result"),
-        "status"))
+    held = F.coalesce(_variant("arguments"), _variant(F.to_json(F.struct(F.col("arguments").alias("text")))))
+    line = lambda arguments: F.to_json(F.struct(
+        "after", arguments.alias("arguments"), "errors", "id", F.lit("call").alias("kind"), "level", "name",
+        F.col("content").alias("result"), "status"))
+    call_json = F.when(F.col("arguments").isNotNull() & held.isNull(), line(F.col("arguments"))).otherwise(line(held))
     out_calls = linked.select(*cols).unionByName(spare.select(*cols)).select(
         *keep, "i", F.lit("call").alias("kind"), F.col("id").alias("call_id"), "level", "status", "due", call_json.alias("json"))
 

@@ -1,5 +1,8 @@
 import json
+import os
 import random
+import subprocess
+import sys
 from collections import defaultdict
 
 import pytest
@@ -138,3 +141,29 @@ def test_query_equals_brute_force(spark):
     for r in out:
         by[r["conv_id"]].append((r["position"], r["turn"]))
     assert all([t for _, t in sorted(v)] == sorted(t for _, t in v) and sorted(p for p, _ in v) == list(range(len(v))) for v in by.values())
+
+
+BEYOND = """
+import json
+from pyspark.sql import functions as F
+from shelfspark.llm import tool_chat as C
+from shelfspark.session import get_spark
+tools = {"add": {"properties": {"a": "integer", "s": "string"}, "required": ["a"]}}
+big = "x" * 20_100_000
+rows = [(1, 0, "assistant", json.dumps({"tool_calls": [{"id": "d", "name": "add", "arguments": {"a": 1, "s": big}, "after": []}]})),
+        (1, 1, "tool", json.dumps({"tool_call_id": "d", "content": big}))]
+spark = get_spark("local[1]", shuffle_partitions=1)
+df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+out = C.format_tool_chats(df, tools).collect()
+assert [(r["kind"], r["call_id"], r["status"]) for r in out] == [("call", "d", "ok")], [r[:7] for r in out]
+line = json.loads(out[0]["json"])
+assert line["arguments"] == {"a": 1, "s": big} and line["result"] == big
+"""
+
+
+def test_turns_beyond_the_default_limit_of_the_reader():
+    """In a process of its own, whose heap holds turns of 20 million characters."""
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--driver-memory 6g pyspark-shell", "PYTHONPATH": os.getcwd()}
+    env = {k: v for k, v in env.items() if not k.startswith("PYSPARK_GATEWAY")}
+    done = subprocess.run([sys.executable, "-c", BEYOND], env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
