@@ -2,12 +2,12 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
 from shelfspark.operators import curate as cu
 from shelfspark.plans import fixtures as fx
 from shelfspark.plans import jobs as J
 from shelfspark.plans import rules as R
 from shelfspark.sources.tables import TableStore
+from small_tables import SF_SMALL
 
 
 def test_full_then_changes_refresh(spark):

@@ -5,9 +5,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
 from scripts.check_oracle import rows_of
 from shelfspark.plans.fixtures import TABLES
+from small_tables import SF_SMALL
 
 
 @pytest.fixture(scope="module")

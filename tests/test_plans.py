@@ -4,7 +4,7 @@ no cartesian product, no nested-loop join and no row-at-a-time Python UDF."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 BAD = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 

@@ -5,12 +5,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
 from shelfspark.operators import curate as cu
 from shelfspark.operators import hierarchy as H
 from shelfspark.operators import packaging as P
 from shelfspark.plans import fixtures as fx
 from shelfspark.plans import queries as Q
+from small_tables import SF_SMALL
 
 
 def plan(df):
