@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfspark.llm import bpe, decontam, kd_shards, kneser_ney, langid, line_dedup, simhash_dups, suffix_dedup, tool_chat, topk
+from shelfspark.llm import bpe, decontam, exact_dups, kd_shards, kneser_ney, langid, line_dedup, simhash_dups, suffix_dedup, tool_chat, topk
 
 QUERIES = {
     "op1_language_id": langid.query,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_kneser_ney": kneser_ney.query,
     "op9_simhash_near_dedup": simhash_dups.query,
     "op10_tool_call_chat": tool_chat.query,
+    "op12_exact_dedup": exact_dups.query,
 }
 
 ORACLE: dict[str, str] = {
     "op2_line_dedup": line_dedup.SQL,
     "op7_exact_top_k": topk.SQL,
+    "op12_exact_dedup": exact_dups.SQL,
 }
