@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from shelfspark.llm import bpe, decontam, exact_dups, kd_shards, kneser_ney, langid, line_dedup, simhash_dups, suffix_dedup, tool_chat, topk
+from shelfspark.llm import (
+    bpe,
+    decontam,
+    exact_dups,
+    kd_shards,
+    kneser_ney,
+    langid,
+    line_dedup,
+    simhash_dups,
+    spelling,
+    suffix_dedup,
+    tool_chat,
+    topk,
+)
 
 QUERIES = {
     "op1_language_id": langid.query,
@@ -16,6 +29,7 @@ QUERIES = {
     "op9_simhash_near_dedup": simhash_dups.query,
     "op10_tool_call_chat": tool_chat.query,
     "op12_exact_dedup": exact_dups.query,
+    "op13_spelling_variants": spelling.query,
 }
 
 ORACLE: dict[str, str] = {
