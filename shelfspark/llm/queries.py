@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from shelfspark.llm import (
     bpe,
+    conv_repair,
     decontam,
     exact_dups,
     kd_shards,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_kneser_ney": kneser_ney.query,
     "op9_simhash_near_dedup": simhash_dups.query,
     "op10_tool_call_chat": tool_chat.query,
+    "op11_conversation_repair": conv_repair.query,
     "op12_exact_dedup": exact_dups.query,
     "op13_spelling_variants": spelling.query,
 }
