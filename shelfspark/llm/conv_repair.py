@@ -47,7 +47,7 @@ LONG = (1 << 63) - 1
 
 _LONGS = ("first", "first_turn", "last_turn", "n_turns", "blank", "duplicate", "truncated", "illegal")
 _WAY = pa.struct([("enter", pa.int32()), ("leave", pa.int32()), ("cost", pa.int64()), ("audit", pa.string())])
-PIECES = pa.schema([("conv_id", pa.int64()), *[(c, pa.int64()) for c in _LONGS], ("head", pa.string()), ("tail", pa.string()),
+PIECES = pa.schema([("conv_id", pa.int64()), ("whole", pa.bool_()), *[(c, pa.int64()) for c in _LONGS], ("head", pa.string()), ("tail", pa.string()),
                     ("ways", pa.list_(_WAY))])
 REPAIRS = pa.schema([(c, pa.int64()) for c in ("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
                     + [("audit", pa.string())])
@@ -118,7 +118,7 @@ def _segment(rows: pa.Table) -> pa.Table:
         turns = [r["turn"] for r in part if r["turn"] is not None]
         faults = [r["fault"] for r in part]
         out.append({
-            "conv_id": part[0]["conv_id"], "first": part[0]["_at"], "n_turns": len(set(turns)), "ways": ways,
+            "conv_id": part[0]["conv_id"], "whole": whole, "first": part[0]["_at"], "n_turns": len(set(turns)), "ways": ways,
             "first_turn": turns[0] if turns else None, "last_turn": turns[-1] if turns else None,
             "blank": faults.count(BLANK), "duplicate": faults.count(DUPLICATE), "truncated": faults.count(CUT_OFF),
             "illegal": sum(x[0] + y[0] not in LEGAL_PAIRS for x, y in zip(steps, steps[1:], strict=False)),
@@ -167,8 +167,15 @@ def repairs(rows: DataFrame) -> DataFrame:
     """One row of counts, cost and audit for each conversation of ``rows`` (``in_order``)."""
     inside = F.col("_at").bitwiseAND((1 << 33) - 1)
     segment = F.shiftright("_at", 33).alias("part"), F.floor(inside / SEGMENT).alias("segment")
-    pieces = faults(rows).groupBy(*segment).applyInArrow(_segment, from_arrow_schema(PIECES))
-    return pieces.groupBy("conv_id").applyInArrow(_conversation, from_arrow_schema(REPAIRS))
+    pieces = cut(faults(rows).groupBy(*segment).applyInArrow(_segment, from_arrow_schema(PIECES)), "repair_pieces")
+    exact = [F.col(c).cast("decimal(20,0)") for c in ("last_turn", "first_turn", "n_turns")]
+    gaps = F.least(exact[0] - exact[1] + 1 - exact[2], F.lit(LONG).cast("decimal(20,0)")).cast("long")
+    way = F.col("ways")[0]
+    one = pieces.where("whole").select(
+        "conv_id", F.coalesce(gaps, F.lit(0)).alias("gaps"), "blank", "duplicate", "truncated", "illegal",
+        way["cost"].alias("cost"), way["audit"].alias("audit"))
+    several = pieces.where("not whole").groupBy("conv_id").applyInArrow(_conversation, from_arrow_schema(REPAIRS))
+    return one.unionByName(several)
 
 
 def _replay(batches):
