@@ -78,3 +78,35 @@ def test_stage_rejects_und_only_and_keeps_columns(spark):
     out = langid.stage(spark, docs, SF)
     assert out.columns == docs.columns
     assert out.count() >= 0.99 * docs.count()
+
+
+def test_emissions_equal_the_sum_of_features(spark, monkeypatch):
+    kept = {}
+
+    class Kept(langid.Model):
+        def __init__(self, labels, index, weights, trans, start):
+            kept.update(index)
+            super().__init__(labels, index, weights, trans, start)
+    monkeypatch.setattr(langid, "Model", Kept)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = langid.training_rows(docs)[:120]
+    model = langid.train(rows)
+    words = ["", "a", "ab", "abc", "ж", "aжb", "the" * 700, *{langid.letters(w) for t, _ in rows for w in t.split()}][:2000]
+    plain = np.array([sum((model.weights[kept[f]] for f in langid.features(w) if w and f in kept),
+                          np.zeros(len(model.labels))) for w in words])
+    for step in (langid.STEP_LETTERS, 50):
+        monkeypatch.setattr(langid, "STEP_LETTERS", step)
+        assert np.allclose(model.emissions(words), plain)
+
+
+def test_slices_of_a_long_text_change_nothing(model, spark, monkeypatch):
+    import pyarrow as pa
+    rows = spark.read.parquet(f"{SF}/documents.parquet").where("n_chars > 300").limit(60).collect()
+    text = pa.array([" 12 ".join(r["text"] for r in rows)])
+    whole = langid.Labeller(model).label(text)
+    spans = langid.Labeller(model).spans(text[0].as_py())
+    monkeypatch.setattr(langid, "SLICE", 97)
+    monkeypatch.setattr(langid, "CACHE_WORDS", 50)
+    parts = langid.Labeller(model).label(text)
+    assert whole[0] == parts[0] and np.allclose(whole[1], parts[1]) and list(whole[2]) == list(parts[2])
+    assert langid.Labeller(model).spans(text[0].as_py()) == spans
