@@ -356,7 +356,7 @@ class Labeller:
 
     def emitted(self, words: pa.Array):
         """Emissions of distinct words, and whether they have letters."""
-        if len(words) > CACHE_WORDS or pc.sum(pc.binary_length(words)).as_py() > CACHE_LETTERS:
+        if len(words) > CACHE_WORDS or (pc.sum(pc.binary_length(words)).as_py() or 0) > CACHE_LETTERS:
             plain = [[letters(w) for w in words.slice(a, SLICE).to_pylist()] for a in range(0, len(words), SLICE)]
             return (np.concatenate([self.model.emissions(p) for p in plain]),
                     np.concatenate([np.fromiter(map(bool, p), dtype=bool, count=len(p)) for p in plain]))
