@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import assets
-from ..functions.columns import localized_elements, localized_pick, truthy_coalesce
+from ..functions.columns import bound, first_truthy, localized_elements, localized_pick, truthy_coalesce
 from ..schemas import CURATED_COLUMNS, DOCUMENT_FIELDS, document_ddl
 
 #: Limits of the JSON reader, well beyond its defaults (1,000 levels, 20 million characters).
@@ -69,6 +69,15 @@ def field(doc: str, path: str) -> Column:
     return F.col(f"{doc}.{path}")
 
 
+def read_fields(raw_json, paths: list[str], use) -> Column:
+    """``use(field, ...)`` of the fields at ``paths``: one parse, wherever the optimizer puts the column."""
+    def at(doc, path):
+        for name in path.split("."):
+            doc = doc[name]
+        return doc
+    return bound(parse_fields(raw_json, paths), lambda d: use(*[at(d, p) for p in paths]))
+
+
 def _deleted(raw: Column, doc: str) -> Column:
     """CatalogueItemInfo.Deleted if present (even if not a boolean, which then
     yields NULL), else the root Deleted. Whether it is present is asked of the
@@ -152,9 +161,8 @@ SEGMENT_PATHS = [_GPC + "GpcSegmentCode", "GpcSegmentCode"]
 
 
 def with_segment(silver: DataFrame, name: str = "_segment") -> DataFrame:
-    """Adds the nested classification segment, else the root one (truthy fallback): parsed once, as a column."""
-    doc = silver.withColumn("_doc", parse_fields("raw_json", SEGMENT_PATHS))
-    return doc.withColumn(name, truthy_coalesce(*[field("_doc", p) for p in SEGMENT_PATHS])).drop("_doc")
+    """Adds the nested classification segment, else the root one (truthy fallback): one parse a document."""
+    return silver.withColumn(name, read_fields("raw_json", SEGMENT_PATHS, first_truthy))
 
 
 def segment_filter(silver: DataFrame, wanted: str | None) -> DataFrame:
@@ -173,6 +181,24 @@ def segment_outcomes(silver: DataFrame, wanted: str | None, batch_col: str) -> D
             .groupBy("batch", "outcome").agg(F.count(F.lit(1)).alias("n")))
 
 
+def _reason(raw: Column, corrupt: Column) -> Column:
+    """Why a document cannot be curated cleanly; ``corrupt`` is the parse's corrupt record."""
+    # brackets say how deep a text can be at most; the exact test runs only where they allow it
+    brackets = F.length(raw) - F.length(F.translate(raw, "[{", ""))
+    walked = F.from_json(raw, "_any string, _corrupt_record string",
+                         {**_CORRUPT, "maxNestingDepth": str(assets.MAX_WALK_DEPTH)})["_corrupt_record"]
+    endless = F.from_json(raw, "_any string, _corrupt_record string", {**_CORRUPT, "maxNestingDepth": str(2**31 - 1)})[
+        "_corrupt_record"]
+    first = F.substring(F.ltrim(raw), 1, 1)
+    deep = F.when(brackets > assets.MAX_WALK_DEPTH, walked.isNotNull() & endless.isNull()).otherwise(F.lit(False))
+    return (F.when(raw.isNull(), "null_document")
+            .when(deep, "too_deep")
+            .when(corrupt.isNull(), F.lit(None))
+            .when(F.try_parse_json(raw).isNull(), "malformed_json")
+            .when(first != F.lit("{"), "not_an_object")
+            .otherwise("type_mismatch"))
+
+
 def quarantine(silver: DataFrame) -> DataFrame:
     """Rows that cannot be curated cleanly, with a reason (F2, D10).
 
@@ -184,19 +210,39 @@ def quarantine(silver: DataFrame) -> DataFrame:
     raw = F.col("raw_json")
     src = silver.select("Id", "ingest_ts", "raw_json", parse_fields(raw, DOCUMENT_FIELDS, corrupt=True)["_corrupt_record"]
                         .alias("corrupt"))
-    # brackets say how deep a text can be at most; the exact test runs only where they allow it
-    brackets = F.length(raw) - F.length(F.translate(raw, "[{", ""))
-    walked = F.from_json(raw, "_any string, _corrupt_record string",
-                         {**_CORRUPT, "maxNestingDepth": str(assets.MAX_WALK_DEPTH)})["_corrupt_record"]
-    endless = F.from_json(raw, "_any string, _corrupt_record string", {**_CORRUPT, "maxNestingDepth": str(2**31 - 1)})[
-        "_corrupt_record"]
-    first = F.substring(F.ltrim(raw), 1, 1)
-    deep = F.when(brackets > assets.MAX_WALK_DEPTH, walked.isNotNull() & endless.isNull()).otherwise(F.lit(False))
-    reason = (F.when(raw.isNull(), "null_document")
-              .when(deep, "too_deep")
-              .when(F.col("corrupt").isNull(), F.lit(None))
-              .when(F.try_parse_json(raw).isNull(), "malformed_json")
-              .when(first != F.lit("{"), "not_an_object")
-              .otherwise("type_mismatch"))
-    return (src.select("Id", "ingest_ts", reason.alias("reason"))
+    return (src.select("Id", "ingest_ts", _reason(raw, F.col("corrupt")).alias("reason"))
             .where(F.col("reason").isNotNull()))
+
+
+#: Names of the columns beside the curated ones in :func:`curate_checked`.
+SILVER_ID, REASON = "_silver_id", "_reason"
+
+
+def curate_checked(silver: DataFrame, with_images: bool = True) -> DataFrame:
+    """One parse for both outputs (F2): every silver row with all curated columns, its digest, its silver Id and
+    the reason that sets it apart, if any. Store it, then read :func:`clean_rows` and :func:`rejected_rows`
+    of it: each prunes to the columns that it shows.
+    """
+    raw = F.col("raw_json")
+    src = silver.withColumn("d", parse_fields(raw, DOCUMENT_FIELDS, corrupt=True))
+    cols = {c: _column(c, "d") for c in CURATED_COLUMNS if c in SOURCES}
+    cols["UpdatedAt"] = F.col("ingest_ts")
+    if with_images:
+        src = src.withColumn("_cands", assets.image_candidates(raw))
+        cols.update(assets.top2(assets.ranked(F.col("_cands"))))
+    else:
+        cols.update({c: F.lit(None).cast("string") for c in IMAGE_COLUMNS})
+    return src.select(*[cols[n].alias(n) for n in CURATED_COLUMNS], F.md5(raw).alias(DOC_DIGEST),
+                      F.col("Id").alias(SILVER_ID), _reason(raw, F.col("d._corrupt_record")).alias(REASON))
+
+
+def clean_rows(checked: DataFrame, digest: bool = False) -> DataFrame:
+    """The rows of :func:`curate`."""
+    return (checked.where(F.coalesce(F.col(REASON) != "null_document", F.lit(True)))
+            .select(*CURATED_COLUMNS, *([DOC_DIGEST] if digest else [])))
+
+
+def rejected_rows(checked: DataFrame) -> DataFrame:
+    """The rows of :func:`quarantine`."""
+    return (checked.where(F.col(REASON).isNotNull())
+            .select(F.col(SILVER_ID).alias("Id"), F.col("UpdatedAt").alias("ingest_ts"), F.col(REASON).alias("reason")))

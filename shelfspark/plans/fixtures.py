@@ -7,10 +7,14 @@ JSON documents, key pages, hierarchy and sales rows from them.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import year_week
+from ..schemas import SILVER_SCHEMA
+from ..session import path_exists, scratch_path
 from . import rules as R
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -182,13 +186,32 @@ def case_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.expr(R.INGEST_V1).alias("ingest_ts"))
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver raw-item table: (Id, raw_json, ingest_ts)."""
+def silver_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw items: (Id, raw_json, ingest_ts), built from the driver's tables."""
     base = base_documents(spark, sf_dir).select("Id", "raw_json", "ingest_ts")
     return (base.unionByName(bad_documents(spark, sf_dir))
             .unionByName(case_documents(spark, sf_dir)))
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+_LANDING = threading.Lock()
+
+
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver raw-item table: (Id, raw_json, ingest_ts).
+
+    The documents are landed once for each application and folder, in full, and read from there: the
+    optimizer would otherwise build each document's text anew for every field that a query asks of it.
+    """
+    key = spark.sparkContext.applicationId, sf_dir.rstrip("/")
+    with _LANDING:
+        path = _LANDED.get(key)
+        if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
+            path = _LANDED[key] = scratch_path(spark, "silver-landing")
+            silver_documents(spark, sf_dir).write.parquet(path)
+    return spark.read.schema(SILVER_SCHEMA).parquet(path)
+
+
 def hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retail hierarchy rows (GTIN, L2, L3, L4), duplicates included."""
     part = table(spark, sf_dir, "part")

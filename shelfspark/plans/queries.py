@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import assets
-from ..functions.columns import (image_score, is_image_url, normalise_name,
+from ..functions.columns import (first_truthy, image_score, is_image_url, normalise_name,
                                  strip_leading_zeros, upper_trim_equals, url_extension,
                                  url_suffix_code)
 from ..operators import curate as cu
@@ -18,8 +18,8 @@ from ..operators import hierarchy as hi
 from ..operators import packaging as pk
 from ..operators import profile as pr
 from ..operators import publish as pb
-from ..schemas import CASE_COLUMNS
-from ..session import scratch_path
+from ..schemas import CASE_COLUMNS, PUBLISH_COLUMNS
+from ..session import scratch_path, staged
 from ..sources import jdbc, pages
 from ..sources.tables import TableStore
 from ..streaming import changes as ch
@@ -66,7 +66,7 @@ def bronze(spark, d):
 
 
 def publishable(spark, d):
-    return pb.publishable(gold(spark, d))
+    return pb.publishable(gold(spark, d, columns=_PUBLISH_IN))
 
 
 def manifest(spark, d, winners_only=False):
@@ -212,10 +212,8 @@ def q_changes_stream(spark, d):
 # ---------------------------------------------------------------- assets
 def _walk(spark, d):
     docs = silver(spark, d).where("raw_json IS NOT NULL")
-    paths = cu.SOURCES["GTIN"]
-    gtin = F.coalesce(*[F.nullif(cu.field("d", p), F.lit("")) for p in paths])
-    return (docs.withColumn("d", cu.parse_fields("raw_json", paths)).select(gtin.alias("GTIN"), "raw_json")
-            .withColumn("cands", assets.image_candidates("raw_json")))
+    gtin = cu.read_fields("raw_json", cu.SOURCES["GTIN"], first_truthy)
+    return docs.select(gtin.alias("GTIN"), "raw_json").withColumn("cands", assets.image_candidates("raw_json"))
 
 
 def q_asset_walk(spark, d):
@@ -272,6 +270,10 @@ def q_tier0_join(spark, d):
 _CASCADE_IN = ["GTIN", "Id", "InfoProviderName", "UpdatedAt", "LastUpdatedDateTime"]
 
 
+# what the manifest shows of a curated row, and what the cascade reads of it
+_PUBLISH_IN = [*_CASCADE_IN, *[c for c in PUBLISH_COLUMNS if c != "GTIN"], "TradeItemUnitDescriptor"]
+
+
 def q_category_cascade(spark, d):
     return gold(spark, d, columns=_CASCADE_IN).select("GTIN", "Id", "GTIN_NO_LEADING_ZEROS", L2, L3, L4, "CATEGORY_SOURCE")
 
@@ -298,6 +300,11 @@ def q_unit_split(spark, d):
             .groupBy("unit_class").agg(F.count(F.lit(1)).alias("n")))
 
 
+def _cases_in(spark, d):
+    """The latest rows with what the case operators read: staged, since they are joined with themselves."""
+    return staged(latest(spark, d, _CASE_IN), "case_rows")
+
+
 def q_case_edges(spark, d):
     return pk.case_edges(latest(spark, d, _CASE_IN))
 
@@ -310,16 +317,16 @@ _CASE_OUT = ["GTIN", "TradeItemUnitDescriptor", *CASE_COLUMNS]
 
 
 def q_case_dimensions(spark, d):
-    return pk.case_dimensions(latest(spark, d, _CASE_IN)).select(*_CASE_OUT)
+    return pk.case_dimensions(_cases_in(spark, d)).select(*_CASE_OUT)
 
 
 def q_case_idempotent(spark, d):
-    once = pk.case_dimensions(latest(spark, d, _CASE_IN))
-    return pk.case_dimensions(once).select(*_CASE_OUT)
+    once = pk.case_dimensions(_cases_in(spark, d))
+    return pk.case_dimensions(staged(once, "case_once")).select(*_CASE_OUT)
 
 
 def q_case_metrics(spark, d):
-    return pk.case_metrics(pk.case_dimensions(latest(spark, d, _CASE_IN)))
+    return pk.case_metrics(pk.case_dimensions(_cases_in(spark, d)))
 
 
 # ---------------------------------------------------------------- publishing
@@ -399,8 +406,8 @@ def _previous_manifest(spark, d, current):
 
 
 def q_manifest_diff(spark, d):
-    cur = manifest(spark, d, winners_only=True).select(
-        "target", "url", "gtin", pb.metadata_text("metadata").alias("meta"))
+    cur = staged(manifest(spark, d, winners_only=True).select(
+        "target", "url", "gtin", pb.metadata_text("metadata").alias("meta")), "manifest_now")
     prev = _previous_manifest(spark, d, cur)
     return pb.manifest_diff(prev, cur.select("target", "url", "meta"))
 
@@ -437,7 +444,7 @@ def q_missing_keys(spark, d):
 
 def q_run_summary(spark, d):
     """One row of run metrics: the counts of each table are rows of one union, added up by one aggregate."""
-    g = pk.case_dimensions(gold(spark, d, columns=sorted({*_CASCADE_IN, *_CASE_IN})))
+    g = pk.case_dimensions(staged(gold(spark, d, columns=sorted({*_CASCADE_IN, *_CASE_IN})), "summary_gold"))
     names = ["n_keys", "n_silver", "n_gold", "n_categorised", "n_with_case_dims"]
 
     def counts(df, **of):

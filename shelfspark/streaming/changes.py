@@ -16,12 +16,11 @@ from ..operators import curate as cu
 from ..schemas import SILVER_SCHEMA
 from ..sources.tables import TableStore
 
+
 def touched_keys(arrived: DataFrame) -> DataFrame:
     """Distinct GTINs of newly arrived raw items (a DataFrame, never a list)."""
-    paths = cu.SOURCES["GTIN"]
-    doc = arrived.select(cu.parse_fields("raw_json", paths).alias("d"))
-    return (doc.select(F.coalesce(*[cu.field("d", p) for p in paths]).alias("GTIN"))
-            .where(F.col("GTIN").isNotNull()).distinct())
+    gtin = cu.read_fields("raw_json", cu.SOURCES["GTIN"], F.coalesce)
+    return arrived.select(gtin.alias("GTIN")).where(F.col("GTIN").isNotNull()).distinct()
 
 
 def upsert_latest(previous: DataFrame, arrived: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Plan shapes that matter at scale (checked on small data)."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,7 +93,7 @@ def test_curation_runs_once_per_query(spark, monkeypatch):
     # only the manifest shows image columns: the others walk no document at all
     for name, walked in {"case_dimensions": 0, "publish_manifest": n_docs, "coverage_metrics": 0}.items():
         acc.value = 0
-        Q.QUERIES[name](spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+        Q.QUERIES[name](spark, SF_SMALL).write.format("noop").mode("overwrite").save()  # staging counts too
         assert acc.value == walked, name
 
 
@@ -100,16 +101,44 @@ NO_IMAGES = ["deleted_counts", "unit_split", "known_flag", "tier0_join", "case_e
              "case_dimensions", "case_idempotent", "category_cascade", "own_placeholder", "coverage_metrics", "run_summary"]
 
 
-@pytest.mark.parametrize("name", NO_IMAGES)
-def test_no_walk_and_pruned_parse_without_image_columns(spark, name):
-    p = Q.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
-    assert "ArrowEvalPython" not in p and "_walk" not in p
-    assert "BrandNameInformation" not in p and "GpcFamilyCode" not in p
+def parses(df):
+    """The schemas of all document parses in the finished plan, one text each, and the plan."""
+    plans = df._jdf.queryExecution().optimizedPlan().toString()
+    return re.findall(r"from_json\((StructField.*?), \(max", plans), plans
 
 
-def test_segment_is_parsed_once(spark):
-    p = Q.QUERIES["segment_filter"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
-    assert p.count("from_json(") == 1 and "BrandName" not in p
+@pytest.mark.parametrize("name", NO_IMAGES)
+def test_no_walk_and_pruned_parse_without_image_columns(spark, name, monkeypatch):
+    """Whatever a query parses, staged or not, it asks for no field that it does not show, and walks no document."""
+    seen = []
+    read = cu.parse_fields
+
+    def noted(raw, paths, corrupt=False):
+        seen.extend(paths)
+        return read(raw, paths, corrupt)
+
+    def no_walk(raw):
+        raise AssertionError(f"{name} walks documents")
+    monkeypatch.setattr(cu, "parse_fields", noted)
+    monkeypatch.setattr(cu.assets, "image_candidates", no_walk)
+    schemas, p = parses(Q.QUERIES[name](spark, SF_SMALL))
+    assert "ArrowEvalPython" not in p and not any("BrandName" in x or "GpcFamilyCode" in x for x in schemas)
+    assert seen and not any("BrandName" in x or "GpcFamilyCode" in x for x in seen)
+
+
+def test_one_parse_a_document(spark):
+    """The finished plans parse a document once: one from_json of its text for each read of the raw table, and one read."""
+    for name in ["segment_filter", "segment_skips", "key_fallback", "latest_per_key", "asset_walk"]:
+        schemas, p = parses(Q.QUERIES[name](spark, SF_SMALL))
+        whole = [x for x in schemas if "LanguageCode" not in x and "Deleted,StringType" not in x]
+        assert len(whole) == 1, name
+        assert p.count("Relation [Id#") == 1, name
+
+
+def test_self_joins_read_staged_rows(spark):
+    for name in ["case_dimensions", "case_idempotent", "case_metrics", "publish_manifest"]:
+        schemas, _ = parses(Q.QUERIES[name](spark, SF_SMALL))
+        assert not [x for x in schemas if "CatalogueItemInfo" in x or "TradeItem" in x], name
 
 
 def test_year_bound_reaches_the_sales_scan(spark, tmp_path):
