@@ -127,7 +127,8 @@ def curate(silver: DataFrame, with_images: bool = True, columns: Iterable[str] |
     return src.select(*out)
 
 
-def latest_per_key(curated: DataFrame, key: str = "GTIN", drop_null_keys: bool = False) -> DataFrame:
+def latest_per_key(curated: DataFrame, key: str = "GTIN", drop_null_keys: bool = False,
+                   then: Iterable[str] = ()) -> DataFrame:
     """One row per key: newest StartAvailabilityDateTime, then newest ingest,
     then newest LastUpdatedDateTime, then Id, then the document's digest: equal
     digests are equal documents, so the order is total (D1). A frame without
@@ -137,12 +138,13 @@ def latest_per_key(curated: DataFrame, key: str = "GTIN", drop_null_keys: bool =
     Spark plans this as a partial top-1 per key inside each map task
     (WindowGroupLimit) before the shuffle, so a hot key -- NULL included --
     ships at most one row per map partition. ``drop_null_keys`` drops the
-    keyless rows instead of collapsing them. The digest stays, if it came.
+    keyless rows instead of collapsing them. The digest stays, if it came. ``then``
+    names columns that decide between rows equal in all else, smallest first.
     """
     if drop_null_keys:
         curated = curated.where(F.col(key).isNotNull())
     rest = ["Id", *([DOC_DIGEST] if DOC_DIGEST in curated.columns else
-                    [c for c in curated.columns if c not in (*VERSION_ORDER, key, "Id")])]
+                    [c for c in curated.columns if c not in (*VERSION_ORDER, key, "Id", *then)]), *then]
     order = [F.col(c).desc_nulls_last() for c in VERSION_ORDER] + [F.col(c).asc_nulls_last() for c in rest]
     w = Window.partitionBy(key).orderBy(*order)
     return curated.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

@@ -5,7 +5,7 @@ row. Counts come from ``Observation`` during the writes (no second scan)."""
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,7 +16,10 @@ from ..operators import hierarchy as hi
 from ..operators import packaging as pk
 from ..operators import profile as pr
 from ..operators import publish as pb
+from ..schemas import CURATED_COLUMNS, SILVER_SCHEMA
+from ..session import path_exists, staged
 from ..sources import pages
+from ..sources.buckets import BucketedSnapshot
 from ..sources.tables import TableStore
 from ..streaming import changes as ch
 
@@ -47,12 +50,18 @@ def _observed_write(store: TableStore, df: DataFrame, name: str, metrics: dict,
     return path
 
 
+def gold_rows(curated: DataFrame, hierarchy: DataFrame, weekly_sales: DataFrame, cfg: CategoryConfig) -> DataFrame:
+    """Curated rows with categories and case dimensions. The self join of the cases reads categorised rows that
+    are staged, so that the cascade runs once."""
+    recent = hi.recent_sales_lookup(hierarchy, weekly_sales, cfg.as_of, cfg.months)
+    return pk.case_dimensions(staged(hi.category_cascade(curated, hierarchy, recent, cfg.rules, cfg.own_provider,
+                                                         cfg.placeholder), "categorised"))
+
+
 def enrich(store: TableStore, curated: DataFrame, hierarchy: DataFrame, weekly_sales: DataFrame,
            cfg: CategoryConfig, result: RunResult) -> None:
     """curated -> gold: categories and case dimensions in one plan, written once."""
-    recent = hi.recent_sales_lookup(hierarchy, weekly_sales, cfg.as_of, cfg.months)
-    gold = pk.case_dimensions(hi.category_cascade(curated, hierarchy, recent, cfg.rules, cfg.own_provider,
-                                                  cfg.placeholder))
+    gold = gold_rows(curated, hierarchy, weekly_sales, cfg)
     result.tables["gold"] = _observed_write(
         store, gold, "gold", result.metrics, "gold",
         {"categorised": F.count_if(F.col("CATEGORY_SOURCE").isNotNull()),
@@ -60,6 +69,33 @@ def enrich(store: TableStore, curated: DataFrame, hierarchy: DataFrame, weekly_s
          "with_case_dims": F.count_if(F.col("Case_GTIN").isNotNull())})
 
 
+def snapshot_of(store: TableStore) -> BucketedSnapshot:
+    """The curated table of a store: one row for each GTIN, in buckets."""
+    return ch.curated_snapshot(store.spark, f"{store.root}/curated-buckets")
+
+
+def curated_rows(store: TableStore) -> DataFrame:
+    return snapshot_of(store).read().select(*CURATED_COLUMNS)
+
+
+def curate_all(store: TableStore, silver: DataFrame, res: RunResult) -> None:
+    """Silver -> the curated snapshot and the rejected rows, from a single parse of each document (F2).
+
+    The parsed rows are stored once with their reasons; both tables read them, each the columns that it shows.
+    """
+    checked = cu.curate_checked(silver)
+    part, n = store.stage(checked, "checked")
+    rows = store.read_part("checked", part, checked.schema)
+    res.metrics["checked_rows"] = n
+    snapshot = snapshot_of(store)
+    obs = Observation(f"curated-{time.time_ns()}")
+    snapshot.replace(cu.clean_rows(rows, digest=True).observe(obs, F.count(F.lit(1)).alias("versions")))
+    res.metrics["curated_versions"] = obs.get["versions"]
+    res.metrics["curated_rows"] = snapshot.read().count()
+    res.tables["curated"] = snapshot.path
+    res.tables["quarantine"] = _observed_write(store, cu.rejected_rows(rows), "quarantine", res.metrics, "quarantine")
+
+
 def full_refresh(spark: SparkSession, store: TableStore, silver: DataFrame, hierarchy: DataFrame,
                  weekly_sales: DataFrame, cfg: CategoryConfig, segment: str | None = None,
                  run_ts: str | None = None) -> RunResult:
@@ -68,9 +104,8 @@ def full_refresh(spark: SparkSession, store: TableStore, silver: DataFrame, hier
     res = RunResult()
     src = cu.segment_filter(silver, segment)
     res.tables["silver"] = _observed_write(store, src, "silver", res.metrics, "silver")
-    curated = cu.latest_per_key(cu.curate(store.read("silver")))
-    res.tables["curated"] = _observed_write(store, curated, "curated", res.metrics, "curated")
-    enrich(store, store.read("curated"), hierarchy, weekly_sales, cfg, res)
+    curate_all(store, store.read("silver"), res)
+    enrich(store, curated_rows(store), hierarchy, weekly_sales, cfg, res)
     res.metrics["duration_sec"] = round(time.time() - t0, 3)
     _append_run_metrics(spark, store, "full", run_ts, res)
     return res
@@ -91,10 +126,11 @@ def changes_refresh(spark: SparkSession, store: TableStore, arrived: DataFrame,
         return res, spark.createDataFrame([], "GTIN string")
     src = store.read_part("silver", part, filtered.schema)
     touched = ch.touched_keys(src)
-    merged = (ch.upsert_latest(store.read("curated"), src) if store.exists("curated")
-              else cu.latest_per_key(cu.curate(src)))
-    res.tables["curated"] = _observed_write(store, merged, "curated", res.metrics, "curated")
-    enrich(store, store.read("curated"), hierarchy, weekly_sales, cfg, res)
+    snapshot = snapshot_of(store)
+    res.metrics["curated_buckets"] = len(ch.merge_arrived(snapshot, src))  # the others stay as they are
+    res.metrics["curated_rows"] = snapshot.read().count()
+    res.tables["curated"] = snapshot.path
+    enrich(store, curated_rows(store), hierarchy, weekly_sales, cfg, res)
     res.metrics["duration_sec"] = round(time.time() - t0, 3)
     _append_run_metrics(spark, store, "changes", run_ts, res)
     return res, touched
@@ -120,6 +156,46 @@ def landed_silver(spark: SparkSession, store: TableStore, envelopes: DataFrame,
     return store.read("silver")
 
 
+def once(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table at ``path``, written by ``make()`` unless an earlier run finished it (Spark's success mark)."""
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def pages_to_gold(spark: SparkSession, store: TableStore, run: str, envelopes: DataFrame, fetch: pages.Fetcher,
+                  ingest_ts: str, hierarchy: DataFrame, weekly_sales: DataFrame, cfg: CategoryConfig,
+                  batch_size: int = 1000, round_batches: int = 100) -> RunResult:
+    """Landed key pages to gold as one job that can be run again under the same name ``run`` (K1).
+
+    Every stage is a table of the run: key pages -> keys -> request batches -> fetched items -> curated, rejected ->
+    gold. A finished stage is read, not made again. Items are fetched ``round_batches`` requests at a time, each
+    round a table of its own, so that a run that dies repeats the requests of one round at most.
+    """
+    t0, res, at = time.time(), RunResult(), f"{store.root}/run-{run}"
+    keys = once(spark, f"{at}/keys", lambda: pages.bronze(
+        pages.page_keys(pages.parse_pages(envelopes).select("page")), ingest_ts))
+    batches = once(spark, f"{at}/batches", lambda: pages.id_batches(keys, batch_size))
+    last = batches.agg(F.max("batch_no")).head()[0]
+    rounds = 0 if last is None else last // round_batches + 1
+    for k in range(rounds):
+        here = batches.where(F.col("batch_no").between(k * round_batches, (k + 1) * round_batches - 1))
+        once(spark, f"{at}/silver/round={k}", lambda here=here: pages.fetch_batches(here, fetch, ingest_ts))
+    silver = spark.read.schema(SILVER_SCHEMA).parquet(*[f"{at}/silver/round={k}" for k in range(rounds)]) if rounds \
+        else spark.createDataFrame([], SILVER_SCHEMA)
+    checked = once(spark, f"{at}/checked", lambda: cu.curate_checked(silver))
+    curated = once(spark, f"{at}/curated", lambda: cu.latest_per_key(cu.clean_rows(checked, digest=True)))
+    rejected = once(spark, f"{at}/rejected", lambda: cu.rejected_rows(checked))
+    gold = once(spark, f"{at}/gold", lambda: gold_rows(curated.select(*CURATED_COLUMNS), hierarchy, weekly_sales, cfg))
+    for name, df in {"keys": keys, "batches": batches, "silver": silver, "curated": curated, "rejected": rejected,
+                     "gold": gold}.items():
+        res.tables[name] = f"{at}/{name}"
+        res.metrics[f"{name}_rows"] = df.count()    # from the file footers
+    res.metrics["duration_sec"] = round(time.time() - t0, 3)
+    _append_run_metrics(spark, store, "pages_to_gold", run, res)
+    return res
+
+
 MANIFEST_COLUMNS = "target string, url string, gtin string, meta string"
 
 

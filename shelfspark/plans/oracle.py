@@ -392,6 +392,7 @@ Q["segment_skips"] = f"""
 Q["updated_gtins"] = f"SELECT DISTINCT {P['gtin']} AS GTIN FROM part WHERE {R.HAS_V2}"
 Q["changes_upsert"] = Q["latest_per_key"]
 Q["changes_stream"] = Q["latest_per_key"]
+Q["changes_stateful"] = Q["latest_per_key"]
 
 Q["asset_walk"] = with_(["exp_img"], f"""
   SELECT {P['gtin']} AS GTIN, ord, url, filename, media_id FROM exp_img JOIN part ON p_partkey = k
@@ -485,6 +486,10 @@ Q["manifest_diff"] = with_(["exp_manifest_w"], f"""
          ELSE 'update' END AS action,
     coalesce(c.url, p.url) AS url
   FROM prev p FULL OUTER JOIN cur c ON c.target = p.target""".replace("\n  , cur AS", ", cur AS", 1))
+Q["full_manifest_plan"] = with_(["exp_manifest_w"], """
+  SELECT target, 'add' AS action, url FROM exp_manifest_w WHERE is_winner AND target IS NOT NULL""")
+Q["changes_manifest"] = with_(["exp_manifest_w"], """
+  SELECT target, url, gtin, metadata_text AS meta FROM exp_manifest_w WHERE is_winner AND target IS NOT NULL""")
 Q["publish_outcomes"] = with_(["exp_manifest_w"], """
   SELECT count(*) AS seen,
     count(*) FILTER (WHERE url LIKE 'http://%' OR url LIKE 'https://%') AS ok,

@@ -18,12 +18,13 @@ from ..operators import hierarchy as hi
 from ..operators import packaging as pk
 from ..operators import profile as pr
 from ..operators import publish as pb
-from ..schemas import CASE_COLUMNS, PUBLISH_COLUMNS
+from ..schemas import CASE_COLUMNS, CURATED_COLUMNS, PUBLISH_COLUMNS
 from ..session import scratch_path, staged
 from ..sources import jdbc, pages
 from ..sources.tables import TableStore
 from ..streaming import changes as ch
 from . import fixtures as fx
+from . import jobs
 from . import rules as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -183,13 +184,23 @@ def q_updated_gtins(spark, d):
 
 def q_changes_upsert(spark, d):
     """Changes run: the curated snapshot of everything ingested before the run
-    is a stored table; the items that arrived in the run are merged into it."""
+    is a stored, bucketed table; the items that arrived in the run are merged into it."""
     s = silver(spark, d)
-    store = TableStore(spark, _fresh_root(spark, "curated"))
-    store.write(cu.latest_per_key(cu.curate(s.where(F.col("ingest_ts") < F.lit(R.RUN_START)))),
-                "curated")
-    arrived = s.where(F.col("ingest_ts") >= F.lit(R.RUN_START))
-    return ch.upsert_latest(store.read("curated"), arrived)
+    snapshot = ch.curated_snapshot(spark, f"{_fresh_root(spark, 'curated')}/curated")
+    ch.merge_arrived(snapshot, s.where(F.col("ingest_ts") < F.lit(R.RUN_START)))
+    ch.merge_arrived(snapshot, s.where(F.col("ingest_ts") >= F.lit(R.RUN_START)))
+    return snapshot.read().select(*CURATED_COLUMNS)
+
+
+def _landed_in_turns(spark, d, turns, start):
+    """The curated table after each part of silver landed as JSON files and ``start`` ran to its end over them."""
+    root = _fresh_root(spark, "stream")
+    landing = f"{root}/landing"
+    snapshot = ch.curated_snapshot(spark, f"{root}/curated")
+    for part in turns:
+        part.write.mode("append").json(landing)
+        start(spark, landing, snapshot, f"{root}/checkpoint").awaitTermination()
+    return snapshot.read().select(*CURATED_COLUMNS)
 
 
 def q_changes_stream(spark, d):
@@ -199,14 +210,18 @@ def q_changes_stream(spark, d):
     merged, then the rows of the run; the second trigger starts from the
     stream checkpoint, so it only sees the new files."""
     s = silver(spark, d)
-    root = _fresh_root(spark, "stream")
-    landing, store = f"{root}/landing", TableStore(spark, f"{root}/tables")
-    for part in (s.where(F.col("ingest_ts") < F.lit(R.RUN_START)),
-                 s.where(F.col("ingest_ts") >= F.lit(R.RUN_START))):
-        part.write.mode("append").json(landing)
-        ch.start_changes_stream(spark, landing, store, "curated", f"{root}/checkpoint") \
-            .awaitTermination()
-    return store.read("curated")
+    turns = [s.where(F.col("ingest_ts") < F.lit(R.RUN_START)), s.where(F.col("ingest_ts") >= F.lit(R.RUN_START))]
+    return _landed_in_turns(spark, d, turns, ch.start_changes_stream)
+
+
+def q_changes_stateful(spark, d):
+    """Stateful form, in three triggers: the rows of the run land *before* most of the older ones, which are
+    late for their keys, and the rows of the run land once more at the end. The result is the batch result."""
+    s = silver(spark, d)
+    early = F.pmod(F.xxhash64("Id"), F.lit(2)) == 0
+    old, run = s.where(F.col("ingest_ts") < F.lit(R.RUN_START)), s.where(F.col("ingest_ts") >= F.lit(R.RUN_START))
+    turns = [old.where(F.coalesce(early, F.lit(False))).unionByName(run), old.where(~F.coalesce(early, F.lit(False))), run]
+    return _landed_in_turns(spark, d, turns, ch.start_newest_stream)
 
 
 # ---------------------------------------------------------------- assets
@@ -412,6 +427,28 @@ def q_manifest_diff(spark, d):
     return pb.manifest_diff(prev, cur.select("target", "url", "meta"))
 
 
+def _job_inputs(spark, d):
+    cfg = jobs.CategoryConfig(R.EXCLUSION_RULES, R.OWN_PROVIDER, R.PLACEHOLDER, R.AS_OF)
+    return fx.hierarchy(spark, d), fx.weekly_sales(spark, d), cfg
+
+
+def q_full_manifest_plan(spark, d):
+    """K4: the full refresh with manifest; its first plan adds every target."""
+    store = TableStore(spark, _fresh_root(spark, "full-manifest"))
+    jobs.full_with_manifest(spark, store, silver(spark, d), *_job_inputs(spark, d), run_ts=R.RUN_START)
+    return store.read("manifest_plan").select("target", "action", "url")
+
+
+def q_changes_manifest(spark, d):
+    """K3: a full refresh with manifest over what was ingested before the run, then the changes run with the
+    manifest of its keys; the stored manifest is that of all items."""
+    store = TableStore(spark, _fresh_root(spark, "changes-manifest"))
+    s, rest = silver(spark, d), _job_inputs(spark, d)
+    jobs.full_with_manifest(spark, store, s.where(F.col("ingest_ts") < F.lit(R.RUN_START)), *rest, run_ts=R.RUN_START)
+    jobs.changes_with_manifest(spark, store, s.where(F.col("ingest_ts") >= F.lit(R.RUN_START)), *rest, run_ts=R.RUN_START)
+    return store.read("manifest").select("target", "url", "gtin", "meta")
+
+
 def q_publish_outcomes(spark, d):
     return pb.outcome_counts(pb.publish(manifest(spark, d, winners_only=True)))
 
@@ -484,6 +521,7 @@ QUERIES: dict[str, Query] = {
     "updated_gtins": q_updated_gtins,
     "changes_upsert": q_changes_upsert,
     "changes_stream": q_changes_stream,
+    "changes_stateful": q_changes_stateful,
     # assets
     "asset_walk": q_asset_walk,
     "image_score": q_image_score,
@@ -515,6 +553,8 @@ QUERIES: dict[str, Query] = {
     "normalise_names": q_normalise_names,
     "resolve_names": q_resolve_names,
     "manifest_diff": q_manifest_diff,
+    "full_manifest_plan": q_full_manifest_plan,
+    "changes_manifest": q_changes_manifest,
     "publish_outcomes": q_publish_outcomes,
     # profile and probes
     "category_names": q_category_names,

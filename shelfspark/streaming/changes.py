@@ -1,20 +1,23 @@
 """Incremental ("changes") refresh: newly landed item versions are merged
 into the curated snapshot, re-curating only the touched keys.
 
-Batch form: :func:`upsert_latest`. Streaming form: :func:`start_changes_stream`
-reads the landing folder with Structured Streaming (``availableNow``) and
-merges every micro-batch into a :class:`TableStore` table; the stream
-checkpoint replaces a hand-kept "since" instant.
+The snapshot lies in hash buckets of the key (:class:`BucketedSnapshot`): a run reads the buckets
+that its items fall into and rewrites those that they change. Batch form: :func:`merge_arrived`
+(:func:`upsert_latest` is the same as a plan over two frames). Streaming forms read the landing
+folder with Structured Streaming (``availableNow``), whose checkpoint replaces a hand-kept "since" instant:
+:func:`start_changes_stream` merges every micro-batch, :func:`start_newest_stream` keeps the newest version
+of each key as keyed state and merges what that emits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators import curate as cu
-from ..schemas import SILVER_SCHEMA
-from ..sources.tables import TableStore
+from ..schemas import CURATED_SCHEMA, SILVER_SCHEMA
+from ..sources.buckets import BucketedSnapshot
 
 
 def touched_keys(arrived: DataFrame) -> DataFrame:
@@ -40,24 +43,58 @@ def upsert_latest(previous: DataFrame, arrived: DataFrame) -> DataFrame:
     return untouched.unionByName(merged).unionByName(nulls).select(*previous.columns)
 
 
-def start_changes_stream(spark: SparkSession, landing_path: str, store: TableStore,
-                         table: str, checkpoint: str, fmt: str = "json"):
-    """Merge every newly landed file of silver rows into ``table``.
+def curated_snapshot(spark: SparkSession, path: str, n_buckets: int = 64) -> BucketedSnapshot:
+    """The curated table, one row for each GTIN, in buckets that a changes run rewrites singly (K2). Rows keep the
+    digest of their document, so that the order of versions is total across runs."""
+    schema = StructType([*CURATED_SCHEMA.fields, StructField(cu.DOC_DIGEST, StringType())])
+    return BucketedSnapshot(spark, path, schema, "GTIN", lambda df: cu.latest_per_key(df, then=["_arrived"]), n_buckets)
+
+
+def merge_arrived(snapshot: BucketedSnapshot, arrived: DataFrame) -> list[int]:
+    """Curate arrived raw items and merge them; the numbers of the buckets that changed."""
+    return snapshot.merge(cu.curate(arrived, digest=True))
+
+
+def start_changes_stream(spark: SparkSession, landing_path: str, snapshot: BucketedSnapshot, checkpoint: str,
+                         fmt: str = "json"):
+    """Merge every newly landed file of silver rows into ``snapshot``.
 
     Runs with ``availableNow``: all files present are processed (in as many
     micro-batches as needed) and the query stops; rerunning only sees new
-    files. Returns the StreamingQuery (call ``awaitTermination()``)."""
+    files. A replayed batch changes nothing. Returns the StreamingQuery (call ``awaitTermination()``)."""
     src = spark.readStream.schema(SILVER_SCHEMA).format(fmt).load(landing_path)
+    return (src.writeStream.foreachBatch(lambda batch, _: merge_arrived(snapshot, batch) and None)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        # any failure to read the table, but that there is none, stops the batch
-        if store.exists(table):
-            out = upsert_latest(store.read(table), batch)
-        else:
-            out = cu.latest_per_key(cu.curate(batch))
-        # a new version: the previous one stays readable, a replayed batch is known by its tag
-        store.write(out, table, tag=f"{checkpoint}#{batch_id}")
+def _falling(c: str) -> Column:
+    """Text whose order is the reverse of the column's; NULL stays NULL, hence the least: a maximum over it is
+    the column's smallest value. Hexadecimal digits are turned round; the mark at the end makes a prefix the greater one."""
+    return F.concat(F.translate(F.hex(F.col(c)), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
 
-    return (src.writeStream.foreachBatch(merge)
+
+def newest_versions(curated: DataFrame) -> DataFrame:
+    """The newest version of each GTIN as one aggregate, for streams: its state holds one row for each key.
+
+    The order is that of :func:`~shelfspark.operators.curate.latest_per_key` (newest instants first, then the
+    smallest Id, then the smallest digest), as one value whose maximum is kept. Spark combines it in each map
+    task before the shuffle, so that keyless rows, or a key that very many rows share, send one row a task.
+    """
+    order = [*[F.col(c) for c in cu.VERSION_ORDER], _falling("Id"), _falling(cu.DOC_DIGEST)]
+    best = F.max(F.struct(F.struct(*order).alias("order"), F.struct(*[F.col(c) for c in curated.columns]).alias("row")))
+    return curated.groupBy("GTIN").agg(best.alias("best")).select("best.row.*")
+
+
+def start_newest_stream(spark: SparkSession, landing_path: str, snapshot: BucketedSnapshot, checkpoint: str,
+                        fmt: str = "json"):
+    """Stateful form of the changes stream: the state store holds the newest version of every key ever seen.
+
+    Each trigger emits the keys of its rows (update mode), in their newest version: a late or repeated item
+    emits the version that the state already had, which the snapshot's merge recognises and does not write. State and
+    source position are recovered from ``checkpoint``."""
+    src = spark.readStream.schema(SILVER_SCHEMA).format(fmt).load(landing_path)
+    newest = newest_versions(cu.curate(src, digest=True))
+    return (newest.writeStream.outputMode("update").foreachBatch(lambda batch, _: snapshot.merge(batch) and None)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

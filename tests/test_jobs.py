@@ -22,12 +22,14 @@ def test_full_then_changes_refresh(spark):
     n_latest_old = cu.latest_per_key(cu.curate(old)).count()
     assert res.metrics["curated_rows"] == n_latest_old
     assert res.metrics["gold_rows"] == n_latest_old
+    rejected = store.read("quarantine")
+    assert sorted(map(tuple, rejected.collect()), key=str) == sorted(map(tuple, cu.quarantine(old).collect()), key=str)
     assert store.read("gold").count() == n_latest_old
 
     res2, touched = J.changes_refresh(spark, store, new, h, ws, cfg, run_ts="r2")
     full = cu.latest_per_key(cu.curate(silver))
     cols = ["GTIN", "BrandName", "UpdatedAt"]
-    got = sorted(map(tuple, store.read("curated").select(*cols).collect()), key=str)
+    got = sorted(map(tuple, J.curated_rows(store).select(*cols).collect()), key=str)
     assert got == sorted(map(tuple, full.select(*cols).collect()), key=str)
     assert touched.count() == new.select("Id").distinct().count()
     assert store.read("run_metrics").count() == 2
@@ -61,3 +63,70 @@ def test_landed_pages_to_silver(spark):
     fetch = lambda ids: [{"CatalogueItemInfo": {"Id": i}} for i in ids]
     got = J.landed_silver(spark, store, spark.createDataFrame(pages, "envelope string"), fetch, "t", batch_size=2)
     assert sorted(r["Id"] for r in got.collect()) == ["a", "b", "c"]
+
+
+def test_curated_and_rejected_rows_come_from_one_parse(spark, monkeypatch):
+    """Both tables are read from rows that one from_json made of each document."""
+    calls = []
+    read = cu.parse_fields
+
+    def noted(*a, **k):
+        calls.append(a)
+        return read(*a, **k)
+    monkeypatch.setattr(cu, "parse_fields", noted)
+    store = TableStore(spark, tempfile.mkdtemp(prefix="shelf-checked-"))
+    silver = fx.silver(spark, SF_SMALL)
+    res = J.RunResult()
+    J.curate_all(store, silver, res)
+    assert len(calls) == 1 and res.metrics["checked_rows"] == silver.count()
+    monkeypatch.setattr(cu, "parse_fields", read)
+    full = cu.latest_curated(silver)
+    got = J.curated_rows(store).select(*full.columns)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, full.collect()), key=str)
+    assert sorted(map(tuple, store.read("quarantine").collect()), key=str) == sorted(
+        map(tuple, cu.quarantine(silver).collect()), key=str)
+
+
+def test_pages_to_gold_resumes_after_each_stage(spark, monkeypatch):
+    """Killed after every write, the job goes on where it was; no id is fetched twice."""
+    import json
+    import os
+    import uuid
+    root = tempfile.mkdtemp(prefix="shelf-resume-")
+    asked = os.path.join(root, "asked")
+    os.makedirs(asked)
+    store = TableStore(spark, os.path.join(root, "tables"))
+    cfg = J.CategoryConfig(R.EXCLUSION_RULES, R.OWN_PROVIDER, R.PLACEHOLDER, R.AS_OF)
+    h, ws = fx.hierarchy(spark, SF_SMALL), fx.weekly_sales(spark, SF_SMALL)
+    pages = spark.createDataFrame([(json.dumps({"Items": [{"Id": f"i{k}"} for k in range(a, a + 5)]}),) for a in (0, 3, 8)],
+                                  "envelope string")
+
+    def fetch(ids):
+        with open(os.path.join(asked, uuid.uuid4().hex), "w") as f:
+            f.write("\n".join(ids))
+        return [{"CatalogueItemInfo": {"Id": i}, "TradeItem": {"Gtin": i[1:]}} for i in ids] + ["{bad"]
+
+    real, budget = J.once, [0]
+
+    def dies(session, path, make):
+        done = J.path_exists(session, f"{path}/_SUCCESS")
+        out = real(session, path, make)
+        if not done:
+            budget[0] -= 1
+            if budget[0] < 0:
+                raise KeyboardInterrupt
+        return out
+    monkeypatch.setattr(J, "once", dies)
+    runs = 0
+    while True:
+        runs, budget[0] = runs + 1, 0
+        try:
+            res = J.pages_to_gold(spark, store, "r", pages, fetch, "t", h, ws, cfg, batch_size=4, round_batches=1)
+            break
+        except KeyboardInterrupt:
+            assert runs < 20
+    assert runs == 11                                   # keys, batches, four rounds, four tables and the last run
+    ids = [i for f in os.listdir(asked) for i in open(os.path.join(asked, f)).read().split()]
+    assert sorted(ids) == sorted(f"i{k}" for k in range(13))
+    assert res.metrics["curated_rows"] == res.metrics["gold_rows"] == 14
+    assert res.metrics["rejected_rows"] == 4 and res.metrics["keys_rows"] == 15

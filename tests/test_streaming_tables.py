@@ -2,6 +2,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from shelfspark.sources.tables import TableStore
 from shelfspark.streaming import changes as CH
 
@@ -43,25 +45,118 @@ def test_upsert_equals_full_recompute(spark):
     assert CH.touched_keys(spark.createDataFrame(new, s)).count() == 3
 
 
-def test_changes_stream_available_now(spark):
+def _land(folder, name, items):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        for i, (doc, ts) in enumerate(items):
+            f.write(json.dumps({"Id": f"{name}-{i}", "raw_json": doc, "ingest_ts": ts}) + "\n")
+
+
+def _brands(snapshot):
+    return {r["GTIN"]: r["BrandName"] for r in snapshot.read().collect()}
+
+
+def _files(path):
+    """Name and time of change of every data file of a table."""
+    found = {}
+    for top, _, names in os.walk(path):
+        for n in names:
+            if n.startswith("part-"):
+                found[os.path.join(os.path.relpath(top, path), n)] = os.stat(os.path.join(top, n)).st_mtime_ns
+    return found
+
+
+@pytest.mark.parametrize("start", [CH.start_changes_stream, CH.start_newest_stream])
+def test_changes_stream_available_now(spark, start):
     root = tempfile.mkdtemp(prefix="shelf-stream-")
-    landing = os.path.join(root, "landing")
-    os.makedirs(landing)
-    st = TableStore(spark, os.path.join(root, "tables"))
-    with open(os.path.join(landing, "b1.json"), "w") as f:
-        for i, (g, s, b) in enumerate([("a", "2020", "a1"), ("b", "2020", "b1")]):
-            f.write(json.dumps({"Id": f"i{i}", "raw_json": _doc(g, s, b), "ingest_ts": "t1"}) + "\n")
-    ck = os.path.join(root, "ck")
-    CH.start_changes_stream(spark, landing, st, "curated", ck).awaitTermination()
-    assert {r["GTIN"]: r["BrandName"] for r in st.read("curated").collect()} == {"a": "a1", "b": "b1"}
-    with open(os.path.join(landing, "b2.json"), "w") as f:
-        f.write(json.dumps({"Id": "i9", "raw_json": _doc("a", "2021", "a2"), "ingest_ts": "t2"}) + "\n")
-    CH.start_changes_stream(spark, landing, st, "curated", ck).awaitTermination()
-    assert {r["GTIN"]: r["BrandName"] for r in st.read("curated").collect()} == {"a": "a2", "b": "b1"}
+    landing, ck = os.path.join(root, "landing"), os.path.join(root, "ck")
+    snap = CH.curated_snapshot(spark, os.path.join(root, "curated"), n_buckets=8)
+    _land(landing, "b1.json", [(_doc("a", "2020", "a1"), "t1"), (_doc("b", "2020", "b1"), "t1"), ("{bad", "t1")])
+    start(spark, landing, snap, ck).awaitTermination()
+    assert _brands(snap) == {"a": "a1", "b": "b1", None: None}
+    _land(landing, "b2.json", [(_doc("a", "2021", "a2"), "t2")])
+    start(spark, landing, snap, ck).awaitTermination()
+    assert _brands(snap) == {"a": "a2", "b": "b1", None: None}
+
+
+def test_one_row_rewrites_one_bucket(spark):
+    root = tempfile.mkdtemp(prefix="shelf-buckets-")
+    s = "Id string, raw_json string, ingest_ts string"
+    snap = CH.curated_snapshot(spark, os.path.join(root, "curated"), n_buckets=16)
+    rows = [(f"i{g}", _doc(f"{g}", "2020", f"b{g}"), "t1") for g in range(200)]
+    assert CH.merge_arrived(snap, spark.createDataFrame(rows, s)) == list(range(16))
+    before = _files(snap.path)
+    assert len(before) == 16
+    one = spark.createDataFrame([("x", _doc("7", "2021", "new"), "t2")], s)
+    changed = CH.merge_arrived(snap, one)
+    after = _files(snap.path)
+    assert len(changed) == 1
+    rewritten = {f for f in after if after[f] != before.get(f)}
+    assert len(rewritten) == 1 and all(f.startswith(f"bucket_of_16={changed[0]}/") for f in rewritten)
+    assert len(after) == 16 and _brands(snap)["7"] == "new" and len(_brands(snap)) == 200
+    # the same row again, and an older one: no file changes
+    assert CH.merge_arrived(snap, one) == [] and _files(snap.path) == after
+    assert CH.merge_arrived(snap, spark.createDataFrame([("x", _doc("9", "2019", "old"), "t0")], s)) == []
+    assert CH.merge_arrived(snap, spark.createDataFrame([], s)) == [] and _files(snap.path) == after
+
+
+def test_a_merge_that_died_is_finished_by_the_next_read(spark, monkeypatch):
+    from shelfspark.sources.buckets import BucketedSnapshot
+    root = tempfile.mkdtemp(prefix="shelf-redo-")
+    s = "Id string, raw_json string, ingest_ts string"
+    snap = CH.curated_snapshot(spark, os.path.join(root, "curated"), n_buckets=4)
+    CH.merge_arrived(snap, spark.createDataFrame([(f"i{g}", _doc(f"{g}", "2020", "old"), "t1") for g in range(20)], s))
+    finish = BucketedSnapshot._finish
+    calls = []
+
+    def dies(self):
+        calls.append(1)
+        if len(calls) == 2:
+            raise KeyboardInterrupt
+        finish(self)
+    monkeypatch.setattr(BucketedSnapshot, "_finish", dies)
+    with pytest.raises(KeyboardInterrupt):
+        CH.merge_arrived(snap, spark.createDataFrame([("x", _doc("3", "2021", "new"), "t2")], s))
+    monkeypatch.setattr(BucketedSnapshot, "_finish", finish)
+    assert _brands(snap) == {f"{g}": "new" if g == 3 else "old" for g in range(20)}
+    assert not os.path.exists(snap.copy)
+
+
+def test_stateful_stream_with_late_and_repeated_items_equals_batch(spark):
+    """Three triggers, each a query of its own that starts from the checkpoint; items late and repeated."""
+    from shelfspark.operators import curate as cu
+    root = tempfile.mkdtemp(prefix="shelf-state-")
+    landing, ck = os.path.join(root, "landing"), os.path.join(root, "ck")
+    snap = CH.curated_snapshot(spark, os.path.join(root, "curated"), n_buckets=4)
+    turns = [[(_doc("a", "2021", "a2"), "t2"), (_doc("b", "2020", "b1"), "t1"), ("{bad", "t1"), (_doc("c", None, "c"), "t1")],
+             [(_doc("a", "2020", "late"), "t1"), (_doc("b", "2020", "b1"), "t1"), (_doc("d", "2022", "d"), "t3"), ("[1]", "t0")],
+             [(_doc("a", "2021", "a2"), "t2"), (_doc("b", "2020", "b2"), "t4"), (_doc("c", "2019", "c2"), "t0")]]
+    seen, changed = [], []
+    for k, items in enumerate(turns):
+        _land(landing, f"b{k}.json", items)
+        before = _files(snap.path) if k else {}
+        CH.start_newest_stream(spark, landing, snap, ck).awaitTermination()
+        after = _files(snap.path)
+        changed.append(sum(after[f] != before.get(f) for f in after))
+        seen += [(f"b{k}.json-{i}", *x) for i, x in enumerate(items)]
+        full = cu.latest_curated(spark.createDataFrame(seen, "Id string, raw_json string, ingest_ts string"))
+        got = snap.read().select(*full.columns)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, full.collect()), key=str)
+    # nothing but repeats: no file of the table changes
+    files = _files(snap.path)
+    _land(landing, "b3.json", turns[0] + turns[2])
+    CH.start_newest_stream(spark, landing, snap, ck).awaitTermination()
+    assert _files(snap.path) == files and changed[0] > 0
+
+
+def test_newest_versions_is_combined_before_the_shuffle(spark):
+    from shelfspark.operators import curate as cu
+    silver = spark.createDataFrame([("i", _doc("a", "2020", "x"), "t")], "Id string, raw_json string, ingest_ts string")
+    plan = CH.newest_versions(cu.curate(silver, digest=True))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan
 
 
 def test_unreadable_pointer_is_an_error_and_failed_append_is_invisible(spark):
-    import pytest
     from pyspark.sql import functions as F
     root = tempfile.mkdtemp(prefix="shelf-pointer-")
     st = TableStore(spark, root)
