@@ -342,6 +342,7 @@ Q = ORACLE
 Q["ingest_keys_full"] = with_(["exp_bronze"], "SELECT Id, UpdatedAt FROM exp_bronze")
 Q["ingest_keys_changes"] = with_(["exp_bronze"],
                                  f"SELECT Id, UpdatedAt FROM exp_bronze WHERE UpdatedAt >= '{R.SINCE}'")
+Q["ingest_keys_stream"] = Q["ingest_keys_full"]
 Q["next_offset"] = with_(["exp_keys_all"], """
   SELECT p.page, CASE WHEN n.page IS NOT NULL THEN 'P' || CAST(p.page + 1 AS STRING) END AS next_offset
   FROM (SELECT DISTINCT page FROM exp_keys_all) p

@@ -20,7 +20,7 @@ from ..operators import profile as pr
 from ..operators import publish as pb
 from ..schemas import CASE_COLUMNS, CURATED_COLUMNS, PUBLISH_COLUMNS
 from ..session import scratch_path, staged
-from ..sources import jdbc, pages
+from ..sources import jdbc, page_source, pages
 from ..sources.tables import TableStore
 from ..streaming import changes as ch
 from . import fixtures as fx
@@ -75,12 +75,33 @@ def manifest(spark, d, winners_only=False):
 
 
 # ---------------------------------------------------------------- sources / sinks
+def _landed_pages(spark, d):
+    """The key pages as a listing's client lands them."""
+    path = f"{_fresh_root(spark, 'pages')}/landed"
+    page_source.land(fx.key_pages(spark, d), path)
+    return path
+
+
 def q_ingest_keys_full(spark, d):
-    return keys_full(spark, d).select("Id", "UpdatedAt")
+    return page_source.read_keys(spark, _landed_pages(spark, d)).select("Id", "UpdatedAt")
 
 
 def q_ingest_keys_changes(spark, d):
-    return pages.changed_since(keys_full(spark, d), R.SINCE).select("Id", "UpdatedAt")
+    keys = page_source.read_keys(spark, _landed_pages(spark, d))
+    return pages.changed_since(keys, R.SINCE).select("Id", "UpdatedAt")
+
+
+def q_ingest_keys_stream(spark, d):
+    """The listing as a stream, in two triggers: the second half of the pages lands after the first has been read,
+    and the second trigger goes on from the stored page."""
+    root = _fresh_root(spark, "page-stream")
+    envelopes = fx.key_pages(spark, d)
+    half = envelopes.agg(F.expr("max(page_no) div 2").alias("h")).head()["h"] or 0
+    for turn in (F.col("page_no") <= half, F.col("page_no") > half):
+        page_source.land(envelopes.where(turn), f"{root}/landed")
+        (page_source.stream_keys(spark, f"{root}/landed").writeStream.format("parquet").option("path", f"{root}/keys")
+         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(f"{root}/keys").select("Id", "UpdatedAt")
 
 
 def q_next_offset(spark, d):
@@ -500,6 +521,7 @@ QUERIES: dict[str, Query] = {
     # sources and sinks
     "ingest_keys_full": q_ingest_keys_full,
     "ingest_keys_changes": q_ingest_keys_changes,
+    "ingest_keys_stream": q_ingest_keys_stream,
     "next_offset": q_next_offset,
     "id_batches": q_id_batches,
     "bronze_snapshot": q_bronze_snapshot,
