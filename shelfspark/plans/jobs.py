@@ -39,11 +39,21 @@ class RunResult:
     metrics: dict[str, int | float] = field(default_factory=dict)
 
 
-def _observed_write(store: TableStore, df: DataFrame, name: str, metrics: dict,
-                    prefix: str, extra: dict | None = None) -> str:
+#: Counts that are taken while gold rows are written.
+GOLD_METRICS = {"categorised": ("CATEGORY_SOURCE", None), "placeholder": ("CATEGORY_SOURCE", hi.SOURCE_PLACEHOLDER),
+                "with_case_dims": ("Case_GTIN", None)}
+
+
+def observed_write(store: TableStore, df: DataFrame, name: str, metrics: dict,
+                   prefix: str, extra: dict | None = None) -> str:
+    """Write a table and add the number of its rows to ``metrics``, with counts of the rows whose column is
+    set (or equals a value): ``extra`` is name -> (column, value or None), or an aggregate."""
     obs = Observation(f"{name}-{time.time_ns()}")
     aggs = [F.count(F.lit(1)).alias(f"{prefix}_rows")]
     for k, v in (extra or {}).items():
+        if isinstance(v, tuple):
+            column, value = v
+            v = F.count_if(F.col(column).isNotNull() if value is None else F.col(column) == F.lit(value))
         aggs.append(v.alias(f"{prefix}_{k}"))
     path = store.write(df.observe(obs, *aggs), name)
     metrics.update(obs.get)
@@ -62,11 +72,7 @@ def enrich(store: TableStore, curated: DataFrame, hierarchy: DataFrame, weekly_s
            cfg: CategoryConfig, result: RunResult) -> None:
     """curated -> gold: categories and case dimensions in one plan, written once."""
     gold = gold_rows(curated, hierarchy, weekly_sales, cfg)
-    result.tables["gold"] = _observed_write(
-        store, gold, "gold", result.metrics, "gold",
-        {"categorised": F.count_if(F.col("CATEGORY_SOURCE").isNotNull()),
-         "placeholder": F.count_if(F.col("CATEGORY_SOURCE") == F.lit(hi.SOURCE_PLACEHOLDER)),
-         "with_case_dims": F.count_if(F.col("Case_GTIN").isNotNull())})
+    result.tables["gold"] = observed_write(store, gold, "gold", result.metrics, "gold", GOLD_METRICS)
 
 
 def snapshot_of(store: TableStore) -> BucketedSnapshot:
@@ -93,7 +99,7 @@ def curate_all(store: TableStore, silver: DataFrame, res: RunResult) -> None:
     res.metrics["curated_versions"] = obs.get["versions"]
     res.metrics["curated_rows"] = snapshot.read().count()
     res.tables["curated"] = snapshot.path
-    res.tables["quarantine"] = _observed_write(store, cu.rejected_rows(rows), "quarantine", res.metrics, "quarantine")
+    res.tables["quarantine"] = observed_write(store, cu.rejected_rows(rows), "quarantine", res.metrics, "quarantine")
 
 
 def full_refresh(spark: SparkSession, store: TableStore, silver: DataFrame, hierarchy: DataFrame,
@@ -103,7 +109,7 @@ def full_refresh(spark: SparkSession, store: TableStore, silver: DataFrame, hier
     t0 = time.time()
     res = RunResult()
     src = cu.segment_filter(silver, segment)
-    res.tables["silver"] = _observed_write(store, src, "silver", res.metrics, "silver")
+    res.tables["silver"] = observed_write(store, src, "silver", res.metrics, "silver")
     curate_all(store, store.read("silver"), res)
     enrich(store, curated_rows(store), hierarchy, weekly_sales, cfg, res)
     res.metrics["duration_sec"] = round(time.time() - t0, 3)
@@ -222,10 +228,10 @@ def manifest_step(store: TableStore, gold: DataFrame, touched: DataFrame | None,
     else:
         known, rest = old, old.limit(0)
     plan = pb.manifest_diff(known.select("target", "url", "meta"), now.select("target", "url", "meta"))
-    res.tables["manifest_plan"] = _observed_write(
+    res.tables["manifest_plan"] = observed_write(
         store, plan, "manifest_plan", res.metrics, "plan",
         {a: F.count_if(F.col("action") == F.lit(a)) for a in ("add", "update", "keep", "remove")})
-    res.tables["manifest"] = _observed_write(store, rest.unionByName(now), "manifest", res.metrics, "manifest")
+    res.tables["manifest"] = observed_write(store, rest.unionByName(now), "manifest", res.metrics, "manifest")
 
 
 def changes_with_manifest(spark: SparkSession, store: TableStore, arrived: DataFrame, hierarchy: DataFrame,

@@ -475,6 +475,20 @@ Q["resolve_names"] = f"""
          ELSE 'missing' END AS match
   FROM req r LEFT JOIN av a ON a.display = r.display
   LEFT JOIN nav n ON n.nkey = {_NORM.replace('display', 'r.display')}"""
+Q["nearest_names"] = f"""
+  WITH av AS (SELECT display, min(internal) AS internal FROM (SELECT p_name AS display,
+         'col_' || replace(p_name, ' ', '_') AS internal FROM part) t GROUP BY display),
+  offered AS (SELECT display, internal, {_NORM} AS other FROM av),
+  req AS (SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN substring(p_name, 1, length(p_name) - 1)
+          WHEN 1 THEN upper(p_name) || 'x' ELSE replace(p_name, 'e', 'i') END AS display FROM part),
+  missing AS (SELECT r.display AS required, {_NORM.replace('display', 'r.display')} AS key FROM req r
+    WHERE NOT EXISTS (SELECT 1 FROM av a WHERE a.display = r.display)
+      AND NOT EXISTS (SELECT 1 FROM offered o WHERE o.other = {_NORM.replace('display', 'r.display')})),
+  ranked AS (SELECT required, display, internal, levenshtein(key, other) AS distance,
+      row_number() OVER (PARTITION BY required ORDER BY levenshtein(key, other), display) AS rank
+    FROM missing JOIN offered ON substring(key, 1, 3) = substring(other, 1, 3) AND abs(length(key) - length(other)) <= 2)
+  SELECT m.required, r.rank, r.display, r.internal, r.distance FROM missing m
+  LEFT JOIN (SELECT * FROM ranked WHERE rank <= 3) r ON r.required = m.required"""
 Q["manifest_diff"] = with_(["exp_manifest_w"], f"""
   , cur AS (SELECT target, url, metadata_text AS meta, gtin FROM exp_manifest_w WHERE is_winner),
   prev AS (SELECT target, CASE WHEN CAST(gtin AS BIGINT) % 5 = 0 THEN url || '?v=0' ELSE url END AS url, meta

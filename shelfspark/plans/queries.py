@@ -427,6 +427,16 @@ def q_resolve_names(spark, d):
     return pb.resolve_names(req, av)
 
 
+def q_nearest_names(spark, d):
+    """Names with a wrong or missing letter, and what was available for them."""
+    wrong = F.expr("""CASE p_partkey % 3 WHEN 0 THEN substring(p_name, 1, length(p_name) - 1)
+        WHEN 1 THEN upper(p_name) || 'x' ELSE replace(p_name, 'e', 'i') END""")
+    part = fx.table(spark, d, "part")
+    av = part.select(F.col("p_name").alias("display"),
+                     F.concat(F.lit("col_"), F.regexp_replace("p_name", " ", "_")).alias("internal")).distinct()
+    return pb.nearest_names(part.select(wrong.alias("display")), av)
+
+
 def _previous_manifest(spark, d, current):
     """Previous snapshot: current targets of parts with key % 3 <> 0 (URL
     changed when key % 5 = 0), plus targets of parts that are no longer
@@ -501,20 +511,16 @@ def q_missing_keys(spark, d):
 
 
 def q_run_summary(spark, d):
-    """One row of run metrics: the counts of each table are rows of one union, added up by one aggregate."""
-    g = pk.case_dimensions(staged(gold(spark, d, columns=sorted({*_CASCADE_IN, *_CASE_IN})), "summary_gold"))
-    names = ["n_keys", "n_silver", "n_gold", "n_categorised", "n_with_case_dims"]
-
-    def counts(df, **of):
-        got = df.agg(*[v.alias(k) for k, v in of.items()])
-        return got.select(*[F.col(n) if n in of else F.lit(0).cast("bigint").alias(n) for n in names])
-
-    one = F.count(F.lit(1))
-    rows = (counts(bronze(spark, d).select("Id").distinct(), n_keys=one)
-            .unionByName(counts(silver(spark, d), n_silver=one))
-            .unionByName(counts(g, n_gold=one, n_categorised=F.count_if(F.col("CATEGORY_SOURCE").isNotNull()),
-                                n_with_case_dims=F.count_if(F.col("Case_GTIN").isNotNull()))))
-    return rows.agg(*[F.sum(n).alias(n) for n in names])
+    """One row of run metrics, taken while the tables of the run are written: no table is read again to count it."""
+    store, m = TableStore(spark, _fresh_root(spark, "run")), {}
+    jobs.observed_write(store, bronze(spark, d).select("Id").distinct(), "keys", m, "keys")
+    jobs.observed_write(store, silver(spark, d), "silver", m, "silver")
+    rows = latest(spark, d, sorted({*_CASCADE_IN, *_CASE_IN}))
+    hierarchy, weekly, cfg = _job_inputs(spark, d)
+    jobs.observed_write(store, jobs.gold_rows(rows, hierarchy, weekly, cfg), "gold", m, "gold", jobs.GOLD_METRICS)
+    names = {"n_keys": "keys_rows", "n_silver": "silver_rows", "n_gold": "gold_rows", "n_categorised": "gold_categorised",
+             "n_with_case_dims": "gold_with_case_dims"}
+    return spark.createDataFrame([tuple(int(m[v]) for v in names.values())], ", ".join(f"{n} long" for n in names))
 
 
 QUERIES: dict[str, Query] = {
@@ -574,6 +580,7 @@ QUERIES: dict[str, Query] = {
     "resolve_extension": q_resolve_extension,
     "normalise_names": q_normalise_names,
     "resolve_names": q_resolve_names,
+    "nearest_names": q_nearest_names,
     "manifest_diff": q_manifest_diff,
     "full_manifest_plan": q_full_manifest_plan,
     "changes_manifest": q_changes_manifest,
