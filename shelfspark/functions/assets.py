@@ -10,6 +10,8 @@ ranking) is native Spark array code on the same row, with no shuffle.
 from __future__ import annotations
 
 import json
+import re
+from json.decoder import scanstring
 
 import pandas as pd
 from pyspark.sql import Column
@@ -24,8 +26,8 @@ CANDIDATE_TYPE = ArrayType(StructType([
     StructField("filename", StringType()), StructField("media_id", StringType()),
     StructField("first", BooleanType())]))
 
-#: Nesting that the walk's JSON reader is sure to take; deeper documents may have no candidates and are quarantined.
-MAX_WALK_DEPTH = 8_000
+_SPACE = re.compile(r"[ \t\n\r]*").match
+_ATOM = re.compile(r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][-+]?\d+)?|true|false|null|NaN|-?Infinity").match
 
 # Cheap text pre-filter: a document can only hold a candidate if one of the
 # URL key names occurs in it as a quoted key.
@@ -44,13 +46,67 @@ def _pick(values: dict, keys, allow_int: bool = False):
     return None
 
 
+def loads_any_depth(text: str):
+    """``json.loads`` without its limit on nesting: open containers are kept in a list, not on the call stack."""
+    whole: list = []
+    path, key = [whole], None
+    i, end, want = 0, len(text), "value"
+    while True:
+        i = _SPACE(text, i).end()
+        c = text[i:i + 1]
+        top = path[-1]
+        if want == "key":
+            if c != '"':
+                raise ValueError(f"no key at {i}")
+            key, i = scanstring(text, i + 1)
+            i = _SPACE(text, i).end()
+            if text[i:i + 1] != ":":
+                raise ValueError(f"no colon at {i}")
+            i, want = i + 1, "value"
+        elif want == "value":
+            opened = c in ("{", "[")
+            if opened:
+                value, i = ({} if c == "{" else []), i + 1
+            elif c == '"':
+                value, i = scanstring(text, i + 1)
+            else:
+                atom = _ATOM(text, i)
+                if not atom:
+                    raise ValueError(f"no value at {i}")
+                value, i = json.loads(atom.group()), atom.end()
+            if isinstance(top, dict):
+                top[key] = value
+            else:
+                top.append(value)
+            want = "next"
+            if opened:
+                path.append(value)
+                i = _SPACE(text, i).end()
+                if text[i:i + 1] != ("}" if c == "{" else "]"):
+                    want = "key" if c == "{" else "value"
+        elif len(path) == 1:
+            if i != end:
+                raise ValueError(f"more text at {i}")
+            return whole[0]
+        elif c == ",":
+            i, want = i + 1, "key" if isinstance(top, dict) else "value"
+        elif c == ("}" if isinstance(top, dict) else "]"):
+            path.pop()
+            i += 1
+        else:
+            raise ValueError(f"not closed at {i}")
+
+
 def walk_document(text):
     """Pre-order list of (ord, url, filename, media_id, first) for one document; first: no earlier one has its url."""
     if text is None:
         return None
     try:
-        doc = json.loads(text)
-    except (ValueError, TypeError, RecursionError):
+        try:
+            doc = json.loads(text)
+        except RecursionError:
+            doc = loads_any_depth(text)
+    except (ValueError, TypeError):
         return []
     out, seen = [], set()
     pending = [doc]

@@ -11,9 +11,10 @@ from ..functions import assets
 from ..functions.columns import bound, first_truthy, localized_elements, localized_pick, truthy_coalesce
 from ..schemas import CURATED_COLUMNS, DOCUMENT_FIELDS, document_ddl
 
-#: Limits of the JSON reader, well beyond its defaults (1,000 levels, 20 million characters).
-MAX_DEPTH = 100_000
-LIMITS = {"maxNestingDepth": str(MAX_DEPTH), "maxStringLen": str(2**31 - 1)}
+#: The JSON reader's limits (1,000 levels, 20 million characters by default) are lifted.
+LIMITS = {"maxNestingDepth": str(2**31 - 1), "maxStringLen": str(2**31 - 1)}
+#: Levels that the reader can still write back as text (a field that is read as text but holds more is NULL).
+TEXT_DEPTH = 1000
 _CORRUPT = {**LIMITS, "columnNameOfCorruptRecord": "_corrupt_record"}
 
 IMAGE_COLUMNS = ["PrimaryImageUrl", "PrimaryImageFileName", "PrimaryImageMediaItemId", "SecondaryImageUrl"]
@@ -185,27 +186,23 @@ def segment_outcomes(silver: DataFrame, wanted: str | None, batch_col: str) -> D
 
 def _reason(raw: Column, corrupt: Column) -> Column:
     """Why a document cannot be curated cleanly; ``corrupt`` is the parse's corrupt record."""
-    # brackets say how deep a text can be at most; the exact test runs only where they allow it
+    # brackets say how deep a text can be at most; whether it is JSON at all is asked again without a limit only there
     brackets = F.length(raw) - F.length(F.translate(raw, "[{", ""))
-    walked = F.from_json(raw, "_any string, _corrupt_record string",
-                         {**_CORRUPT, "maxNestingDepth": str(assets.MAX_WALK_DEPTH)})["_corrupt_record"]
-    endless = F.from_json(raw, "_any string, _corrupt_record string", {**_CORRUPT, "maxNestingDepth": str(2**31 - 1)})[
-        "_corrupt_record"]
-    first = F.substring(F.ltrim(raw), 1, 1)
-    deep = F.when(brackets > assets.MAX_WALK_DEPTH, walked.isNotNull() & endless.isNull()).otherwise(F.lit(False))
+    sound = F.from_json(raw, "_any string, _corrupt_record string", _CORRUPT)["_corrupt_record"].isNull()
+    is_object = F.substring(F.ltrim(raw), 1, 1) == F.lit("{")
     return (F.when(raw.isNull(), "null_document")
-            .when(deep, "too_deep")
             .when(corrupt.isNull(), F.lit(None))
+            .when(is_object & (brackets > TEXT_DEPTH), F.when(sound, "too_deep").otherwise("malformed_json"))
             .when(F.try_parse_json(raw).isNull(), "malformed_json")
-            .when(first != F.lit("{"), "not_an_object")
+            .when(~is_object, "not_an_object")
             .otherwise("type_mismatch"))
 
 
 def quarantine(silver: DataFrame) -> DataFrame:
     """Rows that cannot be curated cleanly, with a reason (F2, D10).
 
-    ``null_document``: raw_json is NULL; ``too_deep``: nested beyond what curation or the
-    image walk reads; ``malformed_json``: not JSON at all;
+    ``null_document``: raw_json is NULL; ``too_deep``: a field that is kept as text is nested
+    beyond what can be written as text; ``malformed_json``: not JSON at all;
     ``not_an_object``: JSON whose root is not an object; ``type_mismatch``:
     a field had an unexpected type (that field becomes NULL).
     """

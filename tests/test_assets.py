@@ -48,3 +48,28 @@ def test_no_candidates(spark):
     df = df.withColumn("c", A.image_candidates("raw_json"))
     out = df.select(*[v.alias(k) for k, v in A.top2(A.ranked(F.col("c"))).items()]).collect()
     assert all(r["PrimaryImageUrl"] is None for r in out)
+
+
+def test_any_depth_equals_the_library_and_has_no_limit():
+    import pytest
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    values = st.recursive(st.none() | st.booleans() | st.integers() | st.floats(allow_nan=False) | st.text(),
+                          lambda x: st.lists(x, max_size=4) | st.dictionaries(st.text(max_size=4), x, max_size=4), max_leaves=20)
+
+    @given(values, st.sampled_from([None, (",", ":"), (" ,\n", "\t: ")]), st.booleans())
+    @settings(max_examples=200, deadline=None)
+    def same(value, separators, ascii_only):
+        text = json.dumps(value, separators=separators, ensure_ascii=ascii_only)
+        assert A.loads_any_depth(text) == json.loads(text)
+        assert A.loads_any_depth(f" {text}\n") == json.loads(text)
+    same()
+    for bad in ["", "{", "[", "[1", "[1,]", "{}{}", '{"a"}', '{"a":}', '{"a":1,}', "[1 2]", "nul", "01", '{1:2}', "]", '["a]', "[}"]:
+        with pytest.raises(ValueError):
+            json.loads(bad)
+        with pytest.raises(ValueError):
+            A.loads_any_depth(bad)
+    for depth in (20_000, 300_000):
+        doc = '{"a": [' * depth + '{"Url": "https://x/deep.png"}' + "]}" * depth
+        assert [c["url"] for c in A.walk_document(doc)] == ["https://x/deep.png"]
+        assert A.walk_document(doc[:-1]) == []

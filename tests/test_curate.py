@@ -123,11 +123,13 @@ def test_documents_beyond_the_readers_default_limits(spark):
     deep = json.dumps({"TradeItem": {"Gtin": "1"}})[:-1] + ', "x": ' + "[" * 1500 + "]" * 1500 + "}"
     long = json.dumps({"TradeItem": {"Gtin": "2", "TradeItemUnitDescriptorCode": {"Value": "v" * 25_000_000}}})
     lost = json.dumps({"TradeItem": {"Gtin": "3"}})[:-1] + ', "url": "http://x/y.png", "x": ' + "[" * 30_000 + "]" * 30_000 + "}"
-    silver = spark.createDataFrame([("a", deep, "t"), ("b", long, "t"), ("c", lost, "t"), ("d", "[" * 30_000, "t")],
+    kept = '{"TradeItem": {"Gtin": "3", "NextLowerLevelTradeItemInformation": {"ChildTradeItem": ' + "[" * 2000 + "]" * 2000 + "}}}"
+    silver = spark.createDataFrame([("a", deep, "t"), ("b", long, "t"), ("c", lost, "t"), ("d", "[" * 30_000, "t"), ("e", kept, "t")],
                                    "Id string, raw_json string, ingest_ts string")
     rows = cu.curate(silver).select("GTIN", "PrimaryImageUrl").collect()
-    assert sorted(r["GTIN"] or "" for r in rows) == ["", "1", "2", "3"]
-    assert {r["Id"]: r["reason"] for r in cu.quarantine(silver).collect()} == {"c": "too_deep", "d": "malformed_json"}
+    assert sorted((r["GTIN"] or "", r["PrimaryImageUrl"] or "") for r in rows) == [
+        ("", ""), ("1", ""), ("2", ""), ("3", ""), ("3", "http://x/y.png")]
+    assert {r["Id"]: r["reason"] for r in cu.quarantine(silver).collect()} == {"d": "malformed_json", "e": "too_deep"}
     from shelfspark.streaming.changes import touched_keys
     assert {r["GTIN"] for r in touched_keys(silver).collect()} == {"1", "2", "3"}
 
