@@ -33,6 +33,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_batches(batches, step_bytes: int = 4 << 20):
     """Re-slice Arrow batches so that one holds about ``step_bytes`` at most, or a single row."""
     for b in batches:

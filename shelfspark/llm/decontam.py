@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import cut
+from shelfspark.llm.common import cut, free_name
 
 SHINGLE, SIMILARITY, RADIUS, BLOCKS = 5, 0.8, 20, 7
 #: Rows of the items' shingles up to which they are broadcast; beyond, Spark joins by shuffle.
@@ -158,6 +158,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go."""
     bad = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id", "th").distinct()
     bad = cut(bad, "contaminated").alias("b")
-    d = docs.withColumn("_th", F.xxhash64("text")).alias("d")
-    on = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("d._th") == F.col("b.th"))
-    return d.join(bad.hint("merge"), on, "left_anti").select(*docs.columns)
+    own = free_name(docs, "_th")
+    d = docs.withColumn(own, F.xxhash64("text")).alias("d")
+    on = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col(f"d.{own}") == F.col("b.th"))
+    return d.join(bad.hint("merge"), on, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

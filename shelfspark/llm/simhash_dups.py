@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import components, cut, text_batches, texts_of
+from shelfspark.llm.common import components, cut, free_name, text_batches, texts_of
 
 #: Largest bucket that is paired member by member.
 BUCKET = 64
@@ -158,9 +158,10 @@ def stage(spark, docs: DataFrame, sf_dir: str, size: int = 3, max_bits: int = 2)
     found = near_duplicates(docs, size, max_bits)
     best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("k"))
     best = cut(best.select("k.doc_id", "k.th"), "simhash-kept").alias("k")
-    d = docs.withColumn("_th", F.xxhash64("text")).alias("d")
-    kept = d.join(best, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d._th") == F.col("k.th")), "left_semi")
+    own = free_name(docs, "_th")
+    d = docs.withColumn(own, F.xxhash64("text")).alias("d")
+    kept = d.join(best, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col(f"d.{own}") == F.col("k.th")), "left_semi")
     again = found.groupBy("doc_id", "th").count().where("count > 1").limit(1).count()
     if again:   # the same row more than once: one stays
-        kept = kept.dropDuplicates(["doc_id", "_th"])
-    return kept.select(*docs.columns)
+        kept = kept.dropDuplicates(["doc_id", own])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

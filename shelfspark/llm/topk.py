@@ -16,19 +16,25 @@ the k + 1 smallest ids can matter, so thousands of copies are neither scored nor
 Defined results: a vector that is null or holds a null or non-finite component, or has no vec_id,
 takes no part; only vectors of one length are compared; rows equal in vec_id and vector count
 once; ties go to the smaller vec_id; fewer than k candidates give all; empty tables give no
-rows; other columns are not read. Scores are exact as long as they fit a signed 64-bit integer.
+rows; other columns are not read. Components beyond 2 ** 62 (``FAR``) count as that. The part of a score that a list gives is
+exact if its products, without their signs, sum to less; else it is taken to double precision and to 2 ** 61 at most, so
+that every score fits a signed 64-bit integer.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.llm.common import cut
 
 K, LISTS, EVERY = 5, 2, 50
+#: Bound of quantised components and of sums that are taken in 64-bit integers.
+FAR = 1 << 62
 #: Rows and queries of a block.
 ROWS, QUERIES = 4096, 1024
 
@@ -40,7 +46,12 @@ def quantised(vectors: DataFrame) -> DataFrame:
         x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     return (vectors.where(F.coalesce(fine, F.lit(False)))
             .select(F.col("vec_id").cast("long").alias("vec_id"),
-                    F.transform(x, lambda v: F.floor(v.cast("double") * 256).cast("long")).alias("q")).distinct())
+                    F.transform(x, _quantum).alias("q")).distinct())
+
+
+def _quantum(v: Column) -> Column:
+    wide = v.cast("double") * 256
+    return F.when(F.abs(wide) < float(FAR), F.floor(wide).cast("long")).otherwise(F.when(wide > 0, F.lit(FAR)).otherwise(F.lit(-FAR)))
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -54,7 +65,12 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     top = float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1]
     if top < 2 ** 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    exact = a @ b.T
+    reach = np.abs(a).astype(np.float64) @ np.abs(b).astype(np.float64).T
+    if (reach < FAR).all():
+        return exact
+    near = np.clip(a.astype(np.float64) @ b.astype(np.float64).T, -FAR / 2, FAR / 2).astype(np.int64)
+    return np.where(reach < FAR, exact, near)
 
 
 def _cells(rows: DataFrame, asked: DataFrame, n_rows: int, n_asked: int, fn, schema: str) -> DataFrame:
@@ -107,8 +123,17 @@ def _dot(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Exact scores of (qcid, cid) pairs from their vectors."""
     a = classes.select(F.col("cid").alias("qcid"), F.col("q").alias("qv"))
     both = pairs.join(a, "qcid").join(classes.select("cid", "q"), "cid")
-    score = F.aggregate(F.zip_with("qv", "q", lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
-    return both.select("qcid", "cid", score.alias("score"))
+    size = F.ceil(F.size("q") / LISTS).cast("int")
+
+    def part(j: int) -> Column:
+        x, y = (F.slice(c, F.lit(j) * size + 1, size) for c in ("qv", "q"))
+        wide = F.zip_with(x, y, lambda a, b: a.cast("double") * b)
+        reach = F.aggregate(wide, F.lit(0.0), lambda s, v: s + F.abs(v))
+        exact = F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0).cast("long"), lambda s, v: s + v)
+        near = F.aggregate(wide, F.lit(0.0), lambda s, v: s + v)
+        near = F.least(F.greatest(near, F.lit(-FAR / 2)), F.lit(FAR / 2)).cast("long")
+        return F.when(reach < float(FAR), exact).otherwise(near)
+    return both.select("qcid", "cid", reduce(lambda a, b: a + b, map(part, range(LISTS))).alias("score"))
 
 
 def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:

@@ -117,3 +117,12 @@ def test_stage_keeps_clean_documents(spark):
 def test_plan_is_native(spark):
     plan = D.query(spark, SF)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian"))
+
+
+def test_stage_carries_clashing_names(spark, make_docs, tmp_path):
+    from shelfspark.llm import decontam
+    item = "one two three four five six seven eight nine ten"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = make_docs([(1, f"so {item} it goes"), (2, "clean")]).withColumn("_th", F.lit("own")).withColumn("th", F.lit("t"))
+    out = decontam.stage(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns and [(r["doc_id"], r["_th"], r["th"]) for r in out.collect()] == [(2, "own", "t")]

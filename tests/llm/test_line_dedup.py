@@ -20,10 +20,10 @@ def test_exact_line_stays_once(make_docs):
 
 def test_digits_and_variable_fields_are_one_template(make_docs):
     names = ["ann", "bob", "cleo", "dan", "eve"]
-    docs = make_docs([f"x\nposted on day {i} by the user {n} of this site today" for i, n in enumerate(names)])
+    docs = make_docs([f"x{n}\nposted on day {i} by the user {n} of this site today" for i, n in enumerate(names)])
     got = texts(L.dedup_lines(docs))
-    assert got[0] == f"x\nposted on day 0 by the user {names[0]} of this site today"
-    assert [got[i] for i in range(1, 5)] == ["x"] * 4
+    assert got[0] == f"x{names[0]}\nposted on day 0 by the user {names[0]} of this site today"
+    assert [got[i] for i in range(1, 5)] == [f"x{n}" for n in names[1:]]
 
 
 def test_unlike_lines_of_a_leaf_stay(make_docs):
@@ -93,8 +93,26 @@ def test_stage_finds_recurring_field_values_at_every_size(spark, make_docs, n):
     if n > 900:
         docs = spark.range(n).select((F.col("id") % 900).alias("doc_id"), "id").join(docs, "doc_id").select(
             F.col("id").alias("doc_id"), "text", "n_chars")
-    left = L.stage(spark, docs, "").where("text <> ''").collect()
-    assert [(r["doc_id"], r["text"]) for r in left] == [(0, two_fields(1)[0])]
+    for out in (L.stage(spark, docs, ""), L.dedup_lines(docs)):
+        assert [(r["doc_id"], r["text"]) for r in out.where("text <> ''").collect()] == [(0, two_fields(1)[0])]
+
+
+def test_sql_finds_recurring_field_values(make_docs, tmp_path):
+    make_docs([t + "\nShare this" for t in two_fields(900)]).select("doc_id", "text").write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    got = con.execute(L.SQL).fetchall()
+    assert sorted(r[3] for r in got) == [0] + [2] * 899
+
+
+def test_clashing_names_in_the_stage(spark, make_docs):
+    docs = make_docs(["same line here\nx", "same line here\ny", "same line here\nz"])
+    for name in ("_th", "_TH_", "n_lines", "n_dropped", "g"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    out = L.stage(spark, docs, "")
+    assert out.columns == docs.columns
+    assert {tuple(r[c] for c in docs.columns[5:]) for r in out.collect()} == {tuple(f"own {c}" for c in docs.columns[5:])}
+    assert texts(out) == {0: "same line here\nx", 1: "y", 2: "z"}
 
 
 def test_stage_takes_lines_of_one_and_two_tokens(spark, make_docs):

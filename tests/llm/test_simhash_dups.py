@@ -98,3 +98,12 @@ def test_stage_keeps_unlike_texts_without_ids_and_of_one_id(spark, make_docs):
                       (2, "he reads a long book")])
     got = sorted((r["doc_id"] or 0, r["text"]) for r in S.stage(spark, docs, "").collect())
     assert got == sorted([(0, t) for t in unlike] + [(1, "green trees stand in rows"), (1, "he reads a long book")])
+
+
+def test_stage_carries_clashing_names(spark, make_docs):
+    from shelfspark.llm import simhash_dups
+    docs = make_docs([(1, "a b c d"), (2, "a b c d"), (3, "quite another text")]).withColumn("_th", F.lit("own")).withColumn(
+        "_TH_", F.lit("too")).withColumn("root", F.lit("r"))
+    out = simhash_dups.stage(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted((r["doc_id"], r["_th"], r["_TH_"], r["root"]) for r in out.collect()) == [(1, "own", "too", "r"), (3, "own", "too", "r")]

@@ -54,3 +54,20 @@ def test_query_equals_sql(spark):
     got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in out.collect())
     assert got == sorted(con.execute(topk.SQL).fetchall())
     assert len(got) == 50
+
+
+def test_vectors_beyond_a_long(spark):
+    """Finite components whose products no long can hold: no crash, and scores that fit are exact."""
+    rows = [(0, [1.0, 2.0]), (1, [1e30, 1.0]), (2, [-1e30, 0.5]), (3, [3.0, 1.0]), (4, [5e6, -5e6]), (50, [5e6, 5e6]),
+            (5, [2.0 ** 23, 2.0 ** 23]), (6, [1e9, 1e9]), (100, [1.7e308, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(df, F.expr("vec_id % 50 = 0")).select("query_id", "rank", "vec_id", "score").collect())
+    q = {i: [max(-2 ** 62, min(2 ** 62, math.floor(256 * x) if abs(x) < 1e300 else 2 ** 62)) for x in v] for i, v in rows}
+
+    def score(a, b):     # one component in each of the two lists
+        return sum(x * y if abs(x * y) < 2 ** 62 else max(-2 ** 61, min(2 ** 61, x * y)) for x, y in zip(q[a], q[b], strict=True))
+    want = []
+    for a in (0, 50, 100):
+        best = sorted((-score(a, b), b) for b in q if b != a)[:5]
+        want += [(a, n + 1, b, -s) for n, (s, b) in enumerate(best)]
+    assert got == sorted(want)
