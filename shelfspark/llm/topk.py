@@ -121,8 +121,10 @@ def _above(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
 
 def _dot(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Exact scores of (qcid, cid) pairs from their vectors."""
-    a = classes.select(F.col("cid").alias("qcid"), F.col("q").alias("qv"))
-    both = pairs.join(a, "qcid").join(classes.select("cid", "q"), "cid")
+    a = classes.select(F.col("cid").alias("qcid"), F.col("q").alias("qv"), F.col("top").alias("qtop"))
+    both = pairs.join(a, "qcid").join(classes.select("cid", "q", "top"), "cid")
+    simple = F.aggregate(F.zip_with("qv", "q", lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
+    small = F.col("top") * F.col("qtop") * F.size("q") < float(FAR)
     size = F.ceil(F.size("q") / LISTS).cast("int")
 
     def part(j: int) -> Column:
@@ -133,7 +135,8 @@ def _dot(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         near = F.aggregate(wide, F.lit(0.0), lambda s, v: s + v)
         near = F.least(F.greatest(near, F.lit(-FAR / 2)), F.lit(FAR / 2)).cast("long")
         return F.when(reach < float(FAR), exact).otherwise(near)
-    return both.select("qcid", "cid", reduce(lambda a, b: a + b, map(part, range(LISTS))).alias("score"))
+    by_list = reduce(lambda a, b: a + b, map(part, range(LISTS)))
+    return both.select("qcid", "cid", F.when(small, simple).otherwise(by_list).alias("score"))
 
 
 def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
@@ -143,7 +146,8 @@ def top_k(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     members = rows.withColumn("n", n).where(F.col("n") <= k + 1)
     classes = members.groupBy("q").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))   # k + 1 ids at most
     classes = classes.withColumn("cid", F.monotonically_increasing_id()).withColumn("dim", F.size("q"))
-    classes = cut(classes.withColumn("solo", F.size("ids") == 1), "vector-classes")
+    top = F.coalesce(F.array_max(F.transform("q", F.abs)), F.lit(0)).cast("double")
+    classes = cut(classes.withColumn("solo", F.size("ids") == 1).withColumn("top", top), "vector-classes")
     queries = cut(rows.where(is_query).join(classes.select("q", "cid"), "q").select("vec_id", "cid"), "queries")
     asked = cut(classes.join(queries.select("cid").distinct(), "cid", "left_semi").select("cid", "q", "dim", "solo"), "asked")
     base = classes.select("cid", "q", "dim")
