@@ -37,6 +37,8 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 WINDOW, CUT_BITS = 16, 10
 #: Chunks and words that a task keeps before it starts anew.
 CACHE_CHUNKS, CACHE_WORDS = 20_000, 400_000
+#: Bytes of texts encoded at once.
+STEP_BYTES = 512 << 10
 _GEAR = np.random.default_rng(20_241).integers(0, 1 << 32, size=256, dtype=np.uint32)
 
 
@@ -181,7 +183,7 @@ def encode_documents(docs: DataFrame, path: str = VOCABULARY, keep: bool = False
 
     def run(batches):
         coder = Coder(path)
-        for b in text_batches(batches):
+        for b in text_batches(batches, STEP_BYTES):
             got = coder.encode(texts_of(b, text))
             cols = [c for n, c in zip(b.schema.names, b.columns, strict=True) if n != text]
             cols += [pa.array([len(i) // 4 for i, _ in got], pa.int64()),

@@ -30,6 +30,8 @@ from shelfspark.llm.common import components, cut, free_name, text_batches, text
 
 #: Largest bucket that is paired member by member.
 BUCKET = 64
+#: Bytes of texts whose shingles are hashed at once: a task holds some hundred times as much for a moment.
+STEP_BYTES = 512 << 10
 SEED = 42
 
 
@@ -66,7 +68,7 @@ def fingerprint_documents(docs: DataFrame, size: int = 3) -> DataFrame:
     base = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
 
     def run(batches):
-        for b in text_batches(batches):
+        for b in text_batches(batches, STEP_BYTES):
             fp = pa.array(fingerprints(texts_of(b), size))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fp], names=["doc_id", "th", "fp"])
 
