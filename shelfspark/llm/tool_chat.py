@@ -6,10 +6,11 @@ plain message; a text of role ``tool`` that is a JSON object with ``tool_call_id
 result. Everything else is a plain message.
 
 Calls and results are joined by (conversation, identifier). A call's level is one more than the
-highest of the calls it depends on: each round settles the calls whose parents are all settled, by
-joins over the calls still open, so the rounds follow the longest chain and no conversation is
-gathered. A settled call also gets the turn by which all its parents have come; ordering by (that
-turn, level, turn, place) is topological. Arguments are checked against the tool's schema. Each
+highest of the calls it depends on. Blocks of ``BLOCK`` calls of a conversation settle their chains in
+one pass, and rounds of joins carry the levels from block to block, so the rounds follow the blocks
+that a chain crosses, not its length, and no conversation is gathered. A settled call also gets the
+turn by which all its parents have come; ordering by (that turn, level, turn, place) is topological.
+Arguments are checked against the tool's schema, as the values that the line shows. Each
 message, call or stray result becomes one line of canonical JSON: keys sorted at every depth, no
 white space, absent values left out. A conversation's lines are numbered without a gap, by
 ranks that need no task to hold a whole conversation.
@@ -37,8 +38,10 @@ from pyspark.sql import functions as F
 from shelfspark.llm.common import cut, rank_within
 from shelfspark.operators.curate import LIMITS
 
-#: JSON types by the names of a value's kind.
-KINDS = {"string": "^STRING$", "integer": "^BIGINT$", "number": "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$",
+#: Calls of a conversation that one pass settles together.
+BLOCK = 512
+#: JSON types by the names of a value's kind. An integer is a number that the line shows without fraction or exponent.
+KINDS = {"string": "^STRING$", "integer": "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$", "number": "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$",
          "boolean": "^BOOLEAN$", "object": "^OBJECT<", "array": "^ARRAY<"}
 CALLS = ("content string, tool_calls array<struct<id: string, name: string, arguments: string, after: array<string>>>")
 RESULT = "tool_call_id string, content string"
@@ -65,11 +68,15 @@ def argument_errors(tools: dict) -> F.Column:
         checks = []
         for p in sorted({*props, *need}):
             path = "$['" + p.replace("'", "\\'") + "']"
-            at = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
+            held = F.try_variant_get(value, path, "variant")
+            at = F.schema_of_variant(held)
             if p in need:
                 checks.append(F.when(at.isNull(), F.lit(f"missing:{p}")))
             if p in props:
-                checks.append(F.when(at.isNotNull() & ~at.rlike(KINDS[props[p]]), F.lit(f"type:{p}")))
+                fits = at.rlike(KINDS[props[p]])
+                if props[p] == "integer":
+                    fits = fits & F.to_json(held).rlike("^-?[0-9]+$")
+                checks.append(F.when(at.isNotNull() & ~fits, F.lit(f"type:{p}")))
         known = F.array(*[F.lit(p) for p in props]).cast("array<string>")
         extra = F.transform(F.array_except(F.json_object_keys("arguments"), known), lambda k: F.concat(F.lit("extra:"), k))
         found = F.concat(F.array_compact(F.array(*checks).cast("array<string>")), F.coalesce(extra, F.array().cast("array<string>")))
@@ -79,35 +86,64 @@ def argument_errors(tools: dict) -> F.Column:
     return out
 
 
+def _settle(rows) -> F.Column:
+    """The calls of a block (pos, level, due, parents) that can be settled, forwards through ``rows`` and then backwards.
+
+    parents: places of the open calls that a call depends on; a call is settled when all of them stand settled before it.
+    """
+    def step(done, r):
+        hit = F.filter(done, lambda x: F.array_contains(r["parents"], x["pos"]))
+        level = F.greatest(r["level"], F.array_max(F.transform(hit, lambda x: x["level"] + 1)))
+        due = F.greatest(r["due"], F.array_max(F.transform(hit, lambda x: x["due"])))
+        one = F.array(F.struct(r["pos"].alias("pos"), level.alias("level"), due.alias("due")))
+        return F.when(F.size(hit) == F.size(r["parents"]), F.concat(done, one)).otherwise(done)
+
+    forth = F.aggregate(rows, F.array().cast("array<struct<pos:bigint,level:int,due:bigint>>"), step)
+    both = F.struct(forth.alias("done"), rows.alias("rs"))
+    rest = lambda x: F.reverse(F.filter(x["rs"], lambda r: ~F.array_contains(x["done"]["pos"], r["pos"])))
+    return F.transform(F.array(both), lambda x: F.aggregate(rest(x), x["done"], step))[0]
+
+
 def levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
-    """(ck, id, level, due) of calls (ck, id, turn0); edges (ck, id, parent). Calls on or behind a cycle: no row.
+    """(ck, id, level, due) of calls (ck, id, turn0, rid, i); edges (ck, id, parent). Calls on or behind a cycle: no row.
 
-    due: the latest turn of the call and all it depends on.
+    due: the latest turn of the call and all it depends on. Each round settles, block by block of ``BLOCK`` calls in the
+    order of the conversation, all calls whose parents are settled or come settled earlier in the block, and hands their
+    levels on to the open calls of other blocks. A round always settles the calls without open parents, so one that
+    settles none is the last.
     """
-    known = calls.select("ck", "id", "turn0")
-    edges = cut(edges.join(known.select("ck", F.col("id").alias("parent")), ["ck", "parent"]).distinct(), "edges")
-    waits = edges.select("ck", "id").distinct()
-    done = cut(known.join(waits, ["ck", "id"], "left_anti").select("ck", "id", F.lit(0).alias("level"),
-                                                                   F.col("turn0").alias("due")), "settled")
-    left = cut(known.join(waits, ["ck", "id"], "left_semi"), "open-calls")
-    rounds, parts = 0, [done]
-    while left.limit(1).count():
-        rounds += 1
-        open_ids = left.select("ck", F.col("id").alias("parent"))
-        blocked = edges.join(open_ids, ["ck", "parent"], "left_semi").select("ck", "id").distinct()
-        ready = left.join(blocked, ["ck", "id"], "left_anti")
-        past = reduce(DataFrame.union, parts).select("ck", F.col("id").alias("parent"), F.col("due").alias("past"))
-        late = (edges.join(ready.select("ck", "id"), ["ck", "id"], "left_semi").join(past, ["ck", "parent"])
-                .groupBy("ck", "id").agg(F.max("past").alias("past")))
-        ready = cut(ready.join(late, ["ck", "id"]).select(
-            "ck", "id", F.lit(rounds).alias("level"), F.greatest("turn0", "past").alias("due")), "settled")
-        if not ready.limit(1).count():
+    known = cut(rank_within(calls.select("ck", "id", "turn0", "rid", "i"), ["ck"], ["turn0", "rid", "i"], "pos", "call-order")
+                .select("ck", "id", "pos", "turn0"), "call-places")
+    place = known.select("ck", "id", "pos")
+    edges = (edges.join(place, ["ck", "id"]).drop("id")
+             .join(place.select("ck", F.col("id").alias("parent"), F.col("pos").alias("ppos")), ["ck", "parent"])
+             .select("ck", "pos", "ppos").distinct())
+    edges = cut(edges, "edges")
+    left = known.select("ck", "pos", F.lit(0).alias("level"), F.col("turn0").alias("due"))
+    parts = []
+    while True:
+        parents = edges.groupBy("ck", "pos").agg(F.collect_list("ppos").alias("parents"))   # bounded by the call's own list
+        rows = left.join(parents, ["ck", "pos"], "left").select(
+            "ck", F.floor(F.col("pos") / BLOCK).alias("block"), F.struct(
+                "pos", "level", "due", F.coalesce("parents", F.array().cast("array<bigint>")).alias("parents")).alias("r"))
+        blocks = rows.groupBy("ck", "block").agg(F.array_sort(F.collect_list("r")).alias("rs"))
+        done = cut(blocks.select("ck", F.explode(_settle(F.col("rs"))).alias("d")).select("ck", "d.*"), "settled")
+        if not done.limit(1).count():
             break
-        parts.append(ready)
-        left = cut(left.join(ready, ["ck", "id"], "left_anti"), "open-calls")
-        if len(parts) > 16:    # a long chain: one table again
+        parts.append(done)
+        if len(parts) > 16:    # very long chains across blocks: one table again
             parts = [cut(reduce(DataFrame.union, parts), "settled")]
-    return reduce(DataFrame.union, parts)
+        left = left.join(done.select("ck", "pos"), ["ck", "pos"], "left_anti")
+        waits = edges.join(left.select("ck", "pos"), ["ck", "pos"], "left_semi")
+        past = done.select("ck", F.col("pos").alias("ppos"), (F.col("level") + 1).alias("plevel"), F.col("due").alias("pdue"))
+        waits = cut(waits.join(past, ["ck", "ppos"], "left"), "waits")
+        came = waits.groupBy("ck", "pos").agg(F.max("plevel").alias("plevel"), F.max("pdue").alias("pdue"))
+        left = cut(left.join(came, ["ck", "pos"], "left").select(
+            "ck", "pos", F.greatest("level", "plevel").alias("level"), F.greatest("due", "pdue").alias("due")), "open-calls")
+        edges = waits.where("plevel is null").select("ck", "pos", "ppos")
+    if not parts:
+        return known.where("false").select("ck", "id", F.lit(0).alias("level"), F.col("turn0").alias("due"))
+    return reduce(DataFrame.union, parts).join(place, ["ck", "pos"]).select("ck", "id", "level", "due")
 
 
 def format_tool_chats(messages: DataFrame, tools: dict) -> DataFrame:
@@ -190,12 +226,13 @@ def format_tool_chats(messages: DataFrame, tools: dict) -> DataFrame:
 def as_tool_messages(conversations: DataFrame) -> DataFrame:
     """Tool messages made of plain turns: a user's turn calls a tool, the assistant's next turn is its result.
 
-    The id is the turn's number; the call depends on the call about half as far into the
-    conversation; every third turn calls ``rewrite``, which also wants a style.
+    The id is the turn's number; the call depends on the call before it and on the one about half as
+    far into the conversation; every third turn calls ``rewrite``, which also wants a style.
     """
     t = F.col("turn").cast("long")
     parent = (t - 2 * F.floor((t + 3) / 4)).cast("long")
-    after = F.when(t > 1, F.array(F.concat(F.lit("call-"), parent.cast("string")))).otherwise(F.array().cast("array<string>"))
+    ids = F.transform(F.array_distinct(F.array(t - 2, parent)), lambda x: F.concat(F.lit("call-"), x.cast("string")))
+    after = F.when(t > 1, ids).otherwise(F.array().cast("array<string>"))
     name = F.when(t % 3 == 2, "rewrite").otherwise("lookup")
     call = F.to_json(F.struct(F.array(F.struct(
         F.concat(F.lit("call-"), t.cast("string")).alias("id"), name.alias("name"),

@@ -59,6 +59,7 @@ def test_links_order_and_status(spark):
 
 @pytest.mark.parametrize("args,errors", [
     ({"a": 1}, []), ({"a": 1, "b": 2.5, "s": "x"}, []), ({"a": "1"}, ["type:a"]), ({"b": 1}, ["missing:a"]),
+    ({"a": 1.0}, []), ('{"a": 1e2}', ["type:a"]), ('{"a": -12345678901234567890123}', []), ({"a": 1.25}, ["type:a"]),
     ({"a": 1.5, "z": 0, "b": True}, ["extra:z", "type:a", "type:b"]), ([1], ["not_object"]), ("{bad", ["not_object"])])
 def test_arguments(spark, args, errors):
     rows = [(1, 0, "assistant", {"tool_calls": [call("x", args=args)]}), (1, 1, "tool", {"tool_call_id": "x", "content": "r"})]
@@ -93,6 +94,46 @@ def test_chain_and_random_graphs_are_topological(spark):
             assert pos[conv, c][1] == (1 + max(pos[conv, a][1] for a in after) if after else 0)
 
 
+@pytest.mark.parametrize("block", [3, 512])
+def test_long_chains_settle_block_by_block(spark, monkeypatch, block):
+    """Chains in both directions, a ladder of two parents each, and one that leaps between the ends; a cycle behind a chain."""
+    monkeypatch.setattr(C, "BLOCK", block)
+    n = 40 if block == 512 else 10
+    after = {(1, i): [i - 1] for i in range(1, n)} | {(2, i): [i + 1] for i in range(n - 1)}
+    after |= {(3, i): [j for j in (i - 1, i - 2) if j >= 0] for i in range(n)}
+    leap = [x for pair in zip(range(4), range(n - 1, n - 5, -1), strict=True) for x in pair]
+    after |= {(4, x): [y] for y, x in zip(leap, leap[1:], strict=False)}
+    after |= {(5, i): [i - 1] for i in range(1, n)} | {(5, n // 2): [n // 2 - 1, n - 1]}
+    edges = spark.createDataFrame([(str(c), f"c{i}", f"c{j}") for (c, i), js in after.items() for j in js], "ck string, id string, parent string")
+    calls = spark.createDataFrame([(str(c), f"c{i}", 1000 - i if c == 2 and i % 7 == 0 else i, i, 0) for c in range(1, 6) for i in range(n)],
+                                  "ck string, id string, turn0 long, rid long, i int")
+    got = {(int(r["ck"]), int(r["id"][1:])): (r["level"], r["due"]) for r in C.levels(calls, edges).collect()}
+    want, turn = {}, {(int(r["ck"]), int(r["id"][1:])): r["turn0"] for r in calls.collect()}
+    open_ = set(turn)
+    while True:
+        ready = [x for x in open_ if all((x[0], j) in want for j in after.get(x, []))]
+        if not ready:
+            break
+        for x in ready:
+            up = [want[x[0], j] for j in after.get(x, [])]
+            want[x] = (max((u[0] + 1 for u in up), default=0), max([turn[x], *(u[1] for u in up)]))
+        open_ -= set(ready)
+    assert got == want and len(open_) == n - n // 2
+
+
+def test_rounds_follow_the_blocks_of_a_chain(spark, monkeypatch):
+    names = []
+    own = C.cut
+    monkeypatch.setattr(C, "cut", lambda df, name: (names.append(name), own(df, name))[1])
+    n = 1000
+    calls = spark.range(n).select(F.lit("x").alias("ck"), F.col("id").cast("string").alias("id"), F.col("id").alias("turn0"),
+                                  F.col("id").alias("rid"), F.lit(0).alias("i"))
+    edges = calls.where("turn0 > 0").select("ck", "id", (F.col("turn0") - 1).cast("string").alias("parent"))
+    out = C.levels(calls, edges)
+    assert out.agg(F.count("*"), F.sum("level")).head() == (n, n * (n - 1) // 2)
+    assert names.count("settled") <= -(-n // C.BLOCK) + 1
+
+
 def test_odd_rows(spark):
     rows = [(None, None, None, None), (None, 1, "user", ""), (1, None, "assistant", {"tool_calls": []}), (1, 0, "tool", None),
             (2, 0, "assistant", {"tool_calls": [call("d")]}), (2, 0, "assistant", {"tool_calls": [call("d")]}),
@@ -115,19 +156,20 @@ def test_query_equals_brute_force(spark):
     for c, turns in convs.items():
         calls = {t for t, (r, _) in turns.items() if r == "user"}
 
+        def parents(t):
+            return sorted({t - 2, t - 2 * ((t + 3) // 4)}, key=str) if t > 1 else []
+
         def level(t, calls=calls):
-            p = t - 2 * ((t + 3) // 4)
-            return 1 + level(p, calls) if t > 1 and p in calls else 0
+            return max((1 + level(p, calls) for p in parents(t) if p in calls), default=0)
         for t, (r, x) in turns.items():
             if r == "user":
-                p = t - 2 * ((t + 3) // 4)
                 tool = "rewrite" if t % 3 == 2 else "lookup"
                 errors = ["missing:style"] if tool == "rewrite" and t % 6 != 2 else []
-                errors += [f"unknown_dependency:call-{p}"] if t > 1 and p not in calls else []
+                errors += sorted(f"unknown_dependency:call-{p}" for p in parents(t) if p not in calls)
                 args = {"query": x, "turn": t} | ({"style": "plain"} if t % 6 == 2 else {})
                 result = turns[t + 1][1] if turns.get(t + 1, ("",))[0] == "assistant" else None
                 status = "no_result" if result is None else "invalid_arguments" if errors else "ok"
-                line = {"after": [f"call-{p}"] if t > 1 else [], "arguments": args, "errors": errors, "id": f"call-{t}",
+                line = {"after": sorted(f"call-{p}" for p in parents(t)), "arguments": args, "errors": errors, "id": f"call-{t}",
                         "kind": "call", "level": level(t), "name": tool, "status": status}
                 want[c, t] = canonical(line | ({} if result is None else {"result": result}))
             elif r == "system":
