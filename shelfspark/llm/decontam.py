@@ -13,8 +13,11 @@ shingle) and match at a weighted Jaccard similarity of 0.8 or more.
    close, so an equi-join on (size, block, value) guarantees every pair within the radius.
 4. Verification: the exact weighted similarity.
 
-At a similarity of exactly 0.8 the expected distance is under 10 bits with a standard deviation under
-3, so RADIUS = 20 is some 3.5 deviations off; tests compare with brute force over all windows.
+The radius fits pairs of many distinct shingles: at a similarity of exactly 0.8 their expected distance is under
+10 bits with a standard deviation under 3, so RADIUS = 20 is some 3.5 deviations off. Where few or repeated
+shingles let bits fall together, a fingerprint promises less: the screened pairs of an item of fewer than
+``SMOOTH`` distinct shingles, of an item that repeats one, and of a window that does, go to the verification
+whatever their distance. Tests compare with brute force over all windows.
 
 Words are lower-cased and split at ASCII white space. A document shorter than an item is one
 window. Defined results: null or blank texts of documents or items match nothing; an item without
@@ -32,6 +35,8 @@ from pyspark.sql import functions as F
 from shelfspark.llm.common import cut, free_name
 
 SHINGLE, SIMILARITY, RADIUS, BLOCKS = 5, 0.8, 20, 7
+#: Distinct shingles from which on the radius alone decides, if none is repeated.
+SMOOTH = 32
 #: Rows of the items' shingles up to which they are broadcast; beyond, Spark joins by shuffle.
 BROADCAST_ROWS = 500_000
 _WS = " \\t\\n\\u000b\\f\\r"
@@ -103,14 +108,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
     # windows that hold enough of an item's shingles, by (document, item): bounded by the document
     size = items.select("item", "m", "k", (F.col("m") - F.col("k") + 1).alias("full"))
+    rough = shingles.groupBy("item").agg(((F.count("*") < SMOOTH) | (F.max("iw") > 1)).alias("rough"))
     places = hits.groupBy("doc_id", "th", "item").agg(F.max("n").alias("n"), F.array_sort(F.collect_set("p")).alias("ps"))
-    places = places.join(near(size), "item").withColumn("nw", F.least("full", "n"))
+    places = places.join(near(size.join(rough, "item")), "item").withColumn("nw", F.least("full", "n"))
     need = F.ceil(similarity * (F.col("full") + F.col("nw")) / (1 + similarity) - 1e-9).cast("int")
     places = places.withColumn("need", need).withColumn("last", F.col("n") - F.col("nw")).where("size(ps) >= need")
     starts = F.expr("""filter(ps, (p, i) -> p < last AND get(ps, i + need - 1) <= p + nw - 1)""")
     tail = F.when(F.expr("get(ps, size(ps) - need) >= last"), F.array("last")).otherwise(F.expr("array()").cast("array<int>"))
-    windows = places.select("doc_id", "th", "m", "k", "nw", F.explode(F.concat(starts, tail)).alias("start")).distinct()
-    windows = cut(windows, "windows")
+    screened = cut(places.select("doc_id", "th", "item", "full", "rough", "m", "k", "nw", F.explode(
+        F.concat(starts, tail)).alias("start")), "screened")
+    windows = screened.select("doc_id", "th", "m", "k", "nw", "start").distinct()
     by_doc = windows.groupBy("doc_id", "th").agg(F.collect_list(F.struct("m", "k", "nw", "start")).alias("ws")).alias("w")
     # one plan at every size: the texts (not yet split) are shuffled once to the documents with windows
     t = docs.select("doc_id", F.xxhash64("text").alias("th"), "text").alias("t")
@@ -123,7 +130,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     for k in widths:
         hs = F.when(F.col("k") == k, F.transform(F.sequence(F.lit(0), F.col("nw") - 1), _hash_at(k, "part"))).otherwise(hs)
     per = cut(per.select("doc_id", "th", "m", "nw", "start", hs.alias("hs"))
-              .withColumn("id1", F.xxhash64("hs")).withColumn("id2", F.hash("hs")), "window-shingles")
+              .withColumn("id1", F.xxhash64("hs")).withColumn("id2", F.hash("hs"))
+              .withColumn("again", F.size(F.array_distinct("hs")) < F.size("hs")), "window-shingles")
     content = ["m", "nw", "id1", "id2"]
     one = per.dropDuplicates(content).select(*content, F.explode("hs").alias("h"))
     weights = cut(one.groupBy(*content, "h").agg(F.count("*").alias("ww")), "window-weights")
@@ -136,7 +144,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     probes = window_fp.select(*content, "fp", F.explode(_block_values(False)).alias("e")).select(*content, "fp", "e.*")
     pairs = (probes.join(entries, ["m", "block", "value"])
              .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
-             .select(*content, "item", "full").distinct())
+             .select(*content, "item", "full"))
+    # pairs whose distance says little: straight from the screen
+    at = ["th", "m", "nw", "start"]
+    same = reduce(lambda x, y: x & y, [F.col(f"s.{c}") == F.col(f"p.{c}") for c in at], F.col("s.doc_id").eqNullSafe(F.col("p.doc_id")))
+    direct = (screened.alias("s").join(per.drop("hs").alias("p"), same).where("s.rough OR p.again")
+              .select(*[F.col(f"p.{c}") for c in content], "s.item", "s.full"))
+    pairs = pairs.union(direct).distinct()
     common = pairs.join(weights, content).join(shingles, ["item", "h"])
     inter = common.groupBy(*content, "item", "full").agg(F.sum(F.least("ww", "iw")).alias("both"))
     sim = inter.withColumn("similarity", F.col("both") / (F.col("full") + F.col("nw") - F.col("both")))

@@ -69,6 +69,24 @@ def test_edited_passages_equal_brute_force(spark, make_docs):
     assert same(got(df), want)
 
 
+def test_repeated_and_few_shingles_are_found_at_exactly_the_similarity(spark, make_docs):
+    """Distances beyond the radius: two words that alternate and another last word; a document of a word less; longer items."""
+    items, docs = {}, {}
+    for i in range(120):
+        x, y, z = f"x{i}", f"y{i}", f"z{i}"
+        items[i] = " ".join([x, y] * 6 + [z])
+        docs[i] = " ".join([x, y] * 6 + ["other"])
+        items[200 + i] = " ".join(f"{j}v{i}" for j in range(9))
+        docs[200 + i] = " ".join(f"{j}v{i}" for j in range(8))
+        many = [f"{j}m{i}" for j in range(40)]    # 36 shingles, of them 32 in common
+        items[400 + i] = " ".join(many)
+        docs[400 + i] = " ".join(many[:36] + ["run"] * 4) + " run" * 9
+    out = got(D.contaminated(make_docs(list(docs.items())), bench(spark, items)))
+    want = {(i, i): best_similarity(docs[i], items[i]) for i in docs}
+    assert set(want.values()) == {0.8}
+    assert same(out, want)
+
+
 def test_query_equals_brute_force(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
