@@ -12,12 +12,16 @@ Every byte that lies in a string of ``LENGTH`` bytes which also starts anywhere
 2. The remaining anchors have unlike fragments. Those go, equal ones of a task once, to shards by the
    anchor's hash, so that equal strings meet; there are as many shards as hold about
    ``SHARD_BYTES`` each. A shard's suffixes are sorted by induction with common prefixes
-   (``induced_sort``); a suffix repeats if it shares LENGTH bytes with a neighbour. The queues of a
-   shard with one hot anchor go to disk when memory is short.
+   (``induced_sort``); a suffix repeats if it shares LENGTH bytes with a neighbour.
+   A hot anchor, whose fragments alone would fill a shard (say one sentence of a third of all
+   documents between unlike neighbours), is split: its starts go one by one, as hashes of their
+   LENGTH bytes combined in the tasks, and are counted in the shards that those hashes fall in.
 3. The bits of repeated starts are stored by fragment, and a last pass over the documents removes
    what they cover.
 
-Texts are read three times and never shuffled; fragment hashes have 64 bits. Defined results: null
+Texts are read three times and never shuffled; fragment and start hashes have 64 bits. Texts are
+walked in windows of ``WINDOW`` bytes, so that a long text takes some tens of bytes of memory for each
+of its own; a fragment ends where its window of the text does. Defined results: null
 text is the empty text; texts shorter than LENGTH stay as they are; repeated rows repeat each
 other and go wholly, if they are long enough; an empty table gives no rows; extra columns are
 not read.
@@ -36,7 +40,7 @@ from shelfspark.llm.common import cut, text_batches, texts_of
 from shelfspark.llm.induced_sort import repeated_places
 from shelfspark.llm.kneser_ney import mapped, model_folder, save
 
-LENGTH, GRAM, SHARD_BYTES = 200, 32, 3 << 20
+LENGTH, GRAM, SHARD_BYTES, WINDOW = 200, 32, 3 << 20, 1 << 20
 _PLACE = np.uint64((1 << 31) - 1)
 _BASE = np.uint64(0xD1342543DE82EF95)
 _powers: dict[str, np.ndarray] = {}
@@ -57,7 +61,41 @@ def _power(n: int):
 
 
 def fragments(data: np.ndarray, sizes: np.ndarray, length: int = LENGTH):
-    """Fragments of texts that lie one after another: (first start, starts, anchor hash, fragment hash)."""
+    """Fragments of texts that lie one after another: (first start, starts, anchor hash, fragment hash).
+
+    Long texts are cut at every WINDOW starts of their own, so the result does not depend on the batch."""
+    found, begin, group = [], 0, []
+    for size in [*sizes.tolist(), None]:
+        held = sum(group)
+        if group and (size is None or held + size > WINDOW):
+            found.append((begin, _fragments(data[begin:begin + held], np.asarray(group), length)))
+            begin, group = begin + held, []
+        if size is not None and size > WINDOW:
+            for i in range(0, size - length + 1, WINDOW):
+                n = min(size - i, WINDOW + length - 1)
+                found.append((begin + i, _fragments(data[begin + i:begin + i + n], np.asarray([n]), length)))
+            begin += size
+        elif size is not None:
+            group.append(size)
+    parts = [(first + at, *rest) for at, (first, *rest) in found] or [_fragments(data, sizes, length)]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def start_hashes(data: np.ndarray, first: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The starts of some fragments, and hashes of the ``length`` bytes behind each."""
+    at = np.repeat(first - np.cumsum(starts) + starts, starts) + np.arange(starts.sum())
+    out, cuts = np.zeros(len(at), np.uint64), np.searchsorted(at, np.arange(0, len(data) + WINDOW, WINDOW))
+    for i, (a, z) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        if a < z:
+            part = data[i * WINDOW:(i + 1) * WINDOW + length]
+            up, down = _power(len(part))
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up)))
+            here = at[a:z] - i * WINDOW
+            out[a:z] = _mix((sums[here + length] - sums[here]) * down[here])
+    return at, out
+
+
+def _fragments(data: np.ndarray, sizes: np.ndarray, length: int):
     gram, n = min(GRAM, length), len(data)
     none = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     if n < length or not (sizes >= length).any():
@@ -139,20 +177,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, folder: str | None = N
     known = counted.select("h", "n", (F.col("lo") != F.col("hi")).alias("unlike"),
                            F.expr(f"cast(shiftrightunsigned(shiftrightunsigned(h, 40) * {ranges}, 24) AS int)").alias("range"))
     anchor_kinds = {"keys": "<u8", "unlike": "u1"}
+    hot = max(1, SHARD_BYTES // (length + length // 2))      # fragments that fill a shard
 
     def keep_anchors(t: pa.Table) -> pa.Table:
-        h = t.column("h").to_numpy().view(np.uint64)
-        order, unlike = np.argsort(h), t.column("unlike").to_numpy()
+        h, n = t.column("h").to_numpy().view(np.uint64), t.column("n").to_numpy()
+        order, unlike = np.argsort(h), t.column("unlike").to_numpy().astype(np.int64)
+        unlike += unlike * (n > hot)
         r = t.column("range")[0].as_py()
         Stored(at, "anchors", ranges, anchor_kinds).write(r, keys=h[order], unlike=unlike[order])
-        return pa.table({"unlike": pa.array([int(t.column("n").to_numpy()[unlike].sum())], pa.int64())})
+        return pa.table({x: pa.array([int(n[unlike == i + 1].sum())], pa.int64()) for i, x in enumerate(("unlike", "hot"))})
 
-    done = cut(known.groupBy("range").applyInArrow(keep_anchors, "unlike long"), "repeat-anchors")
-    unlike = done.agg(F.sum("unlike")).head()[0] or 0
-    shards = max(1, -(-unlike * (length + length // 2) // SHARD_BYTES))
+    done = cut(known.groupBy("range").applyInArrow(keep_anchors, "unlike long, hot long"), "repeat-anchors")
+    sent = done.agg(F.sum("unlike"), F.sum("hot")).head()
+    # bytes to sort, and nine bytes for each start of a hot anchor
+    weight = (sent[0] or 0) * (length + length // 2) + (sent[1] or 0) * 9 * (length - min(GRAM, length) + 1) // 2
+    shards = max(1, -(-weight // SHARD_BYTES))
 
     def looked_up(h: np.ndarray, anchors: Stored) -> np.ndarray:
-        """0: occurs once, 1: all fragments are equal, 2: unlike ones."""
+        """0: occurs once, 1: all fragments are equal, 2: unlike ones, 3: very many, some of them unlike."""
         key, inv = np.unique(h, return_inverse=True)
         out, r = np.zeros(len(key), dtype=np.int64), _range(key, ranges)
         for x in np.unique(r):
@@ -169,7 +211,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, folder: str | None = N
             first, starts, h, f = fragments(data, sizes, length)
             if not len(h):
                 continue
-            mine = np.flatnonzero(looked_up(h, anchors) == 2)
+            state = looked_up(h, anchors)
+            mine = np.flatnonzero(state == 3)
+            if len(mine):
+                key, n = np.unique(start_hashes(data, first[mine], starts[mine], length)[1], return_counts=True)
+                n, to = np.minimum(n, 2).astype(np.uint8), _range(key, shards)
+                edges = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1], [True])))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(to[edges[:-1]].astype(np.int32)), pa.array(np.diff(edges)), *[pa.array(np.zeros(len(edges) - 1, np.int64))] * 2,
+                     pa.array([key[a:z].tobytes() + n[a:z].tobytes() for a, z in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
+                    names=["shard", "f", "starts", "copies", "body"])
+            mine = np.flatnonzero(state == 2)
             _, one, copies = np.unique(f[mine], return_index=True, return_counts=True)
             one = mine[one]
             for i in range(0, len(one), 20_000):
@@ -180,9 +232,28 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, folder: str | None = N
                      pa.array(c), pa.array([data[a:z].tobytes() for a, z in zip(first[o], stop, strict=True)], pa.binary())],
                     names=["shard", "f", "starts", "copies", "body"])
 
-    mark_kinds = {"keys": "<u8", "at": "<i8", "marks": "u1"}
+    mark_kinds, start_kinds = {"keys": "<u8", "at": "<i8", "marks": "u1"}, {"keys": "<u8"}
+
+    def count_starts(t: pa.Table) -> np.ndarray:
+        """Starts of hot anchors that occur more often: those of a shard, each task's as keys and counts up to 2."""
+        keys, counts = [], []
+        for n, body in zip(t.column("f").to_pylist(), t.column("body"), strict=True):
+            raw = np.frombuffer(body.as_buffer(), dtype=np.uint8)
+            keys.append(raw[:8 * n].view("<u8"))
+            counts.append(raw[8 * n:])
+        key, counts = np.concatenate(keys), np.concatenate(counts)
+        order = np.argsort(key, kind="stable")
+        key, counts = key[order], counts[order]
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        return key[first][np.add.reduceat(counts, first, dtype=np.int64) > 1]
 
     def sort_shard(t: pa.Table) -> pa.Table:
+        r, single = t.column("shard")[0].as_py(), pa.compute.equal(t.column("starts"), 0)
+        lists, t = t.filter(single), t.filter(pa.compute.invert(single))
+        if lists.num_rows:
+            Stored(at, "starts", shards, start_kinds).write(r, keys=count_starts(lists))
+        if not t.num_rows:
+            return pa.table({"fragments": pa.array([0], pa.int64())})
         f = t.column("f").to_numpy().view(np.uint64)
         key, one, inv = np.unique(f, return_index=True, return_inverse=True)
         copies = np.bincount(inv, weights=t.column("copies").to_numpy())
@@ -196,7 +267,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, folder: str | None = N
         place = np.cumsum(starts) - starts
         index = np.arange(starts.sum()) - np.repeat(place, starts) + np.repeat(begin, starts)
         marks = again[index] | np.repeat(copies > 1, starts)
-        r = t.column("shard")[0].as_py()
         Stored(at, "marks", shards, mark_kinds).write(r, keys=key, at=place, marks=marks)
         return pa.table({"fragments": pa.array([len(key)], pa.int64())})
 
@@ -206,17 +276,27 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, folder: str | None = N
 
     def remove(batches):
         anchors, stored = Stored(at, "anchors", ranges, anchor_kinds), Stored(at, "marks", shards, mark_kinds)
+        counted_starts = Stored(at, "starts", shards, start_kinds)
         for b in text_batches(batches):
             data, sizes = _batch(b)
             first, starts, h, f = fragments(data, sizes, length)
-            again = np.zeros(len(data), dtype=np.int32)
+            again = np.zeros(len(data), dtype=bool)
             if len(h):
                 state = looked_up(h, anchors)
                 same = np.flatnonzero(state == 1)
-                edge = np.zeros(len(data) + 1, dtype=np.int32)
-                np.add.at(edge, first[same], 1)
-                np.add.at(edge, first[same] + starts[same], -1)
-                again += np.cumsum(edge[:-1])
+                edge = np.zeros(len(data) + 1, dtype=np.int8)      # fragments are apart: one may begin where another ends
+                edge[first[same]] += 1
+                edge[first[same] + starts[same]] -= 1
+                again |= np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+                mine = np.flatnonzero(state == 3)
+                if len(mine):
+                    begin, key = start_hashes(data, first[mine], starts[mine], length)
+                    r = _range(key, shards)
+                    for x in np.unique(r):
+                        k, m = counted_starts.of(x)["keys"], np.flatnonzero(r == x)
+                        if len(k):
+                            i = np.minimum(np.searchsorted(k, key[m]), len(k) - 1)
+                            again[begin[m]] = k[i] == key[m]
                 mine = np.flatnonzero(state == 2)
                 r = _range(h[mine], shards)
                 for x in np.unique(r):
@@ -225,9 +305,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, folder: str | None = N
                     begin = np.repeat(first[m], starts[m])
                     off = np.arange(len(begin)) - np.repeat(np.cumsum(starts[m]) - starts[m], starts[m])
                     again[begin + off] = a["marks"][np.repeat(a["at"][i], starts[m]) + off]
-            total = np.concatenate(([0], np.cumsum(again)))
-            stop = np.arange(1, len(data) + 1)
-            gone = total[stop] > total[np.maximum(stop - length, 0)]
+            total = np.cumsum(again, dtype=np.int32)
+            gone = total > 0
+            gone[length:] = total[length:] > total[:-length]
             ends = np.cumsum(sizes)
             rows = []
             for s, e in zip((ends - sizes).tolist(), ends.tolist(), strict=True):

@@ -60,6 +60,28 @@ def test_equals_brute_force(spark, make_docs, length, seed, monkeypatch):
     assert sum(r[2] for r in got) > 0
 
 
+@pytest.mark.parametrize("window", [64, 500])
+def test_hot_anchors_are_split(spark, make_docs, monkeypatch, window):
+    """One sentence between unlike neighbours in every document: no shard gets all of its fragments."""
+    length, most, sort = 60, 3000, S.repeated_places
+    monkeypatch.setattr(S, "SHARD_BYTES", most)
+    monkeypatch.setattr(S, "WINDOW", window)
+    rng = random.Random(window)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    hot, edge, near = noise(50), noise(59), noise(61)
+    texts = [noise(rng.randint(20, 90)) + x + noise(rng.randint(20, 90)) for x in [hot, edge, near] * 100]
+    texts += [noise(40) + texts[i] for i in (0, 1, 2)] + [noise(700) + texts[5] * 3]
+
+    def bounded(text, n):
+        assert len(text) < 8 * most
+        return sort(text, n)
+
+    monkeypatch.setattr(S, "repeated_places", bounded)
+    got = rows(S.remove_repeats(make_docs(texts), length))
+    assert got == [(i, *r) for i, r in enumerate(brute([t.encode() for t in texts], length))]
+    assert all(r[2] for r in got[2:300:3])
+
+
 def test_query_equals_brute_force(spark):
     docs = sorted((r["doc_id"], (r["text"] or "").encode()) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     want = brute([t for _, t in docs], 200)
