@@ -37,11 +37,12 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import text_batches, texts_of
+from shelfspark.llm.common import text_batches
 from shelfspark.session import scratch_path
 
 #: Tokens of a range that one task merges; distinct keys that a task holds before it sends them.
@@ -85,21 +86,24 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first)
 
 
-def token_hashes(texts: list[str], cache: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens (words and one end for each text) and the number of tokens of each text."""
+def token_hashes(texts: pa.Array, cache: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of some texts, the end last; each token's place among them (words and one end
+    for each text); the number of tokens of each text."""
     if len(cache) > 400_000:
         cache.clear()
-    words = [t.encode("utf-8", "replace").lower().split() for t in texts]
-    new = set().union(*words).difference(cache) if words else ()
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = pc.list_flatten(parts)
+    some = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0       # none before or behind white space at the edges
+    n = np.concatenate(([0], np.cumsum(some)))[np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))]
+    n = np.diff(n, prepend=0)
+    words = flat.filter(pa.array(some)).dictionary_encode()
+    distinct = words.dictionary.cast(pa.binary()).to_pylist()
     digest = xxhash.xxh64_intdigest
-    cache.update((w, digest(w)) for w in new)
-    lens = np.fromiter((len(w) + 1 for w in words), dtype=np.int64, count=len(words))
-    flat: list[int] = []
-    get = cache.__getitem__
-    for w in words:
-        flat.extend(map(get, w))
-        flat.append(END)
-    return np.asarray(flat, dtype=np.uint64), lens
+    cache.update((w, digest(w)) for w in distinct if w not in cache)
+    hashes = np.asarray([*map(cache.__getitem__, distinct), END], dtype=np.uint64)
+    tok = np.full(len(words) + len(n), len(distinct), dtype=np.int64)
+    tok[np.arange(len(words)) + np.repeat(np.arange(len(n)), n)] = words.indices.to_numpy(zero_copy_only=False)
+    return hashes, tok, n + 1
 
 
 class Sender:
@@ -265,8 +269,19 @@ class Arrays:
         number, inv = np.unique(pair.astype(np.int64), return_inverse=True)
         at, i = self.numbered(number)
         count = self.values("pairs", "counts", at, i)[inv]
-        more = (count * (self.sums[w.astype(np.int64)] / self.mass) / self.m.step).astype(np.int64)
-        return np.minimum(at[inv] + more, self.m.ranges - 1)
+        return self.spread(at[inv], count, w.astype(np.int64))
+
+    def spread(self, at: np.ndarray, count: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Ranges of triples, from range and count of the pair before and the word."""
+        return np.minimum(at + (count * (self.sums[w] / self.mass) / self.m.step).astype(np.int64), self.m.ranges - 1)
+
+    def back_off(self, at: np.ndarray, i: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Back-off weights of pairs; that of a pair with one token is the discount of one."""
+        out = np.full(len(i), float(self.m.discounts3[0]))
+        for r in np.unique(at[count > 1]):
+            mine = np.flatnonzero((at == r) & (count > 1))
+            out[mine] = self.file(f"pairs-{r}-weights", "<f8")[np.searchsorted(self.file(f"pairs-{r}-often", "<u4"), i[mine])]
+        return out
 
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
@@ -278,29 +293,29 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(x, 0.0), k + 1.0) for k, x in enumerate(d))
 
 
-def _pairs(tok: np.ndarray, lens: np.ndarray, arrays: Arrays) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(hashes: np.ndarray, tok: np.ndarray, lens: np.ndarray, arrays: Arrays) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of each token's context and of the token."""
-    uniq, inv = np.unique(tok, return_inverse=True)
-    w = arrays.number(uniq)[inv]
+    order = np.argsort(hashes)
+    number = np.empty(len(hashes), dtype=np.int64)
+    number[order] = arrays.number(hashes[order])
+    w = number[tok]
     u = np.concatenate(([0], w[:-1]))
     u[np.cumsum(lens) - lens] = arrays.number(np.asarray([START]))[0]
     return u, w
 
 
-def _triples(u: np.ndarray, w: np.ndarray, lens: np.ndarray, arrays: Arrays) -> tuple[np.ndarray, ...]:
-    """Of all tokens: range and place of the pair that ends there (-1: never seen), and the number of the
-    pair before (-1: none, or never seen)."""
+def _pair_places(u: np.ndarray, w: np.ndarray, lens: np.ndarray, arrays: Arrays) -> tuple[np.ndarray, ...]:
+    """Range and place of the distinct pairs (-1: never seen); of all tokens, which of these ends there
+    and which ends at the token before (-1: none)."""
     both = (u >= 0) & (w >= 0)
     key, inv = np.unique(u[both].astype(np.uint64) * np.uint64(arrays.m.size) + w[both].astype(np.uint64), return_inverse=True)
     r, i = arrays.pairs(key)
-    at, place, number = np.zeros(len(u), dtype=np.int64), np.full(len(u), -1), np.full(len(u), -1)
-    at[both], place[both] = r[inv], i[inv]
-    if arrays.offsets is None:
-        return at, place, number
-    number[both] = np.where(i >= 0, arrays.offsets[r] + i, -1)[inv]
-    before = np.concatenate(([-1], number[:-1]))
+    which = np.full(len(u), -1)
+    which[both] = inv
+    before = np.concatenate(([-1], which[:-1]))
     before[np.cumsum(lens) - lens] = -1
-    return at, place, before
+    before[before >= 0] = np.where(i >= 0, np.arange(len(i)), -1)[before[before >= 0]]
+    return r, i, which, before
 
 
 def _table(rows: list[tuple]) -> pa.Table:
@@ -316,7 +331,7 @@ def _dense(table: pa.Table, kinds, first: int, last: int) -> dict[str, np.ndarra
     out = {}
     for kind in kinds:
         out[kind] = np.zeros(last - first, dtype=np.int64)
-        part = table.filter(pa.compute.equal(table.column("kind"), kind))
+        part = table.filter(pc.equal(table.column("kind"), kind))
         if part.num_rows:
             k, c = merged(part)
             out[kind][k.astype(np.int64) - first] = c
@@ -335,9 +350,8 @@ def fit(docs: DataFrame, folder: str | None = None, order: int = 2) -> Model:
     def send_words(batches):
         s, cache = Sender(lambda k: (k >> np.uint64(44)).astype(np.int64) * tasks >> 20, tasks), {}
         for b in text_batches(batches):
-            tok, lens = token_hashes(texts_of(b), cache)
-            k, c = np.unique(tok, return_counts=True)
-            yield from s.add(np.append(k, START), np.append(c, len(lens)))
+            hashes, tok, lens = token_hashes(b.column("text"), cache)
+            yield from s.add(np.append(hashes, START), np.append(np.bincount(tok, minlength=len(hashes)), len(lens)))
         yield from s.close()
 
     def keep_words(table: pa.Table) -> pa.Table:
@@ -380,8 +394,8 @@ def fit(docs: DataFrame, folder: str | None = None, order: int = 2) -> Model:
         arrays, cache = Arrays(m), {}
         s = Sender(arrays.range_of, m.ranges)
         for b in text_batches(batches):
-            tok, lens = token_hashes(texts_of(b), cache)
-            u, w = _pairs(tok, lens, arrays)
+            hashes, tok, lens = token_hashes(b.column("text"), cache)
+            u, w = _pairs(hashes, tok, lens, arrays)
             k, c = np.unique(u.astype(np.uint64) * np.uint64(m.size) + w.astype(np.uint64), return_counts=True)
             yield from s.add(k, c)
         yield from s.close()
@@ -440,12 +454,12 @@ def fit(docs: DataFrame, folder: str | None = None, order: int = 2) -> Model:
             arrays, cache = Arrays(m), {}
             s = Sender(arrays.triple_range, m.ranges)
             for b in text_batches(batches):
-                tok, lens = token_hashes(texts_of(b), cache)
-                u, w = _pairs(tok, lens, arrays)
-                before = _triples(u, w, lens, arrays)[2]
+                hashes, tok, lens = token_hashes(b.column("text"), cache)
+                u, w = _pairs(hashes, tok, lens, arrays)
+                r, i, _, before = _pair_places(u, w, lens, arrays)
                 in_ = before >= 0
-                yield from s.add(*np.unique(before[in_].astype(np.uint64) * np.uint64(m.size) + w[in_].astype(np.uint64),
-                                            return_counts=True))
+                number = (arrays.offsets[r] + i).astype(np.uint64)[before[in_]]
+                yield from s.add(*np.unique(number * np.uint64(m.size) + w[in_].astype(np.uint64), return_counts=True))
             yield from s.close()
 
         def keep_triples(table: pa.Table) -> pa.Table:
@@ -464,7 +478,7 @@ def fit(docs: DataFrame, folder: str | None = None, order: int = 2) -> Model:
             for kind, where in (("n1", c == 1), ("n2", c == 2), ("n3", c >= 3)):
                 key, n = np.unique(before[where], return_counts=True)
                 to = arrays.numbered(key.astype(np.int64))[0]
-                rows += [(kind, int(q), key[to == q], n[to == q]) for q in np.unique(to)]
+                rows += [(kind, int(q), key[to == q], n[to == q]) for q in np.unique(to) if q != r]   # keep_lower reads those of r
             return _table(rows)
 
         triples = stored(texts.mapInArrow(send_triples, _BLOB).groupBy("range").applyInArrow(keep_triples, blob),
@@ -478,9 +492,16 @@ def fit(docs: DataFrame, folder: str | None = None, order: int = 2) -> Model:
             k, first, last = arrays.file(f"pairs-{r}"), int(arrays.offsets[r]), int(arrays.offsets[r + 1])
             count = arrays.file(f"pairs-{r}-counts", entries=len(k)).astype(np.int64)
             sums = _dense(table, ("left", "n1", "n2", "n3"), first, last)
-            start = arrays.number(np.asarray([START]))[0]
+            triples, start = arrays.file(f"triples-{r}"), arrays.number(np.asarray([START]))[0]
+            if len(triples):
+                at = (triples // np.uint64(m.size)).astype(np.int64) - first
+                x, mine = arrays.file(f"triples-{r}-counts", entries=len(triples)), (at >= 0) & (at < last - first)
+                for i, where in enumerate((x == 1, x == 2, x >= 3), 1):
+                    sums[f"n{i}"] += np.bincount(at[mine & where], minlength=last - first)
             c = np.where(k // np.uint64(m.size) == np.uint64(start), count, sums["left"])
-            save(m.path(f"pairs-{r}-weights"), sum(d * sums[f"n{i + 1}"] for i, d in enumerate(m.discounts3)) / count)
+            often = np.flatnonzero(count > 1)
+            save(m.path(f"pairs-{r}-often"), often.astype("<u4"))
+            save(m.path(f"pairs-{r}-weights"), sum(d * sums[f"n{i + 1}"][often] for i, d in enumerate(m.discounts3)) / count[often])
             save_counts(m.path(f"pairs-{r}-lower"), c)
             return pair_rows(np.asarray(k), c)
 
@@ -544,27 +565,27 @@ def score_documents(docs: DataFrame, m: Model) -> DataFrame:
         contexts = mapped(m.path("contexts"), "<i8") if m.size else None
         floor = m.n + 0.1 * (m.v + 1)
         for b in text_batches(batches):
-            tok, lens = token_hashes(texts_of(b), cache)
+            hashes, tok, lens = token_hashes(b.column("text"), cache)
             starts = np.cumsum(lens) - lens
             if not m.size:
                 known, base_, full = np.zeros(len(tok)), np.full(len(tok), np.log10(0.1 / floor)), np.zeros(len(tok))
             else:
-                u, w = _pairs(tok, lens, arrays)
+                u, w = _pairs(hashes, tok, lens, arrays)
                 c = np.where(w >= 0, arrays.counts[np.maximum(w, 0)], 0)
                 known, base_ = c > 0, np.log10((c + 0.1) / floor)
                 low = np.where(w >= 0, lowest[np.maximum(w, 0)], m.unknown)
                 ctx = np.where(u >= 0, weights[np.maximum(u, 0)], 1.0)
-                at, place, before = _triples(u, w, lens, arrays)
-                n = arrays.values("pairs", "counts" if m.order == 2 else "lower", at, place)
+                r, i, which, before = _pair_places(u, w, lens, arrays)
+                n = np.append(arrays.values("pairs", "counts" if m.order == 2 else "lower", r, i), 0)[which]
                 full = _cut(n, m.discounts) / np.maximum(contexts[np.maximum(u, 0)], 1) + ctx * low
                 if m.order > 2:
+                    total = arrays.values("pairs", "counts", r, i)
+                    back, number = arrays.back_off(r, i, total), (arrays.offsets[r] + i).astype(np.uint64)
                     got = np.flatnonzero(before >= 0)
-                    number, pair = np.unique(before[got], return_inverse=True)
-                    at, place = arrays.numbered(number)
-                    total, back = arrays.values("pairs", "counts", at, place), arrays.values("pairs", "weights", at, place, "<f8")
-                    key, inv = np.unique(before[got].astype(np.uint64) * np.uint64(m.size) + np.maximum(w[got], 0).astype(np.uint64),
-                                         return_inverse=True)
-                    to = arrays.triple_range(key)
+                    pair, word = before[got], np.maximum(w[got], 0)
+                    key, one, inv = np.unique(number[pair] * np.uint64(m.size) + word.astype(np.uint64),
+                                              return_index=True, return_inverse=True)
+                    to = arrays.spread(r[pair[one]], total[pair[one]], word[one])
                     n = np.where(w[got] >= 0, arrays.values("triples", "counts", to, arrays.find("triples", to, key))[inv], 0)
                     full[got] = _cut(n, m.discounts3) / total[pair] + back[pair] * full[got]
                 full = np.log10(full)
