@@ -71,3 +71,19 @@ def test_vectors_beyond_a_long(spark):
         best = sorted((-score(a, b), b) for b in q if b != a)[:5]
         want += [(a, n + 1, b, -s) for n, (s, b) in enumerate(best)]
     assert got == sorted(want)
+
+
+def test_repeated_rows_are_candidates_of_their_own(spark, tmp_path):
+    """The query: every row but the query's own is a candidate, so a row that comes twice takes two places."""
+    rng = random.Random(5)
+    rows = [(i, [rng.choice([-0.5, 0.25, 1.5]) for _ in range(3)]) for i in range(1, 60)]
+    rows += rows[:20] * 2 + [r for r in rows if r[0] == 50] + [(100, [0.25, 1.5, -0.5])]
+    spark.createDataFrame(rows, KIND).write.parquet(f"{tmp_path}/embeddings.parquet")
+    ok = [(i, tuple(math.floor(256 * x) for x in v)) for i, v in rows]
+    want = []
+    for n, (i, q) in enumerate(ok):
+        if i % 50 == 0:
+            s = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for m, (j, v) in enumerate(ok) if m != n)[:5]
+            want += [(i, r + 1, j, -x) for r, (x, j) in enumerate(s)]
+    got = topk.query(spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
