@@ -8,7 +8,7 @@ next whole word of either chunk; it is accepted when its outer ids agree exactly
 chunks have for these words, else the piece grows by more words, up to the whole text.
 
 Chunks are encoded by white-space words: the tokenizer's normaliser and splitter never carry
-anything across ASCII white space, and equal words of a task are given to the library once. Ids
+anything across ASCII white space, and equal words of a task are given to the library once, many joined in one text. Ids
 and decoded text are those of the tokenizers library for the whole text; tests compare them.
 
 Every task needs only its own documents: no shuffle, caches of bounded size, and a lost executor
@@ -37,6 +37,8 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 WINDOW, CUT_BITS = 16, 10
 #: Chunks and words that a task keeps before it starts anew.
 CACHE_CHUNKS, CACHE_WORDS = 20_000, 400_000
+#: Words that are given to the library as one text.
+TOGETHER = 64
 #: Bytes of texts encoded at once.
 STEP_BYTES = 512 << 10
 _GEAR = np.random.default_rng(20_241).integers(0, 1 << 32, size=256, dtype=np.uint32)
@@ -81,17 +83,32 @@ class Coder:
     def _pair(self, ids: list[int]) -> tuple[bytes, str]:
         return np.asarray(ids, dtype="<u4").tobytes(), self.lib.decode(ids, skip_special_tokens=False)
 
+    def _by_words(self, words: list[str]) -> tuple[list[list[int]], list[bytes]]:
+        """The ids of each word, also as bytes. ``TOGETHER`` words are one text for the library, joined by spaces; where
+        a token begins says whose it is."""
+        ids, packed = [], []
+        groups = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        for group, e in zip(groups, self.lib.encode_batch([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            got, begins = e.ids, np.fromiter((a for a, _ in e.offsets), dtype=np.int64)
+            if (begins[1:] < begins[:-1]).any():
+                each = self._library(group)
+                ids += each
+                packed += [np.asarray(x, dtype="<u4").tobytes() for x in each]
+                continue
+            raw, at = np.asarray(got, dtype="<u4").tobytes(), 0
+            for end in np.searchsorted(begins, np.cumsum([len(w) + 1 for w in group])).tolist():
+                ids.append(got[at:end])
+                packed.append(raw[4 * at:4 * end])
+                at = end
+        return ids, packed
+
     def _learn(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self.words]
         if not new:
             return
-        ids = self._library([w.decode() for w in new])
+        ids, packed = self._by_words([w.decode() for w in new])
         texts = self.lib.decode_batch(ids, skip_special_tokens=False)
-        flat = np.asarray([i for x in ids for i in x], dtype="<u4").tobytes()
-        at = 0
-        for w, x, s in zip(new, ids, texts, strict=True):
-            self.words[w] = (flat[at:at + 4 * len(x)], s)
-            at += 4 * len(x)
+        self.words.update(zip(new, zip(packed, texts, strict=True), strict=True))
 
     def _of_words(self, words: list[bytes]) -> tuple[bytes, str]:
         got = [self.words[w] for w in words]

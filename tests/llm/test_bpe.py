@@ -60,3 +60,22 @@ def test_odd_rows(spark, make_docs):
         ids, text = plain(t)
         assert g == (i, np.frombuffer(ids, dtype="<u4").tolist(), text)
     assert bpe.encode_documents(docs.where("false")).count() == 0
+
+
+def test_words_are_given_to_the_library_together(monkeypatch):
+    """New words of one step are few texts for the library, with the ids of each word alone."""
+    coder = bpe.Coder(bpe.VOCABULARY)
+    calls = []
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(lib, name)
+
+        def encode_batch(self, texts, **kw):
+            calls.append(len(texts))
+            return lib.encode_batch(texts, **kw)
+    lib, coder.lib = coder.lib, Counted()
+    words = {f"w{i}é<|endoftext|>́x{i}".encode() for i in range(1000)} | {"́".encode(), b"\x00", " ".encode(), b"Don't"}
+    coder._learn(words)
+    assert sum(calls) <= len(words) // bpe.TOGETHER + 1
+    assert {w: coder.words[w] for w in words} == {w: plain(w.decode()) for w in words}
