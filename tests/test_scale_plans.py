@@ -146,3 +146,9 @@ def test_year_bound_reaches_the_sales_scan(spark, tmp_path):
     sales = spark.read.parquet(str(tmp_path / "sales"))
     p = plan(H.recent_sales_lookup(fx.hierarchy(spark, SF_SMALL), sales, "2001-08-01"))
     assert "GreaterThanOrEqual(year,2001)" in p
+
+
+def test_case_documents_are_dealt_once(spark):
+    """The sums of the children and the lists of them come from one shuffle of the order lines."""
+    p = fx.case_documents(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", p.split("Initial Plan")[0])) == 1
