@@ -252,13 +252,19 @@ def _walk(spark, d):
     return docs.select(gtin.alias("GTIN"), "raw_json").withColumn("cands", assets.image_candidates("raw_json"))
 
 
+def _candidates(spark, d):
+    """(GTIN, c): a row for each candidate. For a plain explode the optimizer would ask before it whether there are any,
+    by a second walk of each document; no candidate is NULL, so the outer one loses none."""
+    return _walk(spark, d).select("GTIN", F.explode_outer("cands").alias("c")).where(F.col("c").isNotNull())
+
+
 def q_asset_walk(spark, d):
-    return (_walk(spark, d).select("GTIN", F.explode("cands").alias("c"))
+    return (_candidates(spark, d)
             .select("GTIN", "c.ord", "c.url", "c.filename", "c.media_id"))
 
 
 def q_image_score(spark, d):
-    urls = _walk(spark, d).select(F.explode("cands.url").alias("url")).distinct()
+    urls = _candidates(spark, d).select(F.col("c.url").alias("url")).distinct()
     return urls.select("url", url_suffix_code("url").alias("suffix_code"),
                        url_extension("url").alias("extension"),
                        image_score("url").alias("score"), is_image_url("url").alias("is_image"))

@@ -148,6 +148,13 @@ def test_year_bound_reaches_the_sales_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(year,2001)" in p
 
 
+@pytest.mark.parametrize("name", ["image_score", "asset_walk", "image_rank"])
+def test_documents_are_walked_once(spark, name):
+    """One worker a task: the optimizer asks for no second walk before an explode."""
+    plan_of = Q.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"ArrowEvalPython", plan_of.split("Initial Plan")[0])) == 1
+
+
 def test_case_documents_are_dealt_once(spark):
     """The sums of the children and the lists of them come from one shuffle of the order lines."""
     p = fx.case_documents(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
