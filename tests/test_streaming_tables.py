@@ -175,3 +175,56 @@ def test_unreadable_pointer_is_an_error_and_failed_append_is_invisible(spark):
     with pytest.raises(Exception):  # noqa: B017
         st.exists("t")
     assert not TableStore(spark, root).exists("another")
+
+
+def _staged_in(do):
+    """The names of what the merges in ``do`` stage."""
+    seen = []
+    from shelfspark.sources import buckets
+    real = buckets.staged
+    buckets.staged = lambda df, name, *a: seen.append(name) or real(df, name, *a)
+    try:
+        do()
+    finally:
+        buckets.staged = real
+    return seen
+
+
+def test_first_merge_stages_nothing_and_later_ones_drop_what_they_staged(spark):
+    from shelfspark.session import ensure_checkpoint_dir
+    root = tempfile.mkdtemp(prefix="shelf-first-")
+    s = "Id string, raw_json string, ingest_ts string"
+    snap = CH.curated_snapshot(spark, os.path.join(root, "curated"), n_buckets=4)
+    rows = spark.createDataFrame([(f"i{g}", _doc(f"{g}", "2020", "old"), "t1") for g in range(20)], s)
+    scratch = os.path.join(ensure_checkpoint_dir(spark), "shelfspark")
+    left = lambda: {f for f in os.listdir(scratch) if f.startswith("merge_")} if os.path.exists(scratch) else set()
+    before = left()
+    assert _staged_in(lambda: CH.merge_arrived(snap, rows)) == []
+    more = spark.createDataFrame([("x", _doc("3", "2021", "new"), "t2"), ("y", _doc("z", "2021", "z"), "t2"), ("n", "{bad", "t2")], s)
+    assert _staged_in(lambda: CH.merge_arrived(snap, more)) == ["merge_rows", "merge_won"]
+    assert left() == before
+    assert _brands(snap) == {**{f"{g}": "new" if g == 3 else "old" for g in range(20)}, "z": "z", None: None}
+
+
+def test_a_first_write_that_died_is_no_table(spark):
+    root = tempfile.mkdtemp(prefix="shelf-half-")
+    s = "Id string, raw_json string, ingest_ts string"
+    snap = CH.curated_snapshot(spark, os.path.join(root, "curated"), n_buckets=4)
+    CH.merge_arrived(snap, spark.createDataFrame([("i", _doc("a", "2020", "half"), "t1")], s))
+    os.remove(os.path.join(snap.path, "_SUCCESS"))
+    assert not snap.exists() and snap.read().count() == 0
+    CH.merge_arrived(snap, spark.createDataFrame([("i", _doc("b", "2020", "b"), "t1")], s))
+    assert _brands(snap) == {"b": "b"}
+
+
+def test_landed_files_are_compressed_and_dropped(spark):
+    from shelfspark.plans import queries as Q
+    silver = spark.createDataFrame([("i", _doc("a", "2020", "x"), "t")], "Id string, raw_json string, ingest_ts string")
+    seen = []
+
+    def start(spark, landing, snapshot, checkpoint):
+        seen.append((landing, [f for f in os.listdir(landing) if f.startswith("part-")]))
+        return CH.start_changes_stream(spark, landing, snapshot, checkpoint)
+    assert Q._landed_in_turns(spark, "unused", [silver], start).count() == 1
+    (landing, names), = seen
+    assert names and all(n.endswith(".json.gz") for n in names) and not os.path.exists(landing)
