@@ -104,18 +104,21 @@ def _base_struct(start: str, brand: str) -> str:
 
 
 def base_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw document per part (v1) plus a later version for some parts."""
+    """One raw document per part (v1) plus a later version for some parts.
+
+    The versions are dealt evenly before their documents are built: a document is many times the text of its part, and
+    the whole table may lie in one row group, which one task reads. The number of parts grows with the table."""
     part = table(spark, sf_dir, "part")
-    v1 = part.select(F.col("p_partkey").alias("k"), F.lit(1).alias("version"),
-                     F.expr(R.SILVER_ID_BASE).alias("Id"),
-                     _json(_base_struct(R.PART["start"], R.PART["brand"])).alias("raw_json"),
-                     F.expr(R.INGEST_V1).alias("ingest_ts"))
-    v2 = part.where(F.expr(R.HAS_V2)).select(
-        F.col("p_partkey").alias("k"), F.lit(2).alias("version"),
-        F.expr(R.SILVER_ID_BASE).alias("Id"),
-        _json(_base_struct(R.PART["start_v2"], R.PART["brand_v2"])).alias("raw_json"),
-        F.expr(R.INGEST_V2).alias("ingest_ts"))
-    return v1.unionByName(v2)
+    versions = (part.withColumn("version", F.explode(F.when(F.expr(R.HAS_V2), F.array(F.lit(1), F.lit(2)))
+                                                     .otherwise(F.array(F.lit(1)))))
+                .repartition(8 * part.rdd.getNumPartitions()))
+
+    def of_version(v1: str, v2: str) -> str:
+        return f"(CASE version WHEN 1 THEN {R.PART[v1]} ELSE {R.PART[v2]} END)"
+    doc = _base_struct(of_version("start", "start_v2"), of_version("brand", "brand_v2"))
+    return versions.select(F.col("p_partkey").alias("k"), "version", F.expr(R.SILVER_ID_BASE).alias("Id"),
+                           _json(doc).alias("raw_json"),
+                           F.expr(f"CASE version WHEN 1 THEN {R.INGEST_V1} ELSE {R.INGEST_V2} END").alias("ingest_ts"))
 
 
 def bad_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

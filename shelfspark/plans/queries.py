@@ -340,7 +340,8 @@ _CASE_IN = ["GTIN", "Id", "UpdatedAt", "LastUpdatedDateTime", "TradeItemUnitDesc
 
 
 def q_unit_split(spark, d):
-    base, other = pk.unit_split(latest(spark, d, ["TradeItemUnitDescriptor"]))
+    # both sides read the latest rows: staged, so that their versions are sorted once
+    base, other = pk.unit_split(staged(latest(spark, d, ["TradeItemUnitDescriptor"]), "unit_rows"))
     return (base.select(F.lit("base").alias("unit_class"))
             .unionByName(other.select(F.lit("other").alias("unit_class")))
             .groupBy("unit_class").agg(F.count(F.lit(1)).alias("n")))

@@ -159,3 +159,19 @@ def test_case_documents_are_dealt_once(spark):
     """The sums of the children and the lists of them come from one shuffle of the order lines."""
     p = fx.case_documents(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning", p.split("Initial Plan")[0])) == 1
+
+
+def test_unit_split_sorts_the_versions_once(spark):
+    """Both sides of the split read staged rows: the finished plan holds neither a parse nor a window."""
+    schemas, p = parses(Q.QUERIES["unit_split"](spark, SF_SMALL))
+    assert not schemas and "Window" not in p
+
+
+def test_part_documents_are_dealt_before_they_are_built(spark):
+    """The part table is one row group here, which one task reads; its documents are built in several."""
+    docs = fx.base_documents(spark, SF_SMALL)
+    built = docs.select(F.spark_partition_id().alias("p"), "raw_json").groupBy("p").agg(F.count("raw_json")).count()
+    assert built >= 8
+    parts = fx.table(spark, SF_SMALL, "part")
+    assert docs.where("version = 1").count() == parts.count()
+    assert docs.where("version = 2").count() == parts.where("p_partkey % 6 = 0").count()
