@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import json
 import re
+from functools import reduce
 from json.decoder import scanstring
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column
@@ -32,6 +34,8 @@ _ATOM = re.compile(r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][-+]?\d+)?|true|false|null
 # Cheap text pre-filter: a document can only hold a candidate if one of the
 # URL key names occurs in it as a quoted key.
 URL_KEY_RX = "(?i)\"(" + "|".join(URL_KEYS) + ")\"\\s*:"
+# What every such key ends with: plain searches for these rule most documents out before the regex is tried.
+URL_KEY_ENDS = [k + '"' for k in URL_KEYS if not any(k != end and k.endswith(end) for end in URL_KEYS)]
 
 
 def _pick(values: dict, keys, allow_int: bool = False):
@@ -138,11 +142,16 @@ def _walk_udf(texts: pd.Series) -> pd.Series:
     return texts.map(walk_document)
 
 
+def may_hold_url_key(raw_json) -> Column:
+    """False only where URL_KEY_RX finds nothing: the text, in lower case, holds no end of a URL key before a quote."""
+    return reduce(or_, [F.contains(F.lower(col_(raw_json)), F.lit(end)) for end in URL_KEY_ENDS])
+
+
 def image_candidates(raw_json) -> Column:
     """All URL-bearing objects of the document, in document order.
     Documents without any URL key skip the Python walk entirely."""
     raw = col_(raw_json)
-    worth = F.when(raw.rlike(URL_KEY_RX), raw)
+    worth = F.when(may_hold_url_key(raw) & raw.rlike(URL_KEY_RX), raw)
     return F.coalesce(_walk_udf(worth), F.array().cast(CANDIDATE_TYPE))
 
 

@@ -73,3 +73,16 @@ def test_any_depth_equals_the_library_and_has_no_limit():
         doc = '{"a": [' * depth + '{"Url": "https://x/deep.png"}' + "]}" * depth
         assert [c["url"] for c in A.walk_document(doc)] == ["https://x/deep.png"]
         assert A.walk_document(doc[:-1]) == []
+
+
+def test_plain_searches_rule_out_no_url_key(spark):
+    """Where the regex finds a URL key, the plain searches before it do too, in any spelling; a document without one is ruled out."""
+    keys = [k for key in A.URL_KEYS for k in (key, key.upper(), key.title())]
+    held = [f'{{"\u0130\u03a3\u212a": "\u00c4", "{k}" : "https://x/a.png"}}' for k in keys]
+    free = ['{"GTIN": "1", "Name": "a url, a uri, or none"}', '{"CatalogueItemInfo": {"Id": "C1-1"}}', "", "{bad"]
+    rows = spark.createDataFrame([(t,) for t in [*held, *free, None]], "raw_json string")
+    got = rows.select("raw_json", A.may_hold_url_key("raw_json").alias("may"), F.col("raw_json").rlike(A.URL_KEY_RX).alias("has")).collect()
+    assert all(r["may"] for r in got if r["raw_json"] in held) and all(r["has"] for r in got if r["raw_json"] in held)
+    assert not any(r["may"] for r in got if r["raw_json"] in free)
+    walked = rows.select(F.size(A.image_candidates("raw_json")).alias("n")).collect()
+    assert sorted(r["n"] for r in walked) == [0] * (len(free) + 1) + [1] * len(held)
