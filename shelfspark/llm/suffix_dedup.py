@@ -7,7 +7,7 @@ Every byte that lies in a string of ``LENGTH`` bytes which also starts anywhere
    anchor are a fragment: their bytes and the LENGTH - 1 behind them. Fragments are counted by
    anchor, with the least and greatest of their hashes (a grouped sum, combined in the tasks).
    Starts of an anchor that occurs once cannot repeat; where all fragments of an anchor are
-   equal, all repeat. The anchors that occur more often are stored as sorted arrays in a folder
+   equal, all repeat. The anchors that occur more often are stored as one sorted array in a folder
    that all workers mount, and mapped into memory.
 2. The remaining anchors have unlike fragments. Those go, equal ones of a task once, to shards by the
    anchor's hash, so that equal strings meet; there are as many shards as hold about
@@ -17,7 +17,8 @@ Every byte that lies in a string of ``LENGTH`` bytes which also starts anywhere
    documents between unlike neighbours), is split: its starts go one by one, as hashes of their
    LENGTH bytes combined in the tasks, and are counted in the shards that those hashes fall in.
 3. The bits of repeated starts are stored by fragment, and a last pass over the documents removes
-   what they cover.
+   what they cover. What the shards write is put together into one file of each kind, so a task maps as
+   many files at any size, and looks up all of a batch at once.
 
 Texts are read three times and never shuffled; fragment and start hashes have 64 bits. Texts are
 walked in windows of ``WINDOW`` bytes, so that a long text takes some tens of bytes of memory for each
@@ -30,6 +31,8 @@ not read.
 from __future__ import annotations
 
 import hashlib
+import os
+import shutil
 
 import numpy as np
 import pyarrow as pa
@@ -135,24 +138,66 @@ def _range(h: np.ndarray, n: int) -> np.ndarray:
     return ((h >> np.uint64(40)) * np.uint64(n) >> np.uint64(24)).astype(np.int64)
 
 
-class Stored:
-    """Mapped arrays of one kind by range: sorted 64-bit keys and what belongs to them."""
+def _within(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of some keys, each in its own sorted part keys[lo:hi]: of the first that is not less."""
+    while (live := lo < hi).any():
+        mid = (lo + hi) // 2
+        less = live.copy()
+        less[live] = keys[mid[live]] < wanted[live]
+        lo, hi = np.where(less, mid + 1, lo), np.where(live & ~less, mid, hi)
+    return lo
+
 
-    def __init__(self, folder: str, name: str, ranges: int, kinds: dict[str, str]):
-        self.path, self.ranges, self.kinds, self.open = f"{folder}/{name}", ranges, kinds, {}
+class Stored:
+    """Arrays of one name, by range: written one by one, then joined into one file of each kind, mapped as a whole."""
 
-    def of(self, r: int) -> dict | None:
-        if r not in self.open:
-            try:
-                self.open[r] = {k: mapped(f"{self.path}-{r}-{k}", t) for k, t in self.kinds.items()}
-            except FileNotFoundError:      # nothing fell in this range
-                self.open[r] = None
-        return self.open[r]
+    def __init__(self, folder: str, name: str, kinds: dict[str, str]):
+        self.path, self.kinds = f"{folder}/{name}", kinds
 
     def write(self, r: int, **arrays: np.ndarray) -> None:
         for k, a in arrays.items():
             save(f"{self.path}-{r}-{k}", a.astype(self.kinds[k]))
 
+    def join(self, written: DataFrame, ranges: int) -> None:
+        """Join what tasks wrote, the entries of each kind by ``range`` (a row each), and store where each range begins."""
+        rows, path, kinds = written.select("range", *self.kinds).collect(), self.path, self.kinds
+        rows.sort()
+        begins = {}
+        for k, kind in kinds.items():
+            sizes = np.zeros(ranges, dtype=np.int64)
+            for row in rows:
+                sizes[row["range"]] = row[k]
+            begins[k] = np.concatenate(([0], np.cumsum(sizes)))
+            save(f"{path}-{k}-begin", begins[k])
+            with open(f"{path}-{k}", "wb") as f:
+                f.truncate(int(begins[k][-1]) * np.dtype(kind).itemsize)
+
+        def copy(batches):
+            for b in batches:
+                for x in b.to_pylist():
+                    for k, kind in kinds.items():
+                        with open(f"{path}-{x['range']}-{k}", "rb") as part, open(f"{path}-{k}", "r+b") as whole:
+                            whole.seek(x[k] * np.dtype(kind).itemsize)
+                            shutil.copyfileobj(part, whole, 1 << 20)
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+        if rows:
+            spark = written.sparkSession
+            at = [(row["range"], *[int(begins[k][row["range"]]) for k in kinds]) for row in rows]
+            tasks = spark.createDataFrame(at, ", ".join(f"{c} long" for c in ("range", *kinds)))
+            tasks.repartition(min(len(at), int(spark.conf.get("spark.sql.shuffle.partitions")))).mapInArrow(copy, "n long").count()
+            for row in rows:
+                for k in kinds:
+                    os.remove(f"{path}-{row['range']}-{k}")
+
+    def arrays(self) -> dict[str, np.ndarray]:
+        """Each kind as a whole."""
+        return {k: np.asarray(mapped(f"{self.path}-{k}", t)) for k, t in self.kinds.items()}
+
+    def begins(self, kind: str) -> np.ndarray:
+        """Where each range begins, and the end."""
+        return np.asarray(mapped(f"{self.path}-{kind}-begin", "<i8"))
+
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, folder: str | None = None, keep: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row; keep: also the remaining bytes, ``kept``."""
@@ -184,28 +229,30 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, folder: str | None = N
         order, unlike = np.argsort(h), t.column("unlike").to_numpy().astype(np.int64)
         unlike += unlike * (n > hot)
         r = t.column("range")[0].as_py()
-        Stored(at, "anchors", ranges, anchor_kinds).write(r, keys=h[order], unlike=unlike[order])
-        return pa.table({x: pa.array([int(n[unlike == i + 1].sum())], pa.int64()) for i, x in enumerate(("unlike", "hot"))})
-
-    done = cut(known.groupBy("range").applyInArrow(keep_anchors, "unlike long, hot long"), "repeat-anchors")
-    sent = done.agg(F.sum("unlike"), F.sum("hot")).head()
+        Stored(at, "anchors", anchor_kinds).write(r, keys=h[order], unlike=unlike[order])
+        sums = [int(n[unlike == i].sum()) for i in (1, 2)]
+        return pa.table({x: pa.array([v], pa.int64()) for x, v in zip(
+            ("range", "keys", "unlike", "n_unlike", "n_hot"), (r, len(h), len(h), *sums), strict=True)})
+
+    done = cut(known.groupBy("range").applyInArrow(keep_anchors, "range long, keys long, unlike long, n_unlike long, n_hot long"),
+               "repeat-anchors")
+    Stored(at, "anchors", anchor_kinds).join(done, ranges)     # ranges are in the order of hashes: so are all keys
+    sent = done.agg(F.sum("n_unlike"), F.sum("n_hot")).head()
     # bytes to sort, and nine bytes for each start of a hot anchor
     weight = (sent[0] or 0) * (length + length // 2) + (sent[1] or 0) * 9 * (length - min(GRAM, length) + 1) // 2
     shards = max(1, -(-weight // SHARD_BYTES))
 
-    def looked_up(h: np.ndarray, anchors: Stored) -> np.ndarray:
+    def looked_up(h: np.ndarray, anchors: dict[str, np.ndarray]) -> np.ndarray:
         """0: occurs once, 1: all fragments are equal, 2: unlike ones, 3: very many, some of them unlike."""
+        keys = anchors["keys"]
+        if not len(keys):
+            return np.zeros(len(h), dtype=np.int64)
         key, inv = np.unique(h, return_inverse=True)
-        out, r = np.zeros(len(key), dtype=np.int64), _range(key, ranges)
-        for x in np.unique(r):
-            if a := anchors.of(x):
-                mine = np.flatnonzero(r == x)
-                i = np.minimum(np.searchsorted(a["keys"], key[mine]), len(a["keys"]) - 1)
-                out[mine] = np.where(a["keys"][i] == key[mine], 1 + a["unlike"][i], 0)
-        return out[inv]
+        i = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where(keys[i] == key, 1 + anchors["unlike"][i].astype(np.int64), 0)[inv]
 
     def send(batches):
-        anchors = Stored(at, "anchors", ranges, anchor_kinds)
+        anchors = Stored(at, "anchors", anchor_kinds).arrays()
         for b in text_batches(batches):
             data, sizes = _batch(b)
             first, starts, h, f = fragments(data, sizes, length)
@@ -247,13 +294,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, folder: str | None = N
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         return key[first][np.add.reduceat(counts, first, dtype=np.int64) > 1]
 
+    def wrote(*sizes: int) -> pa.Table:
+        names = ("range", "counted", "fragments", "bits")
+        return pa.table({x: pa.array([v], pa.int64()) for x, v in zip(names, (*sizes, 0, 0)[:4], strict=True)})
+
     def sort_shard(t: pa.Table) -> pa.Table:
         r, single = t.column("shard")[0].as_py(), pa.compute.equal(t.column("starts"), 0)
         lists, t = t.filter(single), t.filter(pa.compute.invert(single))
-        if lists.num_rows:
-            Stored(at, "starts", shards, start_kinds).write(r, keys=count_starts(lists))
+        counted = count_starts(lists) if lists.num_rows else np.zeros(0, np.uint64)
+        Stored(at, "starts", start_kinds).write(r, keys=counted)
         if not t.num_rows:
-            return pa.table({"fragments": pa.array([0], pa.int64())})
+            return wrote(r, len(counted))
         f = t.column("f").to_numpy().view(np.uint64)
         key, one, inv = np.unique(f, return_index=True, return_inverse=True)
         copies = np.bincount(inv, weights=t.column("copies").to_numpy())
@@ -267,16 +318,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, folder: str | None = N
         place = np.cumsum(starts) - starts
         index = np.arange(starts.sum()) - np.repeat(place, starts) + np.repeat(begin, starts)
         marks = again[index] | np.repeat(copies > 1, starts)
-        Stored(at, "marks", shards, mark_kinds).write(r, keys=key, at=place, marks=marks)
-        return pa.table({"fragments": pa.array([len(key)], pa.int64())})
-
-    cut(base.select("text").mapInArrow(send, "shard int, f long, starts long, copies long, body binary")
-        .groupBy("shard").applyInArrow(sort_shard, "fragments long"), "repeat-shards").count()
+        bits = np.packbits(marks)
+        Stored(at, "marks", mark_kinds).write(r, keys=key, at=place, marks=bits)
+        return wrote(r, len(counted), len(key), len(bits))
+
+    done = cut(base.select("text").mapInArrow(send, "shard int, f long, starts long, copies long, body binary")
+               .groupBy("shard").applyInArrow(sort_shard, "range long, counted long, fragments long, bits long"), "repeat-shards")
+    Stored(at, "starts", start_kinds).join(done.select("range", F.col("counted").alias("keys")), shards)     # in the order of hashes
+    Stored(at, "marks", mark_kinds).join(done.where("fragments > 0").select(
+        "range", F.col("fragments").alias("keys"), F.col("fragments").alias("at"), F.col("bits").alias("marks")), shards)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def remove(batches):
-        anchors, stored = Stored(at, "anchors", ranges, anchor_kinds), Stored(at, "marks", shards, mark_kinds)
-        counted_starts = Stored(at, "starts", shards, start_kinds)
+        anchors, marks = Stored(at, "anchors", anchor_kinds).arrays(), Stored(at, "marks", mark_kinds)
+        counted, stored = Stored(at, "starts", start_kinds).arrays()["keys"], marks.arrays()
+        of_keys, of_bits = marks.begins("keys"), 8 * marks.begins("marks")
         for b in text_batches(batches):
             data, sizes = _batch(b)
             first, starts, h, f = fragments(data, sizes, length)
@@ -291,20 +347,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, folder: str | None = N
                 mine = np.flatnonzero(state == 3)
                 if len(mine):
                     begin, key = start_hashes(data, first[mine], starts[mine], length)
-                    r = _range(key, shards)
-                    for x in np.unique(r):
-                        k, m = counted_starts.of(x)["keys"], np.flatnonzero(r == x)
-                        if len(k):
-                            i = np.minimum(np.searchsorted(k, key[m]), len(k) - 1)
-                            again[begin[m]] = k[i] == key[m]
+                    if len(counted):
+                        i = np.minimum(np.searchsorted(counted, key), len(counted) - 1)
+                        again[begin] = counted[i] == key
                 mine = np.flatnonzero(state == 2)
-                r = _range(h[mine], shards)
-                for x in np.unique(r):
-                    m, a = mine[r == x], stored.of(x)
-                    i = np.searchsorted(a["keys"], f[m])
-                    begin = np.repeat(first[m], starts[m])
-                    off = np.arange(len(begin)) - np.repeat(np.cumsum(starts[m]) - starts[m], starts[m])
-                    again[begin + off] = a["marks"][np.repeat(a["at"][i], starts[m]) + off]
+                if len(mine):
+                    r = _range(h[mine], shards)
+                    i = _within(stored["keys"], of_keys[r], of_keys[r + 1], f[mine])
+                    off = np.arange(starts[mine].sum()) - np.repeat(np.cumsum(starts[mine]) - starts[mine], starts[mine])
+                    bit = np.repeat(of_bits[r] + stored["at"][i], starts[mine]) + off
+                    again[np.repeat(first[mine], starts[mine]) + off] = stored["marks"][bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1
             total = np.cumsum(again, dtype=np.int32)
             gone = total > 0
             gone[length:] = total[length:] > total[:-length]

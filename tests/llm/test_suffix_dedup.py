@@ -82,6 +82,31 @@ def test_hot_anchors_are_split(spark, make_docs, monkeypatch, window):
     assert all(r[2] for r in got[2:300:3])
 
 
+def test_open_files_do_not_grow_with_the_shards(spark, make_docs, monkeypatch):
+    """Tasks that may open 30 files more get through hundreds of shards."""
+    length, read = 40, S.text_batches
+
+    def few_files(batches):
+        import os
+        import resource
+        limits = resource.getrlimit(resource.RLIMIT_NOFILE)
+        resource.setrlimit(resource.RLIMIT_NOFILE, (max(map(int, os.listdir("/proc/self/fd"))) + 30, limits[1]))
+        try:
+            yield from read(batches)
+        finally:
+            resource.setrlimit(resource.RLIMIT_NOFILE, limits)
+
+    monkeypatch.setattr(S, "SHARD_BYTES", 500)
+    monkeypatch.setattr(S, "text_batches", few_files)
+    rng = random.Random(5)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared = [noise(rng.randint(30, 90)) for _ in range(150)]
+    texts = [noise(20) + a + noise(20) + rng.choice(shared) for a in shared for _ in range(3)]
+    texts += [noise(30) + shared[0] + noise(30) for _ in range(60)]      # its anchors are hot
+    got = rows(S.remove_repeats(make_docs(texts), length))
+    assert got == [(i, *r) for i, r in enumerate(brute([t.encode() for t in texts], length))]
+
+
 def test_query_equals_brute_force(spark):
     docs = sorted((r["doc_id"], (r["text"] or "").encode()) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     want = brute([t for _, t in docs], 200)
