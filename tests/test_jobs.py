@@ -55,6 +55,62 @@ def test_manifest_jobs_and_empty_changes(spark):
         map(tuple, other.read("manifest").select(*cols).collect()))
 
 
+def _scratch(spark):
+    import os
+    from shelfspark.session import ensure_checkpoint_dir
+    at = os.path.join(ensure_checkpoint_dir(spark), "shelfspark")
+    return {f for f in os.listdir(at) if not f.startswith("silver-landing")} if os.path.exists(at) else set()
+
+
+def _data_files(root):
+    import os
+    return [n for _, _, names in os.walk(root) for n in names if n.startswith("part-") and n.endswith(".parquet")]
+
+
+def test_manifest_jobs_leave_no_working_copies(spark):
+    import os
+    root = tempfile.mkdtemp(prefix="shelf-space-")
+    store = TableStore(spark, root)
+    cfg = J.CategoryConfig(R.EXCLUSION_RULES, R.OWN_PROVIDER, R.PLACEHOLDER, R.AS_OF)
+    silver, before = fx.silver(spark, SF_SMALL), _scratch(spark)
+    h, ws = fx.hierarchy(spark, SF_SMALL), fx.weekly_sales(spark, SF_SMALL)
+    J.full_with_manifest(spark, store, silver.where(F.col("ingest_ts") < F.lit(R.RUN_START)), h, ws, cfg)
+    J.changes_with_manifest(spark, store, silver.where(F.col("ingest_ts") >= F.lit(R.RUN_START)), h, ws, cfg)
+    assert _scratch(spark) == before and os.listdir(f"{root}/checked") == []
+    names = _data_files(root)
+    assert names and all(n.endswith(".zstd.parquet") for n in names)
+
+
+def test_run_summary_leaves_its_tables_only(spark):
+    from shelfspark.plans import queries as Q
+    before = _scratch(spark)
+    assert Q.q_run_summary(spark, SF_SMALL).count() == 1
+    assert {f.rsplit("-", 1)[0] for f in _scratch(spark) - before} == {"run"}
+
+
+def test_saved_tables_leave_no_shuffle_files(spark):
+    import time
+    from shelfspark.session import save, staged
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found, it = set(), blocks.getAllFiles().iterator()
+        while it.hasNext():
+            found.add(it.next().getName())
+        return {f for f in found if f.startswith("shuffle_")}
+    df = spark.range(5000).repartition(3).groupBy((F.col("id") % 7).alias("g")).agg(F.max("id").alias("m"))
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, had = files(), spark.conf.get(key)
+    save(df, f"{tempfile.mkdtemp(prefix='shelf-shuffle-')}/t")
+    for _ in range(50):       # files go a moment later
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(key) == had
+    # the frame can be used again
+    assert staged(df, "again").count() == df.count() == 7
+
+
 def test_landed_pages_to_silver(spark):
     import json
     store = TableStore(spark, tempfile.mkdtemp(prefix="shelf-landed-"))
