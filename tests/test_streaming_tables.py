@@ -149,6 +149,21 @@ def test_stateful_stream_with_late_and_repeated_items_equals_batch(spark):
     assert _files(snap.path) == files and changed[0] > 0
 
 
+def test_keyed_state_lies_on_disk(spark):
+    """RocksDB's files are in the checkpoint, not the maps of the store that keeps all rows in the heap."""
+    root = tempfile.mkdtemp(prefix="shelf-store-")
+    landing, ck = os.path.join(root, "landing"), os.path.join(root, "ck")
+    snap = CH.curated_snapshot(spark, os.path.join(root, "curated"), n_buckets=4)
+    had = {k: spark.conf.get(k, None) for k in CH.STATE_ON_DISK}
+    for k in range(2):
+        _land(landing, f"b{k}.json", [(_doc(f"{g}", f"202{k}", f"b{k}"), "t1") for g in range(20)])
+        CH.start_newest_stream(spark, landing, snap, ck).awaitTermination()
+    names = [n for _, _, files in os.walk(os.path.join(ck, "state")) for n in files]
+    assert any(n.endswith(".zip") for n in names) and not any(n.endswith(".delta") for n in names)
+    assert {k: spark.conf.get(k, None) for k in CH.STATE_ON_DISK} == had
+    assert _brands(snap) == {f"{g}": "b1" for g in range(20)}
+
+
 def test_newest_versions_is_combined_before_the_shuffle(spark):
     from shelfspark.operators import curate as cu
     silver = spark.createDataFrame([("i", _doc("a", "2020", "x"), "t")], "Id string, raw_json string, ingest_ts string")
